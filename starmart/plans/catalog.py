@@ -22,7 +22,11 @@ from starmart.operators.scd2 import (customer_latest, dim_as_of, scd2_apply, scd
                                      scd2_init, scd2_merge_upsert)
 from starmart.plans import marts
 from starmart.plans.silver import silver_split
-from starmart.session import apply_defaults
+from starmart.functions.exprs import event_date, money_sum
+from starmart.functions.schemas import EVENT_COLUMNS
+from starmart.session import apply_defaults, scratch_dir
+from starmart.sources import bronze as bronze_io
+from starmart.sources import tables
 from starmart.sources.fixtures import order_events
 
 # ---------------------------------------------------------------------------
@@ -33,6 +37,8 @@ REGION = "EUROPE"                             # region of sales_summary_by_regio
 LTV_CUSTOMER = "C7"                           # customer of customer_ltv
 AS_OF_DATE = dt.date(1998, 12, 31)            # date of dim_customer_as_of
 DAY_RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))  # fact_by_day read range
+RAW_FILES = 6                                 # NDJSON files per raw drop (6 live batches)
+STREAM_FILES_PER_TRIGGER = 2                  # file-stream rate limit in the tests
 # ---------------------------------------------------------------------------
 
 
@@ -197,7 +203,119 @@ def q_revenue_as_was(b: StarBuild) -> DataFrame:
     return marts.revenue_as_was(b.fact, b.dim_customer, b.dim_product)
 
 
+def _typed_raw(df: DataFrame) -> DataFrame:
+    """Raw event columns with ``event_ts`` parsed (no load time)."""
+    return df.select(*[F.col(c) if c != "event_ts" else
+                       F.col(c).try_cast("timestamp_ntz").alias(c) for c in EVENT_COLUMNS])
+
+
+def q_bronze_parse_json(b: StarBuild) -> DataFrame:
+    """Events -> JSON bytes (Kafka value) -> from_json -> typed columns."""
+    values = b.bronze.select(bronze_io.event_json(b.bronze).cast("binary").alias("value"))
+    return _typed_raw(bronze_io.parse_values(values))
+
+
+def _region_totals(bronze: DataFrame) -> DataFrame:
+    return bronze.groupBy("customer_region").agg(
+        F.count(F.lit(1)).alias("events"),
+        money_sum("order_total").alias("order_total_sum"),
+        F.count_if(F.col("event_ts").isNull()).alias("null_event_ts"))
+
+
+def _raw_drop(b: StarBuild) -> str:
+    raw = scratch_dir(b.spark, "raw")
+    bronze_io.write_ndjson(b.bronze, raw, files=RAW_FILES)
+    return raw
+
+
+def q_bronze_batch(b: StarBuild) -> DataFrame:
+    """NDJSON drop -> batch ingest (append, partitioned by region) -> read back."""
+    raw = _raw_drop(b)
+    bronze_path = scratch_dir(b.spark, "bronze")
+    bronze_io.ingest_batch(b.spark, raw, bronze_path)
+    return _region_totals(b.spark.read.parquet(bronze_path))
+
+
+def q_bronze_stream(b: StarBuild) -> DataFrame:
+    """Same drop through Structured Streaming (rate-limited availableNow
+    batches, checkpointed file sink); a restart on the checkpoint adds nothing."""
+    from starmart.streaming.bronze_stream import file_source, start_bronze_stream
+    raw = _raw_drop(b)
+    out = scratch_dir(b.spark, "bronze_stream")
+    ckpt = scratch_dir(b.spark, "bronze_stream_ckpt")
+    for _ in range(2):
+        q = start_bronze_stream(file_source(b.spark, raw, STREAM_FILES_PER_TRIGGER), out, ckpt,
+                                available_now=True)
+        q.awaitTermination()
+    return _region_totals(b.spark.read.parquet(out))
+
+
+def q_kafka_records(b: StarBuild) -> DataFrame:
+    """Keyed producer records and their decoding."""
+    dec = bronze_io.decode_records(bronze_io.kafka_records(b.bronze))
+    return dec.select("key", *[F.col(c) if c != "event_ts" else
+                               F.col(c).try_cast("timestamp_ntz").alias(c) for c in EVENT_COLUMNS])
+
+
+def _per_partition(df: DataFrame, part: str) -> DataFrame:
+    return df.groupBy(part).agg(F.count(F.lit(1)).alias("rows"),
+                                money_sum("order_total").alias("amount"))
+
+
+def q_fact_by_status(b: StarBuild) -> DataFrame:
+    """Fact published partitioned by status, read back per partition."""
+    path = scratch_dir(b.spark, "fact_orders")
+    tables.publish(b.fact, path, "WRITE", partition_by=["status"])
+    return _per_partition(tables.read(b.spark, path), "status")
+
+
+def q_fact_by_day(b: StarBuild) -> DataFrame:
+    """Fact laid out by event day (range-partitioned on day and event id, so
+    a hot day is split over tasks and each task writes few folders), read
+    back for a date range: only that range's folders are listed."""
+    path = scratch_dir(b.spark, "fact_by_day")
+    n = int(b.spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = (b.fact.withColumn("event_day", event_date())
+            .repartitionByRange(n, "event_day", "event_id"))
+    tables.publish(laid, path, "WRITE", partition_by=["event_day"])
+    lo, hi = DAY_RANGE
+    back = tables.read(b.spark, path).where(F.col("event_day").between(F.lit(lo), F.lit(hi)))
+    return _per_partition(back, "event_day")
+
+
+def q_load_audit(b: StarBuild) -> DataFrame:
+    """Bronze fed by six raw files, one append each; the newest five loads."""
+    raw = _raw_drop(b)
+    bronze_path = scratch_dir(b.spark, "bronze_audit")
+    for f in sorted(b.spark.read.text(raw).select(F.input_file_name().alias("f"))
+                    .distinct().collect(), key=lambda r: r.f):
+        bronze_io.ingest_batch(b.spark, f.f, bronze_path)
+    return tables.load_audit(b.spark, bronze_path, 5)
+
+
+def q_silver_stream(b: StarBuild) -> DataFrame:
+    """Bronze as a stream -> valid events, redeliveries dropped within the
+    watermark -> file sink; read back."""
+    from starmart.streaming.silver_stream import silver_stream
+    src = scratch_dir(b.spark, "bronze_src")
+    b.bronze.write.parquet(src)
+    stream = b.spark.readStream.schema(b.bronze.schema).parquet(src)
+    out, ckpt = scratch_dir(b.spark, "silver_stream"), scratch_dir(b.spark, "silver_stream_ckpt")
+    q = (silver_stream(stream).writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return b.spark.read.parquet(out)
+
+
 QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
+    "bronze_parse_json": q_bronze_parse_json,
+    "bronze_batch": q_bronze_batch,
+    "bronze_stream": q_bronze_stream,
+    "kafka_records": q_kafka_records,
+    "fact_by_status": q_fact_by_status,
+    "fact_by_day": q_fact_by_day,
+    "load_audit": q_load_audit,
+    "silver_stream": q_silver_stream,
     "order_events": q_order_events,
     "dedup_latest": q_dedup_latest,
     "silver_orders": q_silver_orders,

@@ -257,4 +257,22 @@ SELECT d.customer_id, CAST(COALESCE(SUM(p.s), 0) AS DOUBLE) AS ltv
 FROM dim d LEFT JOIN per_key p ON d.customer_key = p.customer_key
 GROUP BY d.customer_id""",
     "revenue_as_was": _mart(False, "order_count"),
+    "bronze_parse_json": BASE + f"SELECT {EV_COLS} FROM ev",
+    "kafka_records": BASE + f"SELECT customer_id AS key, {EV_COLS} FROM ev",
+    "fact_by_status": BASE + f"""
+SELECT status, COUNT(*) AS rows, {MONEY_SUM.format(c='order_total')} AS amount
+FROM fact GROUP BY status""",
+    "fact_by_day": BASE + f"""
+SELECT CAST(event_ts AS DATE) AS event_day, COUNT(*) AS rows,
+       {MONEY_SUM.format(c='order_total')} AS amount
+FROM fact
+WHERE CAST(event_ts AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'
+GROUP BY CAST(event_ts AS DATE)""",
 }
+
+_REGION_TOTALS = BASE + f"""
+SELECT customer_region, COUNT(*) AS events, {MONEY_SUM.format(c='order_total')} AS order_total_sum,
+       COUNT(*) FILTER (WHERE event_ts IS NULL) AS null_event_ts
+FROM ev GROUP BY customer_region"""
+SQL["bronze_batch"] = _REGION_TOTALS
+SQL["bronze_stream"] = _REGION_TOTALS

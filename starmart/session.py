@@ -47,6 +47,7 @@ def build_session(master: str | None = None, app_name: str = "starmart",
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
