@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from starmart.functions.exprs import date_key, event_date
 from starmart.functions.schemas import FACT_ORDERS_SCHEMA
 from starmart.operators.joins import interval_join
+from starmart.operators.skew import hot_keys, split_hot_join
 
 FACT_COLUMNS = [f.name for f in FACT_ORDERS_SCHEMA.fields]
 
 
-def fact_orders(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+def fact_orders(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+                hot_share: float | None = None) -> DataFrame:
     """One row per silver order event with the customer version valid on the
     event's date (half-open ``[start_date, end_date)``) and the product key.
 
@@ -20,14 +22,27 @@ def fact_orders(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFra
     version (or without a customer id) are not in the fact.  Both joins are
     equi-joins (customer_id, product_id) – the date range is a residual – so
     Catalyst plans hash/sort-merge joins; AQE broadcasts a dimension only
-    when its measured size is below the threshold and splits hot keys."""
+    when its measured size is below the threshold and splits skewed
+    partitions.  With ``hot_share`` the customers holding at least that
+    share of silver are found first and joined on their own (broadcast of
+    their few versions, or salted) – hot keys are handled even where AQE
+    cannot split."""
     s = silver.select("order_id", "event_id", "customer_id", "product_id", "quantity",
                       "unit_price", "order_total", "status", "event_ts",
                       event_date().alias("_d"))
     dc = dim_customer.select(F.col("customer_id").alias("_dc_id"), "customer_key",
                              "start_date", "end_date")
-    j = interval_join(s, dc, F.col("customer_id") == F.col("_dc_id"),
-                      F.col("_d"), F.col("start_date"), F.col("end_date"))
+
+    def cond():
+        return ((F.col("customer_id") == F.col("_dc_id")) & (F.col("_d") >= F.col("start_date"))
+                & (F.col("end_date").isNull() | (F.col("_d") < F.col("end_date"))))
+
+    if hot_share:
+        hot = hot_keys(s, "customer_id", hot_share)
+        j = split_hot_join(s, dc, "customer_id", "_dc_id", cond, hot)
+    else:
+        j = interval_join(s, dc, F.col("customer_id") == F.col("_dc_id"),
+                          F.col("_d"), F.col("start_date"), F.col("end_date"))
     j = j.join(dim_product.select("product_id", "product_key"), "product_id")
     return j.select("order_id", "event_id", "customer_key", "product_key",
                     date_key("event_ts").alias("date_key"), "quantity", "unit_price",

@@ -26,6 +26,7 @@ from starmart.operators.dims import dim_date, dim_product
 from starmart.operators.facts import fact_orders
 from starmart.operators.quality import QUARANTINE, quality_gate, reject_reason
 from starmart.operators.scd2 import customer_latest, scd2_apply, scd2_changes, scd2_init
+from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
 from starmart.session import shared_root
 from starmart.sources import bronze as bronze_io
@@ -72,8 +73,10 @@ class LakeConfig:
 class Lake:
     """Stage functions over one lake."""
 
-    def __init__(self, spark: SparkSession, cfg: LakeConfig):
+    def __init__(self, spark: SparkSession, cfg: LakeConfig,
+                 hot_share: float | None = DEFAULT_MIN_SHARE):
         self.spark, self.cfg = spark, cfg
+        self.hot_share = hot_share
         self.log: list[dict] = []
 
     # -- reads -------------------------------------------------------------
@@ -169,7 +172,7 @@ class Lake:
     def build_fact(self) -> dict:
         def run():
             fact = fact_orders(self.silver(), self.table(self.cfg.dim_customer),
-                               self.table(self.cfg.dim_product))
+                               self.table(self.cfg.dim_product), hot_share=self.hot_share)
             return tables.publish(check_contract(fact, CONTRACTS["fact_orders"]),
                                   self.cfg.fact_orders, "WRITE", partition_by=["status"])
         return self._timed("fact", run)
