@@ -198,6 +198,11 @@ def q_revenue_top10(b: StarBuild) -> DataFrame:
     return marts.revenue_top10(b.fact, b.dim_customer, b.dim_product)
 
 
+def q_revenue_top10_sql(b: StarBuild) -> DataFrame:
+    """The flagship as SQL text over temp views of the gold frames."""
+    return marts.revenue_top10_sql(b.fact, b.dim_customer, b.dim_product)
+
+
 def q_sales_summary(b: StarBuild) -> DataFrame:
     return marts.sales_summary(b.fact, b.dim_customer, b.dim_product)
 
@@ -348,6 +353,7 @@ QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "dim_customer_as_of": q_dim_customer_as_of,
     "fact_orders": q_fact_orders,
     "revenue_top10": q_revenue_top10,
+    "revenue_top10_sql": q_revenue_top10_sql,
     "sales_summary": q_sales_summary,
     "sales_summary_by_region": q_sales_summary_by_region,
     "customer_ltv": q_customer_ltv,

@@ -241,6 +241,7 @@ SELECT * FROM history
 WHERE start_date <= DATE '1998-12-31' AND (end_date IS NULL OR DATE '1998-12-31' < end_date)""",
     "fact_orders": BASE + "SELECT * FROM fact",
     "revenue_top10": _mart(True, "orders", limit="LIMIT 10"),
+    "revenue_top10_sql": _mart(True, "orders", limit="LIMIT 10"),
     "sales_summary": _mart(True, "order_count"),
     "sales_summary_by_region": _mart(True, "order_count", " AND dc.customer_region = 'EUROPE'"),
     "customer_ltv": BASE + f"""
