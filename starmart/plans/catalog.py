@@ -18,6 +18,7 @@ from starmart.functions.schemas import GATE_THRESHOLD
 from starmart.operators.dims import dim_date, dim_product
 from starmart.operators.facts import fact_orders
 from starmart.operators.history import scd2_full_history
+from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.operators.scd2 import (customer_latest, dim_as_of, scd2_apply, scd2_changes,
                                      scd2_init, scd2_merge_upsert)
 from starmart.plans import marts
@@ -115,7 +116,11 @@ class StarBuild:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return fact_orders(self.silver, self.dim_customer, self.dim_product)
+        # hot customers (>= 1 % of silver) are joined on their own: in one
+        # lazy plan AQE cannot always split them (the dimension may come out
+        # of an aggregate already partitioned by customer)
+        return fact_orders(self.silver, self.dim_customer, self.dim_product,
+                           hot_share=DEFAULT_MIN_SHARE)
 
 
 def _q(fn: Callable[[StarBuild], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -72,3 +72,41 @@ def test_marts_pre_aggregation_exact(bronze_rows):
         s, n = want.get(k, (0.0, 0))
         want[k] = (round(s + r.order_total, 2), n + 1)
     assert got == want
+
+
+def test_aqe_splits_hot_customer_on_published_tables(spark, tmp_path):
+    """Runner path: silver and the dimension are read from files; with
+    broadcasts off, AQE turns the customer join into a skew-split join."""
+    from starmart.operators.scd2 import customer_latest, scd2_init
+    n = 120_000
+    silver = spark.range(n).select(
+        F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"),
+        F.lit("O1").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+         .otherwise(F.concat(F.lit("C"), (F.col("id") % 2000).cast("string"))).alias("customer_id"),
+        F.lit("n").alias("customer_name"), F.lit("r").alias("customer_region"),
+        F.concat(F.lit("P"), (F.col("id") % 50).cast("string")).alias("product_id"),
+        F.lit("pn").alias("product_name"), F.lit("pc").alias("product_category"),
+        F.lit(1.0).alias("unit_price"), F.lit(1).alias("quantity"),
+        F.lit(1.0).alias("order_total"), F.lit("PAID").alias("status"),
+        F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz").alias("event_ts"),
+        F.lit("x").alias("ingest_source"), F.current_timestamp().alias("_ingested_at"))
+    silver.write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    scd2_init(customer_latest(silver)).write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = fact_orders(silver, dim, dim_product(silver))
+        assert len(fact.collect()) == n
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
