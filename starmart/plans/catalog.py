@@ -45,19 +45,21 @@ STREAM_FILES_PER_TRIGGER = 2                  # file-stream rate limit in the te
 
 @dataclass
 class StarBuild:
-    """Frames of one star-schema build over a scale factor, as one lazy plan.
-
-    With ``materialize`` bronze and silver – each used by several branches
-    of a plan – are cut from their lineage with a reliable ``checkpoint()``
-    into the session's ``spark.checkpoint.dir``: computed once, read back by
-    every branch, and a lost executor re-reads files instead of recomputing
-    the join chain.  Off by default: at the test scales the extra write
-    costs more than the recomputation (measured); the stage runner
-    (``plans.runner``) is the production path and publishes every stage."""
+    """Frames of one star-schema build over a scale factor.
+
+    Single-consumer frames (``bronze``, ``silver``, ``rejected``) stay one
+    lazy plan.  The SCD2 / fact chain reads bronze and silver several times
+    (two loads, latest attributes, product dimension, fact, hot-key
+    detection), so there they are cut from their lineage with a reliable
+    ``checkpoint()`` into the session's ``spark.checkpoint.dir``: computed
+    once, read back by every branch, and a lost executor re-reads files
+    instead of recomputing the join chain (``materialize=False`` keeps it
+    all lazy).  The stage runner (``plans.runner``) is the production path
+    and publishes every stage as a table."""
 
     spark: SparkSession
     sf_dir: str
-    materialize: bool = False
+    materialize: bool = True
 
     def _cut(self, df: DataFrame) -> DataFrame:
         if not self.materialize:
@@ -68,27 +70,33 @@ class StarBuild:
     @cached_property
     def bronze(self) -> DataFrame:
         apply_defaults(self.spark)
-        return self._cut(order_events(self.spark, self.sf_dir))
-
-    @cached_property
-    def bronze_load1(self) -> DataFrame:
-        return self.bronze.where(F.col("event_ts") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+        return order_events(self.spark, self.sf_dir)
 
     @cached_property
     def _split(self):
         return silver_split(self.bronze)
 
-    @cached_property
+    @property
     def silver(self) -> DataFrame:
-        return self._cut(self._split[0])
+        return self._split[0]
 
     @property
     def rejected(self) -> DataFrame:
         return self._split[1]
 
+    # -- shared (materialized) frames of the SCD2 / fact chain ---------------
+    @cached_property
+    def bronze_shared(self) -> DataFrame:
+        return self._cut(self.bronze)
+
+    @cached_property
+    def silver_shared(self) -> DataFrame:
+        return self._cut(silver_split(self.bronze_shared)[0])
+
     @cached_property
     def silver_load1(self) -> DataFrame:
-        return silver_split(self.bronze_load1)[0]
+        first = F.col("event_ts") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")
+        return silver_split(self.bronze_shared.where(first))[0]
 
     @cached_property
     def latest_load1(self) -> DataFrame:
@@ -96,7 +104,7 @@ class StarBuild:
 
     @cached_property
     def latest(self) -> DataFrame:
-        return customer_latest(self.silver)
+        return customer_latest(self.silver_shared)
 
     @cached_property
     def dim_customer_init(self) -> DataFrame:
@@ -112,14 +120,14 @@ class StarBuild:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dim_product(self.silver)
+        return dim_product(self.silver_shared)
 
     @cached_property
     def fact(self) -> DataFrame:
         # hot customers (>= 1 % of silver) are joined on their own: in one
-        # lazy plan AQE cannot always split them (the dimension may come out
-        # of an aggregate already partitioned by customer)
-        return fact_orders(self.silver, self.dim_customer, self.dim_product,
+        # plan AQE cannot always split them (the dimension may come out of
+        # an aggregate already partitioned by customer)
+        return fact_orders(self.silver_shared, self.dim_customer, self.dim_product,
                            hot_share=DEFAULT_MIN_SHARE)
 
 
@@ -156,7 +164,7 @@ def q_quality_gate(b: StarBuild) -> DataFrame:
 
 
 def q_dim_product(b: StarBuild) -> DataFrame:
-    return b.dim_product
+    return dim_product(b.silver)
 
 
 def q_dim_date(b: StarBuild) -> DataFrame:
@@ -164,7 +172,7 @@ def q_dim_date(b: StarBuild) -> DataFrame:
 
 
 def q_customer_latest(b: StarBuild) -> DataFrame:
-    return b.latest
+    return customer_latest(b.silver)
 
 
 def q_scd2_init(b: StarBuild) -> DataFrame:

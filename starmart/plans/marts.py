@@ -22,26 +22,35 @@ def _sold(fact: DataFrame) -> DataFrame:
 
 def _by_region_category(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                         current_only: bool, count_name: str) -> DataFrame:
-    """Revenue and row count per (region, category).
-
-    Aggregation is pushed below the customer join: the fact is joined to
-    the product dimension (category), then reduced per (customer_key,
-    category) with map-side combine, and only those partial sums meet the
-    customer dimension.  The fact is shuffled once; a hot customer is a
-    handful of partial rows before any join; the sum is exact (decimal)."""
+    """Revenue and row count per (region, category), with the aggregation
+    pushed below both joins:
+
+    1. fact -> partial sums per (customer_key, product_key), combined map-side;
+       the one fact-sized shuffle hashes the *pair*, so neither a hot customer
+       nor a hot product lands in one task;
+    2. join the customer dimension, re-aggregate per (region, product_key):
+       a hot customer contributes at most one row per product it bought;
+    3. join the product dimension: at most one row per (region, product) is
+       left, so a hot product is a handful of rows; final sum per
+       (region, category).
+
+    Sums are exact (DECIMAL) at every level, so the result equals the
+    row-level join + group by."""
     dc = dim_customer
     if current_only:
         dc = dc.where(F.col("is_current"))
     dc = dc.select("customer_key", "customer_region")
     dp = dim_product.select("product_key", "product_category")
-    partial = (_sold(fact).join(dp, "product_key")
-               .groupBy("customer_key", "product_category")
-               .agg(F.sum(F.col("order_total").cast(MONEY)).alias("_s"),
-                    F.count(F.lit(1)).alias("_n")))
-    j = partial.join(dc, "customer_key")
-    return j.groupBy(*GROUP).agg(
-        F.round(F.sum("_s").cast("double"), 2).alias("revenue"),
-        F.sum("_n").alias(count_name))
+    pairs = (_sold(fact).groupBy("customer_key", "product_key")
+             .agg(F.sum(F.col("order_total").cast(MONEY)).alias("_s"),
+                  F.count(F.lit(1)).alias("_n")))
+    per_region = (pairs.join(dc, "customer_key")
+                  .groupBy("customer_region", "product_key")
+                  .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n")))
+    return (per_region.join(dp, "product_key")
+            .groupBy(*GROUP)
+            .agg(F.round(F.sum("_s").cast("double"), 2).alias("revenue"),
+                 F.sum("_n").alias(count_name)))
 
 
 def revenue_top10(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,

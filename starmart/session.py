@@ -48,6 +48,8 @@ def build_session(master: str | None = None, app_name: str = "starmart",
     conf = dict(DEFAULT_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # remove checkpoint files once their DataFrame is garbage-collected
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
