@@ -21,20 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.schemas import CONTRACTS, GATE_THRESHOLD, check_contract
-from starmart.operators.dedup import SILVER_ORDER, dedup_latest
 from starmart.operators.dims import dim_date, dim_product
 from starmart.operators.facts import fact_orders
-from starmart.operators.quality import QUARANTINE, quality_gate, reject_reason
+from starmart.operators.quality import QUARANTINE, quality_gate
 from starmart.operators.scd2 import customer_latest, scd2_apply, scd2_changes, scd2_init
 from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
+from starmart.plans.silver import VALID, checked, incremental_checked, newer_files, newest_file_time
 from starmart.session import shared_root
 from starmart.sources import bronze as bronze_io
 from starmart.sources import tables
 
 STAGES = ("ingest", "stream", "gate", "silver", "dim_customer", "dim_product", "dim_date",
           "fact", "marts", "all")
-VALID = "valid"
 
 
 @dataclass(frozen=True)
@@ -134,13 +133,29 @@ class Lake:
             return row.asDict()
         return self._timed("gate", run)
 
-    def build_silver(self) -> dict:
-        """Dedup once, tag each row valid / first failing rule, write one table
-        partitioned by that tag: silver and quarantine are partition reads."""
+    def build_silver(self, incremental: bool = True) -> dict:
+        """Dedup, tag each row valid / first failing rule, write one table
+        partitioned by that tag: silver and quarantine are partition reads.
+
+        Incremental (default, after the first build): only bronze files
+        committed since the previous build are read, and only the events
+        they touch are re-evaluated against the previous winners – no
+        shuffle of the whole history.  Same result as a full rebuild."""
         def run():
-            tagged = (dedup_latest(self.bronze(), ["event_id"], SILVER_ORDER)
-                      .withColumn("quality", F.coalesce(reject_reason(), F.lit(VALID))))
-            return tables.publish(tagged, self.cfg.silver, "WRITE", partition_by=["quality"])
+            bronze = self.bronze()
+            last = (tables.load_audit(self.spark, self.cfg.silver, 1).collect()
+                    if tables.exists(self.spark, self.cfg.silver) else [])
+            since = last[0]["watermark"] if last and incremental else None
+            # newest input time first: a file committed after this point is
+            # read again next time, never skipped
+            upto = newest_file_time(bronze, since)
+            if since is None:
+                out, op = checked(bronze), "WRITE"
+            else:
+                prev = tables.read(self.spark, self.cfg.silver)
+                out, op = incremental_checked(prev, newer_files(bronze, since)), "MERGE"
+            return tables.publish(out, self.cfg.silver, op, partition_by=["quality"],
+                                  watermark=upto or since)
         return self._timed("silver", run)
 
     def build_dim_product(self) -> dict:
@@ -194,12 +209,13 @@ class Lake:
         marts.register_views(self.table(self.cfg.fact_orders), self.table(self.cfg.dim_customer),
                              self.table(self.cfg.dim_product), self.table(self.cfg.dim_date))
 
-    def run_all(self, threshold: float = GATE_THRESHOLD, insert_new: bool = False) -> DataFrame | None:
+    def run_all(self, threshold: float = GATE_THRESHOLD, insert_new: bool = False,
+                incremental: bool = True) -> DataFrame | None:
         """gate -> silver -> dimensions -> fact -> marts.  Returns the top-10
         revenue frame, or None when the gate quarantines the load."""
         if self.gate(threshold)["decision"] == QUARANTINE:
             return None
-        self.build_silver()
+        self.build_silver(incremental=incremental)
         self.build_dim_customer(insert_new=insert_new)
         self.build_dim_product()
         self.build_dim_date()
@@ -226,11 +242,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--kafka", default=None, help="bootstrap servers (stream stage)")
     ap.add_argument("--threshold", type=float, default=GATE_THRESHOLD)
     ap.add_argument("--insert-new", action="store_true")
+    ap.add_argument("--full-silver", action="store_true", help="rebuild silver from all bronze")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     lake = Lake(spark, LakeConfig.for_session(spark, a.lake))
     if a.stage == "all":
-        top = lake.run_all(a.threshold, a.insert_new)
+        top = lake.run_all(a.threshold, a.insert_new, incremental=not a.full_silver)
         if top is None:
             print("quality gate: quarantine")
             return 1
@@ -239,6 +256,8 @@ def main(argv: list[str] | None = None) -> int:
         lake.stream(a.seconds, a.kafka)
     elif a.stage == "gate":
         print(lake.gate(a.threshold))
+    elif a.stage == "silver":
+        lake.build_silver(incremental=not a.full_silver)
     elif a.stage == "dim_customer":
         lake.build_dim_customer(insert_new=a.insert_new)
     else:
