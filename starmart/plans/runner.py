@@ -27,11 +27,14 @@ from starmart.operators.quality import QUARANTINE, quality_gate
 from starmart.operators.scd2 import customer_latest, scd2_apply, scd2_changes, scd2_init
 from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
-from starmart.plans.silver import VALID, checked, incremental_checked, newer_files, newest_file_time
+from starmart.plans.silver import VALID, checked, incremental_checked, new_files_summary, newer_files
 from starmart.session import shared_root
 from starmart.sources import bronze as bronze_io
 from starmart.sources import tables
 
+# Merge an increment into silver only while it is small next to the history.
+INCREMENTAL_MAX_SHARE = 0.25
+
 STAGES = ("ingest", "stream", "gate", "silver", "dim_customer", "dim_product", "dim_date",
           "fact", "marts", "all")
 
@@ -133,27 +136,32 @@ class Lake:
             return row.asDict()
         return self._timed("gate", run)
 
-    def build_silver(self, incremental: bool = True) -> dict:
+    def build_silver(self, incremental: bool | None = None) -> dict:
         """Dedup, tag each row valid / first failing rule, write one table
         partitioned by that tag: silver and quarantine are partition reads.
 
-        Incremental (default, after the first build): only bronze files
-        committed since the previous build are read, and only the events
-        they touch are re-evaluated against the previous winners – no
-        shuffle of the whole history.  Same result as a full rebuild."""
+        Incremental: only bronze files committed since the previous build are
+        read, and only the events they touch are re-evaluated against the
+        previous winners – no shuffle of the whole history.  Same result as
+        a full rebuild (tested).  ``incremental=None`` chooses by size: the
+        increment's row count (from file footers) against the previous
+        table's (from its audit record); below ``INCREMENTAL_MAX_SHARE`` the
+        increment is merged, otherwise silver is rebuilt."""
         def run():
             bronze = self.bronze()
             last = (tables.load_audit(self.spark, self.cfg.silver, 1).collect()
                     if tables.exists(self.spark, self.cfg.silver) else [])
-            since = last[0]["watermark"] if last and incremental else None
+            since = last[0]["watermark"] if last and incremental is not False else None
             # newest input time first: a file committed after this point is
             # read again next time, never skipped
-            upto = newest_file_time(bronze, since)
-            if since is None:
-                out, op = checked(bronze), "WRITE"
-            else:
+            upto, new_rows = new_files_summary(bronze, since)
+            merge = since is not None and (
+                incremental is True or new_rows < INCREMENTAL_MAX_SHARE * (last[0]["rows"] or 0))
+            if merge:
                 prev = tables.read(self.spark, self.cfg.silver)
                 out, op = incremental_checked(prev, newer_files(bronze, since)), "MERGE"
+            else:
+                out, op = checked(bronze), "WRITE"
             return tables.publish(out, self.cfg.silver, op, partition_by=["quality"],
                                   watermark=upto or since)
         return self._timed("silver", run)
@@ -210,7 +218,7 @@ class Lake:
                              self.table(self.cfg.dim_product), self.table(self.cfg.dim_date))
 
     def run_all(self, threshold: float = GATE_THRESHOLD, insert_new: bool = False,
-                incremental: bool = True) -> DataFrame | None:
+                incremental: bool | None = None) -> DataFrame | None:
         """gate -> silver -> dimensions -> fact -> marts.  Returns the top-10
         revenue frame, or None when the gate quarantines the load."""
         if self.gate(threshold)["decision"] == QUARANTINE:
@@ -247,7 +255,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(a.master)
     lake = Lake(spark, LakeConfig.for_session(spark, a.lake))
     if a.stage == "all":
-        top = lake.run_all(a.threshold, a.insert_new, incremental=not a.full_silver)
+        top = lake.run_all(a.threshold, a.insert_new, incremental=False if a.full_silver else None)
         if top is None:
             print("quality gate: quarantine")
             return 1
@@ -257,7 +265,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.stage == "gate":
         print(lake.gate(a.threshold))
     elif a.stage == "silver":
-        lake.build_silver(incremental=not a.full_silver)
+        lake.build_silver(incremental=False if a.full_silver else None)
     elif a.stage == "dim_customer":
         lake.build_dim_customer(insert_new=a.insert_new)
     else:

@@ -44,11 +44,12 @@ def newer_files(bronze: DataFrame, since: dt.datetime | None) -> DataFrame:
     return bronze.where(F.col(FILE_TIME) >= F.lit(since))
 
 
-def newest_file_time(bronze: DataFrame, since: dt.datetime | None) -> dt.datetime | None:
-    """Latest commit time among the files ``newer_files`` reads (a scan of
-    file metadata only)."""
-    row = newer_files(bronze, since).agg(F.max(F.col(FILE_TIME)).alias("t")).first()
-    return row.t if row else None
+def new_files_summary(bronze: DataFrame, since: dt.datetime | None) -> tuple[dt.datetime | None, int]:
+    """(latest commit time, row count) of the files ``newer_files`` reads –
+    one scan of file metadata and Parquet footers only, no data columns."""
+    row = newer_files(bronze, since).agg(F.max(F.col(FILE_TIME)).alias("t"),
+                                         F.count(F.lit(1)).alias("n")).first()
+    return (row.t, int(row.n)) if row else (None, 0)
 
 
 def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:
