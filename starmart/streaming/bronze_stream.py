@@ -29,11 +29,26 @@ def file_source(spark: SparkSession, raw_dir: str, max_files_per_trigger: int |
     return typed_events(r.json(raw_dir))
 
 
+KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
+
+
+def kafka_available(spark: SparkSession) -> bool:
+    """True when the Kafka connector package is on the session's classpath."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(KAFKA_PROVIDER)
+        return True
+    except Exception:
+        return False
+
+
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = ORDERS_TOPIC,
                  starting_offsets: str = STARTING_OFFSETS,
                  max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """Kafka topic -> bronze rows (needs the spark-sql-kafka package on the
     classpath).  Same parsing as the file source."""
+    if not kafka_available(spark):
+        raise RuntimeError("Kafka source needs the spark-sql-kafka connector package "
+                           "(--packages org.apache.spark:spark-sql-kafka-0-10_<scala>:<spark>)")
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", bootstrap_servers)
            .option("subscribe", topic)

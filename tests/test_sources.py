@@ -79,3 +79,25 @@ def test_publish_versions_and_read_newest(spark):
     assert tables.read(spark, path).count() == 5
     assert tables.read(spark, path, version=0).count() == 3
     assert [r.rows for r in tables.load_audit(spark, path).collect()] == [5, 3]
+
+
+def test_interval_trigger_bounded_run(spark):
+    """Reference mode: processing-time trigger, bounded wait, then stop."""
+    from starmart.streaming.bronze_stream import run_for
+    raw = scratch_dir(spark, "raw_p")
+    _write(raw, "a.json", [GOOD, GOOD.replace('"e1"', '"e2"')])
+    out, ckpt = scratch_dir(spark, "bronze_p"), scratch_dir(spark, "ckpt_p")
+    q = start_bronze_stream(file_source(spark, raw), out, ckpt, trigger_interval="1 second")
+    q.processAllAvailable()
+    run_for(q, 1)
+    assert not q.isActive
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_kafka_source_needs_connector(spark):
+    import pytest
+    from starmart.streaming.bronze_stream import kafka_available, kafka_source
+    if kafka_available(spark):
+        pytest.skip("connector present")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        kafka_source(spark, "localhost:9092")
