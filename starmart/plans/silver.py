@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,20 +33,23 @@ def checked(bronze: DataFrame) -> DataFrame:
             .withColumn(QUALITY, F.coalesce(reject_reason(), F.lit(VALID))))
 
 
-def newer_files(bronze: DataFrame, since: dt.datetime | None) -> DataFrame:
-    """Bronze rows from files committed at or after ``since`` – the filter
-    is on file metadata, so older files are pruned at listing time and
-    never opened.  (``>=``: a file seen twice is harmless, see below.)"""
+def newer_files(bronze: DataFrame, since: int | None) -> DataFrame:
+    """Bronze rows from files committed at or after ``since`` (microseconds
+    since the epoch) – the filter is on file metadata, so older files are
+    pruned at listing time and never opened.  (``>=``: a file seen twice is
+    harmless, see ``incremental_checked``.)"""
     if since is None:
         return bronze
-    return bronze.where(F.col(FILE_TIME) >= F.lit(since))
+    return bronze.where(F.col(FILE_TIME) >= F.timestamp_micros(F.lit(since)))
 
 
-def new_files_summary(bronze: DataFrame, since: dt.datetime | None) -> tuple[dt.datetime | None, int]:
-    """(latest commit time, row count) of the files ``newer_files`` reads –
-    one scan of file metadata and Parquet footers only, no data columns."""
-    row = newer_files(bronze, since).agg(F.max(F.col(FILE_TIME)).alias("t"),
-                                         F.count(F.lit(1)).alias("n")).first()
+def new_files_summary(bronze: DataFrame, since: int | None) -> tuple[int | None, int]:
+    """(latest commit time in epoch microseconds, row count) of the files
+    ``newer_files`` reads – one scan of file metadata and Parquet footers
+    only, no data columns."""
+    row = newer_files(bronze, since).agg(
+        F.unix_micros(F.max(F.col(FILE_TIME))).alias("t"),
+        F.count(F.lit(1)).alias("n")).first()
     return (row.t, int(row.n)) if row else (None, 0)
 
 
