@@ -13,18 +13,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.functions.exprs import MONEY
-from starmart.functions.schemas import GATE_THRESHOLD
+from starmart.functions.exprs import event_date, money_sum
+from starmart.functions.schemas import EVENT_COLUMNS, GATE_THRESHOLD
 from starmart.operators.dims import dim_date, dim_product
 from starmart.operators.facts import fact_orders
 from starmart.operators.history import scd2_full_history
-from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.operators.scd2 import (customer_latest, dim_as_of, scd2_apply, scd2_changes,
                                      scd2_init, scd2_merge_upsert)
+from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
 from starmart.plans.silver import silver_split
-from starmart.functions.exprs import event_date, money_sum
-from starmart.functions.schemas import EVENT_COLUMNS
 from starmart.session import apply_defaults, ensure_checkpoint_dir, scratch_dir
 from starmart.sources import bronze as bronze_io
 from starmart.sources import tables

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions.exprs import MONEY, is_revenue, money_sum
+from starmart.functions.exprs import MONEY, is_revenue
 from starmart.operators.joins import bounded_broadcast
 
 # A single customer's versions: far below this, checked before broadcasting.

@@ -8,7 +8,6 @@ version to arrive wins – batch silver keeps the newest version."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starmart.functions.exprs import is_valid_status, is_valid_total
 

@@ -3,8 +3,6 @@ with checkpoint restart, Kafka record shape."""
 
 import os
 
-from pyspark.sql import functions as F
-
 from starmart.session import local_path, scratch_dir
 from starmart.sources import bronze as bronze_io
 from starmart.sources import tables
