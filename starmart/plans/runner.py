@@ -79,6 +79,7 @@ class Lake:
                  hot_share: float | None = DEFAULT_MIN_SHARE):
         self.spark, self.cfg = spark, cfg
         self.hot_share = hot_share
+        self.job_prefix = "starmart:"
         self.log: list[dict] = []
 
     # -- reads -------------------------------------------------------------
@@ -99,8 +100,13 @@ class Lake:
 
     # -- stages ------------------------------------------------------------
     def _timed(self, stage: str, fn):
+        # label the stage's Spark jobs (event log, monitoring)
+        self.spark.sparkContext.setJobDescription(f"{self.job_prefix}{stage}")
         t = time.time()
-        rec = fn()
+        try:
+            rec = fn()
+        finally:
+            self.spark.sparkContext.setJobDescription(None)
         entry = {"stage": stage, "sec": round(time.time() - t, 3)}
         if isinstance(rec, dict):
             entry.update({k: v for k, v in rec.items() if k in ("rows", "version", "decision")})
