@@ -1,4 +1,4 @@
-"""Schemas and fixed domain values of the order-event lakehouse."""
+"""Schemas and fixed domain values of the order-event pipeline."""
 
 from __future__ import annotations
 
