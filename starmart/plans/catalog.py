@@ -36,7 +36,7 @@ REGION = "EUROPE"                             # region of sales_summary_by_regio
 LTV_CUSTOMER = "C7"                           # customer of customer_ltv
 AS_OF_DATE = dt.date(1998, 12, 31)            # date of dim_customer_as_of
 DAY_RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))  # fact_by_day read range
-RAW_FILES = 6                                 # NDJSON files per raw drop (6 live batches)
+RAW_FILES = 6                                 # live batches of the load_audit feed
 STREAM_FILES_PER_TRIGGER = 2                  # file-stream rate limit in the tests
 # ---------------------------------------------------------------------------
 
@@ -254,8 +254,9 @@ def _region_totals(bronze: DataFrame) -> DataFrame:
 
 
 def _raw_drop(b: StarBuild) -> str:
+    """All events as NDJSON files (one or more per writing task)."""
     raw = scratch_dir(b.spark, "raw")
-    bronze_io.write_ndjson(b.bronze, raw, files=RAW_FILES)
+    bronze_io.write_ndjson(b.bronze, raw)
     return raw
 
 
@@ -315,12 +316,19 @@ def q_fact_by_day(b: StarBuild) -> DataFrame:
 
 
 def q_load_audit(b: StarBuild) -> DataFrame:
-    """Bronze fed by six raw files, one append each; the newest five loads."""
-    raw = _raw_drop(b)
+    """Bronze fed by six live batches, one append each; the newest five
+    loads.  Every event goes to exactly one batch folder (a hash of its id),
+    so the six loads together are the whole feed."""
+    raw = scratch_dir(b.spark, "raw_batches")
+    batch = F.pmod(F.xxhash64("event_id"), F.lit(RAW_FILES)).alias("batch")
+    events = b.bronze.select("*", batch)
+    (events.select(bronze_io.event_json(events).alias("value"), "batch")
+     .write.partitionBy("batch").text(raw))
     bronze_path = scratch_dir(b.spark, "bronze_audit")
-    for f in sorted(b.spark.read.text(raw).select(F.input_file_name().alias("f"))
-                    .distinct().collect(), key=lambda r: r.f):
-        bronze_io.ingest_batch(b.spark, f.f, bronze_path)
+    for i in range(RAW_FILES):
+        folder = f"{raw}/batch={i}"
+        if tables.path_exists(b.spark, folder):
+            bronze_io.ingest_batch(b.spark, folder, bronze_path)
     return tables.load_audit(b.spark, bronze_path, 5)
 
 

@@ -257,8 +257,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--threshold", type=float, default=GATE_THRESHOLD)
     ap.add_argument("--insert-new", action="store_true")
     ap.add_argument("--full-silver", action="store_true", help="rebuild silver from all bronze")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle partitions (AQE coalesces them by measured size)")
     a = ap.parse_args(argv)
-    spark = build_session(a.master)
+    spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     lake = Lake(spark, LakeConfig.for_session(spark, a.lake))
     if a.stage == "all":
         top = lake.run_all(a.threshold, a.insert_new, incremental=False if a.full_silver else None)
