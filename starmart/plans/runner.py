@@ -57,6 +57,8 @@ class LakeConfig:
     @property
     def bronze(self) -> str: return self._p("bronze", "orders")
     @property
+    def bronze_stream(self) -> str: return self._p("bronze", "orders_stream")
+    @property
     def checkpoint(self) -> str: return self._p("_checkpoints", "bronze_orders")
     @property
     def silver(self) -> str: return self._p("silver", "orders_checked")
@@ -84,7 +86,7 @@ class Lake:
 
     # -- reads -------------------------------------------------------------
     def bronze(self) -> DataFrame:
-        return self.spark.read.parquet(self.cfg.bronze)
+        return bronze_io.read_bronze(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
 
     def silver(self) -> DataFrame:
         """Valid rows of the checked table (a partition filter)."""
@@ -128,7 +130,7 @@ class Lake:
                                                       start_bronze_stream)
         src = (kafka_source(self.spark, kafka_servers) if kafka_servers
                else file_source(self.spark, self.cfg.raw))
-        q = start_bronze_stream(src, self.cfg.bronze, self.cfg.checkpoint,
+        q = start_bronze_stream(src, self.cfg.bronze_stream, self.cfg.checkpoint,
                                 available_now=available_now)
         if available_now:
             q.awaitTermination()
@@ -154,20 +156,21 @@ class Lake:
         table's (from its audit record); below ``INCREMENTAL_MAX_SHARE`` the
         increment is merged, otherwise silver is rebuilt."""
         def run():
-            bronze = self.bronze()
+            parts = bronze_io.bronze_parts(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
             last = (tables.load_audit(self.spark, self.cfg.silver, 1).collect()
                     if tables.exists(self.spark, self.cfg.silver) else [])
             since = last[0]["watermark"] if last and incremental is not False else None
             # newest input time first: a file committed after this point is
             # read again next time, never skipped
-            upto, new_rows = new_files_summary(bronze, since)
+            upto, new_rows = new_files_summary(parts, since)
             merge = since is not None and (
                 incremental is True or new_rows < INCREMENTAL_MAX_SHARE * (last[0]["rows"] or 0))
             if merge:
                 prev = tables.read(self.spark, self.cfg.silver)
-                out, op = incremental_checked(prev, newer_files(bronze, since)), "MERGE"
+                fresh = bronze_io.union_all(self.spark, [newer_files(p, since) for p in parts])
+                out, op = incremental_checked(prev, fresh), "MERGE"
             else:
-                out, op = checked(bronze), "WRITE"
+                out, op = checked(bronze_io.union_all(self.spark, parts)), "WRITE"
             return tables.publish(out, self.cfg.silver, op, partition_by=["quality"],
                                   watermark=upto or since)
         return self._timed("silver", run)

@@ -33,24 +33,30 @@ def checked(bronze: DataFrame) -> DataFrame:
             .withColumn(QUALITY, F.coalesce(reject_reason(), F.lit(VALID))))
 
 
-def newer_files(bronze: DataFrame, since: int | None) -> DataFrame:
-    """Bronze rows from files committed at or after ``since`` (microseconds
-    since the epoch) – the filter is on file metadata, so older files are
-    pruned at listing time and never opened.  (``>=``: a file seen twice is
-    harmless, see ``incremental_checked``.)"""
+def newer_files(part: DataFrame, since: int | None) -> DataFrame:
+    """Rows of a file-based relation from files committed at or after
+    ``since`` (microseconds since the epoch) – the filter is on file
+    metadata, so older files are pruned at listing time and never opened.
+    (``>=``: a file seen twice is harmless, see ``incremental_checked``.)
+    Apply it to each scanned relation before any union."""
     if since is None:
-        return bronze
-    return bronze.where(F.col(FILE_TIME) >= F.timestamp_micros(F.lit(since)))
+        return part
+    return part.where(F.col(FILE_TIME) >= F.timestamp_micros(F.lit(since)))
 
 
-def new_files_summary(bronze: DataFrame, since: int | None) -> tuple[int | None, int]:
+def new_files_summary(parts: list[DataFrame], since: int | None) -> tuple[int | None, int]:
     """(latest commit time in epoch microseconds, row count) of the files
-    ``newer_files`` reads – one scan of file metadata and Parquet footers
+    ``newer_files`` reads – a scan of file metadata and Parquet footers
     only, no data columns."""
-    row = newer_files(bronze, since).agg(
-        F.unix_micros(F.max(F.col(FILE_TIME))).alias("t"),
-        F.count(F.lit(1)).alias("n")).first()
-    return (row.t, int(row.n)) if row else (None, 0)
+    upto, rows = None, 0
+    for part in parts:
+        row = newer_files(part, since).agg(
+            F.unix_micros(F.max(F.col(FILE_TIME))).alias("t"),
+            F.count(F.lit(1)).alias("n")).first()
+        if row is not None and row.t is not None:
+            upto = row.t if upto is None else max(upto, row.t)
+        rows += int(row.n) if row is not None else 0
+    return upto, rows
 
 
 def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:

@@ -5,11 +5,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starmart.functions.schemas import EVENT_COLUMNS, EVENT_SCHEMA, ORDERS_TOPIC
+from starmart.functions.schemas import BRONZE_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA, ORDERS_TOPIC
 from starmart.sources import tables
 
 BRONZE_PARTITION = "customer_region"
+# Bronze as stored: batch loads also record the source file; stream rows do not.
+BRONZE_READ_SCHEMA = T.StructType(
+    BRONZE_SCHEMA.fields + [T.StructField("_source_file", T.StringType())])
+
+
+def bronze_parts(spark: SparkSession, batch_path: str,
+                 stream_path: str | None = None) -> list[DataFrame]:
+    """The bronze folders that exist, each read with its own listing and the
+    explicit schema (a missing ``_source_file`` is NULL).
+
+    Batch appends and the streaming sink live in separate folders on
+    purpose: a folder written by a streaming file sink is listed through the
+    sink's commit log, which would hide batch files appended next to it (and
+    listing it as a plain folder could expose files of an uncommitted
+    micro-batch)."""
+    return [spark.read.schema(BRONZE_READ_SCHEMA).parquet(p)
+            for p in (batch_path, stream_path) if p and tables.path_exists(spark, p)]
+
+
+def union_all(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], BRONZE_READ_SCHEMA)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_bronze(spark: SparkSession, batch_path: str, stream_path: str | None = None) -> DataFrame:
+    """Bronze = batch appends ∪ streaming-sink output."""
+    return union_all(spark, bronze_parts(spark, batch_path, stream_path))
 
 
 def typed_events(df: DataFrame, with_source_file: bool = False) -> DataFrame:

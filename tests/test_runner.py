@@ -94,3 +94,21 @@ def test_incremental_newest_invalid_and_null_ids(spark, bronze_rows):
         silver = {(r.event_id, r.order_id, r.quantity) for r in lake.silver().collect()}
         assert silver == {(None, "B", 1), ("e2", "O1", 1)}, inc
         assert [r.event_id for r in lake.quarantine().collect()] == ["e1"]
+
+
+def test_batch_and_stream_bronze_both_visible(spark):
+    """A stream and batch loads feed one lake; silver sees both."""
+    from starmart.sources import bronze as bronze_io
+    cfg = LakeConfig(scratch_dir(spark, "lake_mix"))
+    lake = Lake(spark, cfg)
+    ev = order_events(spark, SF_SMALL)
+    first = F.col("event_ts") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
+    bronze_io.write_ndjson(ev.where(first), cfg.raw)
+    lake.stream(available_now=True)                     # stream folder
+    late = scratch_dir(spark, "raw_late2")
+    bronze_io.write_ndjson(ev.where(~first), late)
+    lake.ingest(late)                                   # batch folder
+    assert lake.bronze().count() == ev.count()
+    assert lake.bronze().where("_source_file IS NULL").count() == ev.where(first).count()
+    lake.build_silver()
+    assert lake.silver().count() > 0
