@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.exprs import MONEY, is_revenue
-from starmart.operators.joins import bounded_broadcast
+from starmart.operators.joins import bounded_broadcast, has_at_most
 
 # A single customer's versions: far below this, checked before broadcasting.
 MAX_VERSIONS_PER_CUSTOMER = 100_000
+# Dimension projections (key + one attribute, ~60 bytes a row) up to this many
+# rows are broadcast to the fact scan; larger ones take the shuffle plan.
+MAX_BROADCAST_DIM_ROWS = 1_000_000
 
 GROUP = ("customer_region", "product_category")
 
@@ -21,9 +24,12 @@ def _sold(fact: DataFrame) -> DataFrame:
 
 
 def _by_region_category(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                        current_only: bool, count_name: str) -> DataFrame:
-    """Revenue and row count per (region, category), with the aggregation
-    pushed below both joins:
+                        current_only: bool, count_name: str,
+                        max_broadcast_rows: int | None = None) -> DataFrame:
+    """Revenue and row count per (region, category).
+
+    Dimensions proven small (row-count check) are broadcast to the fact
+    scan.  Otherwise the aggregation is pushed below both joins:
 
     1. fact -> partial sums per (customer_key, product_key), combined map-side;
        the one fact-sized shuffle hashes the *pair*, so neither a hot customer
@@ -41,6 +47,15 @@ def _by_region_category(fact: DataFrame, dim_customer: DataFrame, dim_product: D
         dc = dc.where(F.col("is_current"))
     dc = dc.select("customer_key", "customer_region")
     dp = dim_product.select("product_key", "product_category")
+    bound = MAX_BROADCAST_DIM_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    if bound > 0 and has_at_most(dc, bound) and has_at_most(dp, bound):
+        # both dimensions proven small: broadcast them, no fact-sized shuffle
+        # at all (hot keys cost nothing in a broadcast join); one partial +
+        # final aggregate over the (region, category) groups
+        j = _sold(fact).join(F.broadcast(dc), "customer_key").join(F.broadcast(dp), "product_key")
+        return j.groupBy(*GROUP).agg(
+            F.round(F.sum(F.col("order_total").cast(MONEY)).cast("double"), 2).alias("revenue"),
+            F.count(F.lit(1)).alias(count_name))
     pairs = (_sold(fact).groupBy("customer_key", "product_key")
              .agg(F.sum(F.col("order_total").cast(MONEY)).alias("_s"),
                   F.count(F.lit(1)).alias("_n")))

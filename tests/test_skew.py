@@ -57,7 +57,9 @@ def test_salted_branch_equals_plain_join(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
-def test_marts_pre_aggregation_exact(bronze_rows):
+def test_marts_pre_aggregation_exact(bronze_rows, monkeypatch):
+    # force the large-dimension plan (aggregation below both joins)
+    monkeypatch.setattr(marts, "MAX_BROADCAST_DIM_ROWS", 0)
     silver = build_silver(_hot_bronze(bronze_rows))
     dim, dp = _dims(silver), dim_product(silver)
     fact = fact_orders(silver, dim, dp)
@@ -110,3 +112,14 @@ def test_aqe_splits_hot_customer_on_published_tables(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_mart_plans_agree_on_driver_tables(spark, monkeypatch):
+    from starmart.plans.catalog import StarBuild
+    from tests.conftest import SF_SMALL
+    b = StarBuild(spark, SF_SMALL)
+    fact, dc, dp = b.fact, b.dim_customer, b.dim_product
+    small = sorted(map(tuple, marts.revenue_as_was(fact, dc, dp).collect()))
+    monkeypatch.setattr(marts, "MAX_BROADCAST_DIM_ROWS", 0)
+    large = marts.revenue_as_was(fact, dc, dp)
+    assert sorted(map(tuple, large.collect())) == small
