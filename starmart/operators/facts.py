@@ -2,48 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.exprs import date_key, event_date
 from starmart.functions.schemas import FACT_ORDERS_SCHEMA
-from starmart.operators.joins import interval_join
+from starmart.operators.joins import has_at_most
 from starmart.operators.skew import hot_keys, split_hot_join
 
 FACT_COLUMNS = [f.name for f in FACT_ORDERS_SCHEMA.fields]
 
 
+# Dimension projections up to this many rows (key + a few columns, < 100
+# bytes a row) are broadcast after a row-count check.
+MAX_BROADCAST_DIM_ROWS = 1_000_000
+
+
+def _join_dim(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+              cond: Callable[[], Column], small: bool, hot: Callable[[], list] | None) -> DataFrame:
+    """Inner join of the (big) event side with a dimension: broadcast when
+    the dimension is proven ``small``, else hot keys split off (``hot``
+    finds them), else a plain equi-join (sort-merge, AQE-adjusted)."""
+    if small:
+        return left.join(F.broadcast(right), cond(), "inner")
+    if hot is not None:
+        return split_hot_join(left, right, left_key, right_key, cond, hot())
+    return left.join(right, cond(), "inner")
+
+
 def fact_orders(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                hot_share: float | None = None) -> DataFrame:
+                hot_share: float | None = None,
+                max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
     """One row per silver order event with the customer version valid on the
     event's date (half-open ``[start_date, end_date)``) and the product key.
 
     Inner joins, as in the reference: events of customers without a valid
     version (or without a customer id) are not in the fact.  Both joins are
     equi-joins (customer_id, product_id) – the date range is a residual – so
-    Catalyst plans hash/sort-merge joins; AQE broadcasts a dimension only
-    when its measured size is below the threshold and splits skewed
-    partitions.  With ``hot_share`` the customers holding at least that
-    share of silver are found first and joined on their own (broadcast of
-    their few versions, or salted) – hot keys are handled even where AQE
-    cannot split."""
+    they are never nested loops.  Per dimension: broadcast when a row-count
+    check proves it small; otherwise, with ``hot_share``, the customers /
+    products holding at least that share of silver are joined on their own
+    (their dimension rows broadcast after a check, or salted) – a hot key
+    never lands in one task, even where AQE cannot split it (a dimension
+    coming out of an aggregate already partitioned by its key has no shuffle
+    stage of its own); the rest is a sort-merge join that AQE may still
+    adjust at run time."""
     s = silver.select("order_id", "event_id", "customer_id", "product_id", "quantity",
                       "unit_price", "order_total", "status", "event_ts",
                       event_date().alias("_d"))
     dc = dim_customer.select(F.col("customer_id").alias("_dc_id"), "customer_key",
                              "start_date", "end_date")
+    dp = dim_product.select(F.col("product_id").alias("_dp_id"), "product_key")
 
-    def cond():
+    def on_customer():
         return ((F.col("customer_id") == F.col("_dc_id")) & (F.col("_d") >= F.col("start_date"))
                 & (F.col("end_date").isNull() | (F.col("_d") < F.col("end_date"))))
 
-    if hot_share:
-        hot = hot_keys(s, "customer_id", hot_share)
-        j = split_hot_join(s, dc, "customer_id", "_dc_id", cond, hot)
-    else:
-        j = interval_join(s, dc, F.col("customer_id") == F.col("_dc_id"),
-                          F.col("_d"), F.col("start_date"), F.col("end_date"))
-    j = j.join(dim_product.select("product_id", "product_key"), "product_id")
+    def on_product():
+        return F.col("product_id") == F.col("_dp_id")
+
+    def small(dim):
+        return max_broadcast_rows > 0 and has_at_most(dim, max_broadcast_rows)
+
+    def hot(key):
+        # hot relative to the whole input: no key brings more than
+        # ``hot_share`` of silver into one task
+        return (lambda: hot_keys(s, key, hot_share)) if hot_share else None
+
+    j = _join_dim(s, dc, "customer_id", "_dc_id", on_customer, small(dc), hot("customer_id"))
+    j = _join_dim(j, dp, "product_id", "_dp_id", on_product, small(dp), hot("product_id"))
     return j.select("order_id", "event_id", "customer_key", "product_key",
                     date_key("event_ts").alias("date_key"), "quantity", "unit_price",
                     "order_total", "status", "event_ts")

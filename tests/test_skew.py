@@ -39,9 +39,11 @@ def test_hot_keys_bounded(bronze_rows):
 def test_split_join_equals_plain_join(spark, bronze_rows):
     silver = build_silver(_hot_bronze(bronze_rows))
     dim, dp = _dims(silver), dim_product(silver)
-    plain = sorted(map(tuple, fact_orders(silver, dim, dp).collect()))
-    split = sorted(map(tuple, fact_orders(silver, dim, dp, hot_share=0.1).collect()))
-    assert plain == split and len(plain) == 600
+    plain = sorted(map(tuple, fact_orders(silver, dim, dp, max_broadcast_rows=0).collect()))
+    split = sorted(map(tuple, fact_orders(silver, dim, dp, hot_share=0.1,
+                                          max_broadcast_rows=0).collect()))
+    broadcast = sorted(map(tuple, fact_orders(silver, dim, dp, hot_share=0.1).collect()))
+    assert plain == split == broadcast and len(plain) == 600
 
 
 def test_salted_branch_equals_plain_join(spark):
@@ -105,7 +107,7 @@ def test_aqe_splits_hot_customer_on_published_tables(spark, tmp_path):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        fact = fact_orders(silver, dim, dim_product(silver))
+        fact = fact_orders(silver, dim, dim_product(silver), max_broadcast_rows=0)
         assert len(fact.collect()) == n
         plan = fact._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin(skew=true)" in plan
