@@ -9,7 +9,6 @@ register it as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -100,12 +99,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-filesystem helpers."""
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)
