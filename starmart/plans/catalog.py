@@ -114,11 +114,12 @@ class StarBuild:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return scd2_apply(self.dim_customer_init, self.changes)
+        # reused by size checks, the fact join and the marts: cut once
+        return self._cut(scd2_apply(self.dim_customer_init, self.changes))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dim_product(self.silver_shared)
+        return self._cut(dim_product(self.silver_shared))
 
     @cached_property
     def fact(self) -> DataFrame:
