@@ -347,6 +347,23 @@ def q_silver_stream(b: StarBuild) -> DataFrame:
     return b.spark.read.parquet(out)
 
 
+def q_silver_stream_merge(b: StarBuild) -> DataFrame:
+    """Bronze files read as a stream (rate-limited micro-batches), each batch
+    merged into silver with the incremental dedup; the valid rows equal
+    batch silver."""
+    from starmart.plans.silver import QUALITY, VALID
+    from starmart.streaming.silver_stream import start_silver_merge_stream
+    src = scratch_dir(b.spark, "bronze_src")
+    b.bronze.write.parquet(src)
+    stream = (b.spark.readStream.schema(b.bronze.schema)
+              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src))
+    silver_path = scratch_dir(b.spark, "silver_merge")
+    q = start_silver_merge_stream(stream, silver_path, scratch_dir(b.spark, "silver_merge_ckpt"),
+                                  available_now=True)
+    q.awaitTermination()
+    return (tables.read(b.spark, silver_path).where(F.col(QUALITY) == VALID).drop(QUALITY))
+
+
 QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "bronze_parse_json": q_bronze_parse_json,
     "bronze_batch": q_bronze_batch,
@@ -356,6 +373,7 @@ QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "fact_by_day": q_fact_by_day,
     "load_audit": q_load_audit,
     "silver_stream": q_silver_stream,
+    "silver_stream_merge": q_silver_stream_merge,
     "order_events": q_order_events,
     "dedup_latest": q_dedup_latest,
     "silver_orders": q_silver_orders,

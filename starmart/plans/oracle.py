@@ -275,5 +275,6 @@ _REGION_TOTALS = BASE + f"""
 SELECT customer_region, COUNT(*) AS events, {MONEY_SUM.format(c='order_total')} AS order_total_sum,
        COUNT(*) FILTER (WHERE event_ts IS NULL) AS null_event_ts
 FROM ev GROUP BY customer_region"""
+SQL["silver_stream_merge"] = BASE + "SELECT * FROM silver"
 SQL["bronze_batch"] = _REGION_TOTALS
 SQL["bronze_stream"] = _REGION_TOTALS

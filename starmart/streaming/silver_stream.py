@@ -17,3 +17,30 @@ def silver_stream(bronze_stream: DataFrame, delay: str = "30 days") -> DataFrame
             .where(is_valid_total() & is_valid_status())
             .withWatermark("_ingested_at", delay)
             .dropDuplicatesWithinWatermark(["event_id"]))
+
+
+def start_silver_merge_stream(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
+                              available_now: bool = False,
+                              trigger_interval: str = "5 seconds"):
+    """Streaming silver with the batch semantics (newest version wins).
+
+    Every micro-batch is merged into the checked silver table with
+    ``incremental_checked`` – only the events it touches are re-evaluated
+    against the previous winners – and published as the table's next
+    snapshot.  ``foreachBatch`` may replay the last batch after a failure;
+    merging the same rows again changes no winner, so the table ends up as
+    if each batch were applied exactly once."""
+    from starmart.plans.silver import QUALITY, checked, incremental_checked
+    from starmart.sources import tables
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if tables.exists(spark, silver_path):
+            out = incremental_checked(tables.read(spark, silver_path), batch)
+        else:
+            out = checked(batch)
+        tables.publish(out, silver_path, f"STREAMING MERGE {batch_id}", partition_by=[QUALITY])
+
+    w = bronze_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)
+    return w.start()

@@ -99,3 +99,36 @@ def test_kafka_source_needs_connector(spark):
         pytest.skip("connector present")
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         kafka_source(spark, "localhost:9092")
+
+
+def test_silver_merge_stream_equals_batch_silver(spark, bronze_rows):
+    """Versions of one event in different micro-batches; the newest (invalid)
+    one arrives last and hides the event, as in batch silver."""
+    import datetime as dt
+
+    from starmart.plans.silver import QUALITY, VALID, build_silver
+    from starmart.streaming.silver_stream import start_silver_merge_stream
+    D = dt.datetime
+    batches = [
+        [{"event_id": "e1", "_ingested_at": D(2026, 1, 1)}, {"event_id": "e2"},
+         {"event_id": None, "order_id": "A", "_ingested_at": D(2026, 1, 1)}],
+        [{"event_id": "e1", "quantity": 5, "_ingested_at": D(2026, 1, 3)},
+         {"event_id": None, "order_id": "B", "_ingested_at": D(2026, 1, 3)}],
+        [{"event_id": "e2", "order_total": -1.0, "_ingested_at": D(2026, 1, 5)},
+         {"event_id": "e1", "quantity": 9, "_ingested_at": D(2025, 1, 1)}],
+    ]
+    src = scratch_dir(spark, "bronze_ms")
+    for rows in batches:
+        bronze_rows(*rows).coalesce(1).write.mode("append").parquet(src)
+    schema = bronze_rows(*batches[0]).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    silver_path = scratch_dir(spark, "silver_ms")
+    q = start_silver_merge_stream(stream, silver_path, scratch_dir(spark, "ckpt_ms"),
+                                  available_now=True)
+    q.awaitTermination()
+    got = (tables.read(spark, silver_path).where(f"{QUALITY} = '{VALID}'").drop(QUALITY))
+    want = build_silver(bronze_rows(*[r for b in batches for r in b]))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert {(r.event_id, r.quantity, r.order_id) for r in got.collect()} == {("e1", 5, "O1"),
+                                                                            (None, 1, "B")}
+    assert len(tables.versions(spark, silver_path)) == 3   # one merge per micro-batch
