@@ -138,10 +138,19 @@ class Lake:
             run_for(q, seconds)
         return q
 
-    def gate(self, threshold: float = GATE_THRESHOLD) -> dict:
+    def gate(self, threshold: float = GATE_THRESHOLD, increment_only: bool = False) -> dict:
+        """Quality metrics and decision over all of bronze (the reference's
+        rule) or, with ``increment_only``, over the files committed since the
+        last silver build – the part this load adds (pruned at listing)."""
         def run():
-            row = quality_gate(self.bronze(), (threshold,)).first()
-            return row.asDict()
+            parts = bronze_io.bronze_parts(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
+            since = None
+            if increment_only and tables.exists(self.spark, self.cfg.silver):
+                last = tables.load_audit(self.spark, self.cfg.silver, 1).collect()
+                since = last[0]["watermark"] if last else None
+            scope = bronze_io.union_all(self.spark,
+                                        [newer_files(p, since, strict=True) for p in parts])
+            return quality_gate(scope, (threshold,)).first().asDict()
         return self._timed("gate", run)
 
     def build_silver(self, incremental: bool | None = None) -> dict:

@@ -33,15 +33,18 @@ def checked(bronze: DataFrame) -> DataFrame:
             .withColumn(QUALITY, F.coalesce(reject_reason(), F.lit(VALID))))
 
 
-def newer_files(part: DataFrame, since: int | None) -> DataFrame:
+def newer_files(part: DataFrame, since: int | None, strict: bool = False) -> DataFrame:
     """Rows of a file-based relation from files committed at or after
     ``since`` (microseconds since the epoch) – the filter is on file
     metadata, so older files are pruned at listing time and never opened.
-    (``>=``: a file seen twice is harmless, see ``incremental_checked``.)
-    Apply it to each scanned relation before any union."""
+    ``>=`` by default: for the idempotent merge a file seen twice is
+    harmless and none is ever skipped; ``strict`` (``>``) for metrics that
+    must not count the last consumed file again.  Apply it to each scanned
+    relation before any union."""
     if since is None:
         return part
-    return part.where(F.col(FILE_TIME) >= F.timestamp_micros(F.lit(since)))
+    bound = F.timestamp_micros(F.lit(since))
+    return part.where(F.col(FILE_TIME) > bound if strict else F.col(FILE_TIME) >= bound)
 
 
 def new_files_summary(parts: list[DataFrame], since: int | None) -> tuple[int | None, int]:

@@ -112,3 +112,14 @@ def test_batch_and_stream_bronze_both_visible(spark):
     assert lake.bronze().where("_source_file IS NULL").count() == ev.where(first).count()
     lake.build_silver()
     assert lake.silver().count() > 0
+
+
+def test_gate_on_increment_only(spark, bronze_rows):
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake_g")))
+    lake.append_bronze(bronze_rows(*[{"event_id": f"a{i}", "order_id": None} for i in range(10)]))
+    lake.build_silver()
+    lake.append_bronze(bronze_rows(*[{"event_id": f"b{i}"} for i in range(10)]))
+    whole = lake.gate()
+    inc = lake.gate(increment_only=True)
+    assert (whole["total"], whole["nulls"], whole["decision"]) == (20, 10, "quarantine")
+    assert (inc["total"], inc["nulls"], inc["decision"]) == (10, 0, "proceed")
