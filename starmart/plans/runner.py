@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions.schemas import CONTRACTS, GATE_THRESHOLD, check_contract
 from starmart.operators.dims import dim_date, dim_product
-from starmart.operators.facts import fact_orders
+from starmart.operators.facts import changed_keys, fact_orders, fact_orders_incremental
 from starmart.operators.quality import QUARANTINE, quality_gate
 from starmart.operators.scd2 import customer_latest, scd2_apply, scd2_changes, scd2_init
 from starmart.operators.skew import DEFAULT_MIN_SHARE
@@ -63,6 +63,8 @@ class LakeConfig:
     @property
     def silver(self) -> str: return self._p("silver", "orders_checked")
     @property
+    def silver_touched(self) -> str: return self._p("silver", "orders_touched")
+    @property
     def dim_customer(self) -> str: return self._p("gold", "dim_customer")
     @property
     def dim_product(self) -> str: return self._p("gold", "dim_product")
@@ -180,8 +182,13 @@ class Lake:
                 out, op = incremental_checked(prev, fresh), "MERGE"
             else:
                 out, op = checked(bronze_io.union_all(self.spark, parts)), "WRITE"
-            return tables.publish(out, self.cfg.silver, op, partition_by=["quality"],
-                                  watermark=upto or since)
+            rec = tables.publish(out, self.cfg.silver, op, partition_by=["quality"],
+                                 watermark=upto or since)
+            if merge:
+                # the ids this merge re-evaluated, for the incremental fact
+                tables.publish(fresh.select("event_id").distinct(), self.cfg.silver_touched,
+                               "WRITE", sources={"silver": rec["version"]})
+            return rec
         return self._timed("silver", run)
 
     def build_dim_product(self) -> dict:
@@ -211,12 +218,45 @@ class Lake:
                                   self.cfg.dim_customer, op)
         return self._timed("dim_customer", run)
 
-    def build_fact(self) -> dict:
+    def build_fact(self, incremental: bool | None = None) -> dict:
+        """Fact from silver and the current dimensions.
+
+        Incremental when the previous fact was built from the silver
+        snapshot this silver merge started from: only events the merge
+        touched and events of customers whose dimension rows changed are
+        rebuilt (exact, tested against the full build).  ``None`` also
+        requires the touched ids to be under ``INCREMENTAL_MAX_SHARE`` of
+        the fact; otherwise (or after a full silver rebuild) the fact is
+        rebuilt."""
         def run():
-            fact = fact_orders(self.silver(), self.table(self.cfg.dim_customer),
-                               self.table(self.cfg.dim_product), hot_share=self.hot_share)
+            silver_rec = tables.last_record(self.spark, self.cfg.silver)
+            sources = {"silver": silver_rec["version"],
+                       "dim_customer": tables.versions(self.spark, self.cfg.dim_customer)[-1]}
+            dc, dp = self.table(self.cfg.dim_customer), self.table(self.cfg.dim_product)
+            fact_rec = (tables.last_record(self.spark, self.cfg.fact_orders)
+                        if tables.exists(self.spark, self.cfg.fact_orders) else None)
+            touched_rec = (tables.last_record(self.spark, self.cfg.silver_touched)
+                           if tables.exists(self.spark, self.cfg.silver_touched) else None)
+            inc = (incremental is not False and fact_rec is not None
+                   and silver_rec["operation"] == "MERGE"
+                   and fact_rec["sources"].get("silver") == silver_rec["version"] - 1
+                   and touched_rec is not None
+                   and touched_rec["sources"].get("silver") == silver_rec["version"]
+                   and (incremental is True
+                        or touched_rec["rows"] < INCREMENTAL_MAX_SHARE * fact_rec["rows"]))
+            if inc:
+                prev_dc = tables.read(self.spark, self.cfg.dim_customer,
+                                      version=fact_rec["sources"]["dim_customer"])
+                fact = fact_orders_incremental(
+                    self.table(self.cfg.fact_orders), self.silver(), dc, dp,
+                    self.table(self.cfg.silver_touched), changed_keys(dc, prev_dc, "customer_id"),
+                    hot_share=self.hot_share)
+                op = "MERGE"
+            else:
+                fact, op = fact_orders(self.silver(), dc, dp, hot_share=self.hot_share), "WRITE"
             return tables.publish(check_contract(fact, CONTRACTS["fact_orders"]),
-                                  self.cfg.fact_orders, "WRITE", partition_by=["status"])
+                                  self.cfg.fact_orders, op, partition_by=["status"],
+                                  sources=sources)
         return self._timed("fact", run)
 
     def marts(self) -> tuple[dict, DataFrame]:
@@ -245,7 +285,7 @@ class Lake:
         self.build_dim_customer(insert_new=insert_new)
         self.build_dim_product()
         self.build_dim_date()
-        self.build_fact()
+        self.build_fact(incremental=incremental)
         return self.marts()[1]
 
     def run_stage(self, stage: str, **kw):
