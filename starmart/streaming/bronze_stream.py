@@ -13,12 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 from starmart.functions.schemas import EVENT_SCHEMA, ORDERS_TOPIC
 from starmart.sources.bronze import BRONZE_PARTITION, parse_values, typed_events
 
-# Reference settings: 5 s micro-batches, at most 1000 offsets per batch,
-# start at the latest offsets, run for 60 s.
+# ---------------------------------------------------------------------------
+# Fixed values (stream settings to match): 5 s micro-batches, at most 1000
+# offsets per batch, start at the latest offsets, run for 60 s.
 TRIGGER_INTERVAL = "5 seconds"
 MAX_OFFSETS_PER_TRIGGER = 1000
 STARTING_OFFSETS = "latest"
 RUN_SECONDS = 60
+# ---------------------------------------------------------------------------
 
 
 def file_source(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
