@@ -364,6 +364,18 @@ def q_silver_stream_merge(b: StarBuild) -> DataFrame:
     return (tables.read(b.spark, silver_path).where(F.col(QUALITY) == VALID).drop(QUALITY))
 
 
+def q_dim_customer_time_travel(b: StarBuild) -> DataFrame:
+    """Snapshot history of the published dimension: the first load is
+    published as version 0, the merged dimension as version 1; version 0 is
+    read back."""
+    path = scratch_dir(b.spark, "dim_customer")
+    tables.publish(b.dim_customer_init, path, "WRITE")
+    tables.publish(b.dim_customer, path, "MERGE")
+    if tables.versions(b.spark, path) != [0, 1]:
+        raise RuntimeError(f"unexpected snapshot versions under {path}")
+    return tables.read(b.spark, path, version=0)
+
+
 QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "bronze_parse_json": q_bronze_parse_json,
     "bronze_batch": q_bronze_batch,
@@ -389,6 +401,7 @@ QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "merge_upsert": q_merge_upsert,
     "scd2_full_history": q_scd2_full_history,
     "dim_customer_as_of": q_dim_customer_as_of,
+    "dim_customer_time_travel": q_dim_customer_time_travel,
     "fact_orders": q_fact_orders,
     "revenue_top10": q_revenue_top10,
     "revenue_top10_sql": q_revenue_top10_sql,

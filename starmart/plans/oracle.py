@@ -276,5 +276,6 @@ SELECT customer_region, COUNT(*) AS events, {MONEY_SUM.format(c='order_total')}
        COUNT(*) FILTER (WHERE event_ts IS NULL) AS null_event_ts
 FROM ev GROUP BY customer_region"""
 SQL["silver_stream_merge"] = BASE + "SELECT * FROM silver"
+SQL["dim_customer_time_travel"] = BASE + "SELECT * FROM dim_init"
 SQL["bronze_batch"] = _REGION_TOTALS
 SQL["bronze_stream"] = _REGION_TOTALS
