@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v.hex()          # exact: money is summed as DECIMAL on both sides
     if v is pd.NaT:
         return None
     if isinstance(v, pd.Timestamp):
