@@ -151,3 +151,22 @@ def test_incremental_fact_equals_full_rebuild(spark):
             a = sorted(map(tuple, inc.table(getattr(inc.cfg, path)).collect()), key=str)
             b = sorted(map(tuple, full.table(getattr(full.cfg, path)).collect()), key=str)
             assert a == b, (path, insert_new)
+
+
+def test_run_stage_rejects_unknown(spark):
+    import pytest
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake_u")))
+    with pytest.raises(ValueError, match="Unknown stage"):
+        lake.run_stage("gold")
+
+
+def test_cli_stream_stage_bounded_run(spark):
+    from starmart.plans.runner import main
+    from starmart.sources import bronze as bronze_io
+    root = scratch_dir(spark, "lake_s")
+    cfg = LakeConfig(root)
+    ev = order_events(spark, SF_SMALL)
+    bronze_io.write_ndjson(ev, cfg.raw)
+    assert main(["--lake", root, "--stage", "stream", "--seconds", "12"]) == 0
+    assert not spark.streams.active
+    assert Lake(spark, cfg).bronze().count() == ev.count()
