@@ -8,13 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.exprs import date_key, event_date
-from starmart.functions.schemas import FACT_ORDERS_SCHEMA
 from starmart.operators.joins import has_at_most
 from starmart.operators.skew import hot_keys, split_hot_join
 
-FACT_COLUMNS = [f.name for f in FACT_ORDERS_SCHEMA.fields]
-
-
 # Dimension projections up to this many rows (key + a few columns, < 100
 # bytes a row) are broadcast after a row-count check.
 MAX_BROADCAST_DIM_ROWS = 1_000_000
