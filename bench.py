@@ -81,9 +81,15 @@ def main() -> int:
     from starmart.sources.fixtures import order_events
 
     log_dir = tempfile.mkdtemp(prefix="starmart-eventlog-")
+    # driver heap: 16 GB, or 60 % of the machine's memory when that is less
+    try:
+        ram_gb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2**30
+    except (ValueError, OSError, AttributeError):
+        ram_gb = 32
+    heap = f"{max(1, min(16, int(ram_gb * 0.6)))}g"
     spark = build_session(f"local[{cpus}]", app_name="starmart-bench",
                           shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g",
+                          extra={"spark.driver.memory": heap,
                                  "spark.eventLog.enabled": "true",
                                  "spark.eventLog.dir": log_dir,
                                  "spark.eventLog.compress": "false"})
