@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.exprs import date_key, event_date
-from starmart.operators.joins import has_at_most
+from starmart.operators.joins import bounded_broadcast, has_at_most
 from starmart.operators.skew import hot_keys, split_hot_join
 
 # Dimension projections up to this many rows (key + a few columns, < 100
 # bytes a row) are broadcast after a row-count check.
 MAX_BROADCAST_DIM_ROWS = 1_000_000
+# Key sets of an increment (ids of ~20 bytes) broadcast after a row-count
+# check; beyond this the semi / anti joins shuffle.
+MAX_BROADCAST_KEYS = 5_000_000
 
 
 def _join_dim(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -94,11 +97,15 @@ def fact_orders_incremental(previous_fact: DataFrame, silver: DataFrame,
     dimension rows changed (closed / new versions, inserted customers):
     product keys are md5 of the product id and never change.  Those events
     are rebuilt; every other row is kept as it is.  Matching on event id is
-    NULL-safe (silver may hold one event without an id)."""
-    affected = (touched_events.select(F.col("event_id").alias("_eid"))
-                .unionByName(silver.join(changed_customers, "customer_id", "left_semi")
-                             .select(F.col("event_id").alias("_eid")))
-                .distinct())
+    NULL-safe (silver may hold one event without an id).  The id sets are
+    broadcast after a row-count check, so neither silver nor the previous
+    fact is shuffled for a small increment."""
+    changed = bounded_broadcast(changed_customers, MAX_BROADCAST_KEYS)
+    affected = bounded_broadcast(
+        touched_events.select(F.col("event_id").alias("_eid"))
+        .unionByName(silver.join(changed, "customer_id", "left_semi")
+                     .select(F.col("event_id").alias("_eid")))
+        .distinct(), MAX_BROADCAST_KEYS)
     keep = previous_fact.join(affected, previous_fact["event_id"].eqNullSafe(affected["_eid"]),
                               "left_anti")
     redo_input = silver.join(affected, silver["event_id"].eqNullSafe(affected["_eid"]),

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.dedup import SILVER_ORDER, dedup_latest
+from starmart.operators.joins import bounded_broadcast
 from starmart.operators.quality import reject_reason, split_valid
 
 VALID = "valid"
 QUALITY = "quality"
 FILE_TIME = "_metadata.file_modification_time"
+# Ids touched by one increment (~20 bytes each) broadcast after a row-count
+# check; beyond this the semi / anti joins shuffle.
+MAX_BROADCAST_KEYS = 5_000_000
 
 
 def silver_split(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,10 +76,11 @@ def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:
     NULL ids still form one group.  Re-reading rows already consumed cannot
     change a winner (the build is idempotent).
 
-    The touched id set is the small side of two joins (semi / anti); AQE
-    broadcasts it when its measured size allows, otherwise both sides
-    shuffle on event_id."""
-    touched = new_rows.select(F.col("event_id").alias("_tid")).distinct()
+    The touched id set is the small side of two joins (semi / anti): it is
+    broadcast after a row-count check, so the previous table is scanned but
+    not shuffled; beyond the bound both sides shuffle on event_id."""
+    touched = bounded_broadcast(new_rows.select(F.col("event_id").alias("_tid")).distinct(),
+                                MAX_BROADCAST_KEYS)
     match = previous["event_id"].eqNullSafe(touched["_tid"])
     kept = previous.join(touched, match, "left_anti")
     revisit = previous.join(touched, match, "left_semi").drop(QUALITY)
