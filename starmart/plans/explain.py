@@ -2,7 +2,8 @@
 
     python -m starmart.plans.explain /root/testdata/sf0.01 > docs/PLANS.md
 
-Builds a small lake with the runner (two loads), then shows, for each stage
+Builds a small lake with the runner (three loads, the last a small
+increment), then shows, for each stage
 read from its published inputs: the plan tree and the scan lines
 (ReadSchema / PushedFilters / PartitionFilters).  "large" variants disable
 every broadcast to show the plan a cluster-sized dimension gets."""
@@ -32,7 +33,7 @@ def _tree(spark, df: DataFrame) -> str:
 
 
 def main(argv: list[str]) -> int:
-    from starmart.operators.facts import fact_orders
+    from starmart.operators.facts import changed_keys, fact_orders, fact_orders_incremental
     from starmart.operators.history import scd2_full_history
     from starmart.plans import marts
     from starmart.plans.runner import Lake, LakeConfig
@@ -47,10 +48,17 @@ def main(argv: list[str]) -> int:
     lake = Lake(spark, LakeConfig(scratch_dir(spark, "explain_lake")), hot_share=None)
     ev = order_events(spark, sf_dir)
     first = F.col("event_ts") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
+    last = F.col("event_ts") >= F.lit(dt.datetime(2001, 3, 1)).cast("timestamp_ntz")
     lake.append_bronze(ev.where(first))
     lake.run_all()
-    lake.append_bronze(ev.where(~first))
+    lake.append_bronze(ev.where(~first & ~last))
     lake.run_all()
+    prev_fact_version = tables.versions(spark, lake.cfg.fact_orders)[-1]
+    prev_dc_version = tables.versions(spark, lake.cfg.dim_customer)[-1]
+    lake.append_bronze(ev.where(last))       # a small increment: merge paths
+    lake.build_silver()
+    lake.build_dim_customer()
+    lake.build_dim_product()
     silver = lake.silver()
     fact, dc, dp = (lake.table(lake.cfg.fact_orders), lake.table(lake.cfg.dim_customer),
                     lake.table(lake.cfg.dim_product))
@@ -69,6 +77,14 @@ def main(argv: list[str]) -> int:
          lambda: marts.sales_summary(fact, dc, dp)),
         ("full SCD2 history (segmented neighbour lookup)",
          lambda: scd2_full_history(silver)),
+        ("fact: incremental rebuild after a small silver merge",
+         lambda: fact_orders_incremental(
+             tables.read(spark, lake.cfg.fact_orders, version=prev_fact_version),
+             lake.silver(), lake.table(lake.cfg.dim_customer), lake.table(lake.cfg.dim_product),
+             lake.table(lake.cfg.silver_touched),
+             changed_keys(lake.table(lake.cfg.dim_customer),
+                          tables.read(spark, lake.cfg.dim_customer, version=prev_dc_version),
+                          "customer_id"))),
     ]
     large = [("fact: large dimensions, hot keys split off (threshold lowered so the "
                "busiest customers count as hot)",
