@@ -165,3 +165,25 @@ def test_customer_ltv_unknown_is_zero(spark, bronze_rows):
     fact = fact_orders(silver, dim, dim_product(silver))
     assert marts.customer_ltv(fact, dim, "NOPE").collect()[0].ltv == 0.0
     assert marts.customer_ltv(fact, dim, "C1").collect()[0].ltv == 10.0
+
+
+def test_merge_into_generic(spark):
+    from starmart.operators.scd2 import merge_into
+    target = spark.createDataFrame(
+        [("k1", 1, True), ("k2", 2, True), ("k3", 3, False), (None, 4, True)],
+        "k string, v int, live boolean")
+    source = spark.createDataFrame([("k1", 10), ("k2", 1), ("k3", 30), ("k9", 90), (None, 99)],
+                                   "k string, v int")
+    out = merge_into(target, source, "k",
+                     target_filter=F.col("t_live"),
+                     matched_condition=F.col("s_v") > F.col("t_v"),
+                     matched_set={"v": F.col("s_v")},
+                     not_matched_insert={"k": F.col("s_k"), "v": F.col("s_v"),
+                                         "live": F.lit(True)})
+    got = sorted(map(tuple, out.collect()), key=str)
+    # k1 updated (10 > 1); k2 kept (1 < 2); k3 not live -> passes through and,
+    # as the ON clause only sees live rows, k3 of the source is inserted;
+    # k9 inserted; NULL keys never match: target NULL kept, source NULL inserted
+    assert got == sorted([("k1", 10, True), ("k2", 2, True), ("k3", 3, False),
+                          ("k3", 30, True), ("k9", 90, True), (None, 4, True),
+                          (None, 99, True)], key=str)
