@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from starmart.functions.exprs import differs, event_date, first_key, version_key
 from starmart.functions.schemas import DIM_CUSTOMER_SCHEMA
+from starmart.operators.joins import bounded_broadcast
 
 DIM_COLUMNS = [f.name for f in DIM_CUSTOMER_SCHEMA.fields]
+# Change sets up to this many customers are broadcast (after a row-count check).
+MAX_BROADCAST_CHANGES = 5_000_000
 TRACKED = ("customer_name", "customer_region")
 
 
@@ -78,8 +81,10 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, latest: DataFrame | None = No
     at most one row per key."""
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
-    eff = changes.select("customer_id", F.col("effective_date").alias("_eff"),
-                         F.lit(True).alias("_matched"))
+    # the change set is usually a small share of the customers: broadcast it
+    # after a row-count check, so the current dimension is not shuffled
+    eff = bounded_broadcast(changes.select("customer_id", F.col("effective_date").alias("_eff"),
+                                           F.lit(True).alias("_matched")), MAX_BROADCAST_CHANGES)
     matched = F.col("_matched").isNotNull()
     current_after = (current.join(eff, "customer_id", "left")
                      .select("customer_key", "customer_id", "customer_name", "customer_region",
