@@ -78,7 +78,9 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, latest: DataFrame | None = No
 
     Only current rows take part in the join (closed history passes through
     without a shuffle).  The join is on customer_id, where both sides hold
-    at most one row per key."""
+    at most one row per key; a change set of at most
+    ``MAX_BROADCAST_CHANGES`` rows is broadcast (row-count check), so the
+    current dimension is scanned rather than shuffled."""
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
     # the change set is usually a small share of the customers: broadcast it
