@@ -32,6 +32,13 @@ def _tree(spark, df: DataFrame) -> str:
     return "\n".join(tree + [""] + scans)
 
 
+def _scd2_merge(lake) -> DataFrame:
+    from starmart.operators.scd2 import customer_latest, scd2_apply, scd2_changes
+    cur = lake.table(lake.cfg.dim_customer)
+    latest = customer_latest(lake.silver())
+    return scd2_apply(cur, scd2_changes(latest, cur), latest)
+
+
 def main(argv: list[str]) -> int:
     from starmart.operators.facts import changed_keys, fact_orders, fact_orders_incremental
     from starmart.operators.history import scd2_full_history
@@ -75,6 +82,8 @@ def main(argv: list[str]) -> int:
          lambda: fact_orders(silver, dc, dp)),
         ("marts: sales summary, dimensions proven small",
          lambda: marts.sales_summary(fact, dc, dp)),
+        ("dim_customer: SCD2 merge (change set broadcast after a row-count check)",
+         lambda: _scd2_merge(lake)),
         ("full SCD2 history (segmented neighbour lookup)",
          lambda: scd2_full_history(silver)),
         ("fact: incremental rebuild after a small silver merge",
