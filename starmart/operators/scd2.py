@@ -69,7 +69,7 @@ def scd2_changes(latest: DataFrame, dim: DataFrame, null_safe: bool = False) ->
 
 
 def scd2_apply(dim: DataFrame, changes: DataFrame, latest: DataFrame | None = None,
-               insert_new: bool = False) -> DataFrame:
+               insert_new: bool = False, newcomers: DataFrame | None = None) -> DataFrame:
     """Close the current version of every changed customer (``end_date`` =
     the change's effective date, ``is_current`` false) and add the new
     current versions.  With ``insert_new`` (and ``latest``), customers that
@@ -97,13 +97,20 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, latest: DataFrame | None = No
         *_dim_row(version_key("customer_id", "effective_date"), F.col("effective_date")))
     out = history.select(*DIM_COLUMNS).unionByName(current_after).unionByName(new_versions)
     if insert_new:
-        if latest is None:
-            raise ValueError("insert_new needs the latest-per-customer frame")
-        newcomers = latest.join(current.select("customer_id"), "customer_id", "left_anti")
+        if newcomers is None:
+            if latest is None:
+                raise ValueError("insert_new needs the latest-per-customer frame")
+            newcomers = scd2_newcomers(latest, dim)
         out = out.unionByName(scd2_init(newcomers))
     return out
 
 
+def scd2_newcomers(latest: DataFrame, dim: DataFrame) -> DataFrame:
+    """Latest attributes of customers without a current version."""
+    current = dim.where(F.col("is_current")).select("customer_id")
+    return latest.join(current, "customer_id", "left_anti")
+
+
 def merge_into(target: DataFrame, source: DataFrame, key: str,
                target_filter: Column | None = None,
                matched_condition: Column | None = None,

@@ -24,7 +24,8 @@ from starmart.functions.schemas import CONTRACTS, GATE_THRESHOLD, check_contract
 from starmart.operators.dims import dim_date, dim_product
 from starmart.operators.facts import changed_keys, fact_orders, fact_orders_incremental
 from starmart.operators.quality import QUARANTINE, quality_gate
-from starmart.operators.scd2 import customer_latest, scd2_apply, scd2_changes, scd2_init
+from starmart.operators.scd2 import (customer_latest, scd2_apply, scd2_changes, scd2_init,
+                                     scd2_newcomers)
 from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
 from starmart.plans.silver import VALID, checked, incremental_checked, new_files_summary, newer_files
@@ -65,6 +66,8 @@ class LakeConfig:
     @property
     def silver_touched(self) -> str: return self._p("silver", "orders_touched")
     @property
+    def dim_customer_changes(self) -> str: return self._p("gold", "dim_customer_changes")
+    @property
     def dim_customer(self) -> str: return self._p("gold", "dim_customer")
     @property
     def dim_product(self) -> str: return self._p("gold", "dim_product")
@@ -209,13 +212,26 @@ class Lake:
         def run():
             latest = customer_latest(self.silver())
             if not tables.exists(self.spark, self.cfg.dim_customer):
-                out, op = scd2_init(latest), "WRITE"
-            else:
-                cur = self.table(self.cfg.dim_customer)
-                changes = scd2_changes(latest, cur, null_safe=null_safe)
-                out, op = scd2_apply(cur, changes, latest, insert_new=insert_new), "MERGE"
+                return tables.publish(check_contract(scd2_init(latest), CONTRACTS["dim_customer"]),
+                                      self.cfg.dim_customer, "WRITE")
+            base = tables.versions(self.spark, self.cfg.dim_customer)[-1]
+            cur = tables.read(self.spark, self.cfg.dim_customer, version=base)
+            # the change set (changed + newly inserted customers) is published
+            # first: the merge reads it back, and the incremental fact uses it
+            # to find the customers whose versions moved
+            side = scd2_changes(latest, cur, null_safe=null_safe).withColumn("kind", F.lit("change"))
+            if insert_new:
+                side = side.unionByName(
+                    scd2_newcomers(latest, cur).withColumn("kind", F.lit("new")))
+            side_rec = tables.publish(side, self.cfg.dim_customer_changes, "WRITE",
+                                      sources={"base": base})
+            side = tables.read(self.spark, self.cfg.dim_customer_changes)
+            out = scd2_apply(cur, side.where(F.col("kind") == "change").drop("kind"), latest,
+                             insert_new=insert_new,
+                             newcomers=side.where(F.col("kind") == "new").drop("kind"))
             return tables.publish(check_contract(out, CONTRACTS["dim_customer"]),
-                                  self.cfg.dim_customer, op)
+                                  self.cfg.dim_customer, "MERGE",
+                                  sources={"base": base, "changes": side_rec["version"]})
         return self._timed("dim_customer", run)
 
     def build_fact(self, incremental: bool | None = None) -> dict:
@@ -245,11 +261,10 @@ class Lake:
                    and (incremental is True
                         or touched_rec["rows"] < INCREMENTAL_MAX_SHARE * fact_rec["rows"]))
             if inc:
-                prev_dc = tables.read(self.spark, self.cfg.dim_customer,
-                                      version=fact_rec["sources"]["dim_customer"])
                 fact = fact_orders_incremental(
                     self.table(self.cfg.fact_orders), self.silver(), dc, dp,
-                    self.table(self.cfg.silver_touched), changed_keys(dc, prev_dc, "customer_id"),
+                    self.table(self.cfg.silver_touched),
+                    self._changed_customers(fact_rec["sources"]["dim_customer"]),
                     hot_share=self.hot_share)
                 op = "MERGE"
             else:
@@ -259,6 +274,19 @@ class Lake:
                                   sources=sources)
         return self._timed("fact", run)
 
+    def _changed_customers(self, since_version: int) -> DataFrame:
+        """Customers whose dimension rows differ from version ``since_version``:
+        the change set the SCD2 merge published when the dimension's newest
+        version was built directly on ``since_version``; otherwise a diff of
+        the two snapshots."""
+        rec = tables.last_record(self.spark, self.cfg.dim_customer)
+        if (rec and rec["operation"] == "MERGE" and rec["sources"].get("base") == since_version
+                and "changes" in rec["sources"]):
+            return tables.read(self.spark, self.cfg.dim_customer_changes,
+                               version=rec["sources"]["changes"]).select("customer_id").distinct()
+        prev = tables.read(self.spark, self.cfg.dim_customer, version=since_version)
+        return changed_keys(self.table(self.cfg.dim_customer), prev, "customer_id")
+
     def marts(self) -> tuple[dict, DataFrame]:
         """Publish the sales summary (materialized serving result, partitioned
         by region) and return the top-10 revenue frame."""

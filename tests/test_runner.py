@@ -170,3 +170,20 @@ def test_cli_stream_stage_bounded_run(spark):
     assert main(["--lake", root, "--stage", "stream", "--seconds", "12"]) == 0
     assert not spark.streams.active
     assert Lake(spark, cfg).bronze().count() == ev.count()
+
+
+def test_rerun_without_new_data_changes_nothing(spark):
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake_r")))
+    lake.append_bronze(order_events(spark, SF_SMALL))
+    lake.run_all()
+
+    def state():
+        return [sorted(map(tuple, lake.table(p).collect()), key=str)
+                for p in (lake.cfg.dim_customer, lake.cfg.fact_orders)] + [
+            sorted(map(tuple, lake.silver().collect()), key=str)]
+    before = state()
+    lake.run_all(incremental=True)          # merge paths with nothing new
+    assert state() == before
+    from starmart.sources import tables
+    assert tables.last_record(spark, lake.cfg.dim_customer)["operation"] == "MERGE"
+    assert tables.read(spark, lake.cfg.dim_customer_changes).count() == 0
