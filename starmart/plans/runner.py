@@ -304,10 +304,11 @@ class Lake:
                              self.table(self.cfg.dim_product), self.table(self.cfg.dim_date))
 
     def run_all(self, threshold: float = GATE_THRESHOLD, insert_new: bool = False,
-                incremental: bool | None = None) -> DataFrame | None:
+                incremental: bool | None = None,
+                gate_increment_only: bool = False) -> DataFrame | None:
         """gate -> silver -> dimensions -> fact -> marts.  Returns the top-10
         revenue frame, or None when the gate quarantines the load."""
-        if self.gate(threshold)["decision"] == QUARANTINE:
+        if self.gate(threshold, increment_only=gate_increment_only)["decision"] == QUARANTINE:
             return None
         self.build_silver(incremental=incremental)
         self.build_dim_customer(insert_new=insert_new)
@@ -337,13 +338,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--threshold", type=float, default=GATE_THRESHOLD)
     ap.add_argument("--insert-new", action="store_true")
     ap.add_argument("--full-silver", action="store_true", help="rebuild silver from all bronze")
+    ap.add_argument("--gate-increment-only", action="store_true",
+                    help="measure the quality gate on the newly committed bronze files only")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (AQE coalesces them by measured size)")
     a = ap.parse_args(argv)
     spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     lake = Lake(spark, LakeConfig.for_session(spark, a.lake))
     if a.stage == "all":
-        top = lake.run_all(a.threshold, a.insert_new, incremental=False if a.full_silver else None)
+        top = lake.run_all(a.threshold, a.insert_new, incremental=False if a.full_silver else None,
+                           gate_increment_only=a.gate_increment_only)
         if top is None:
             print("quality gate: quarantine")
             return 1
@@ -351,7 +355,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.stage == "stream":
         lake.stream(a.seconds, a.kafka)
     elif a.stage == "gate":
-        print(lake.gate(a.threshold))
+        print(lake.gate(a.threshold, increment_only=a.gate_increment_only))
     elif a.stage == "silver":
         lake.build_silver(incremental=False if a.full_silver else None)
     elif a.stage == "dim_customer":
