@@ -18,7 +18,6 @@ def test_query_keys_and_signatures():
     assert set(sql) <= set(qs)
     for name, fn in qs.items():
         assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
-        assert "pipeline" not in name and not re.match(r"op\d+_", name)
         assert len(inspect.signature(fn).parameters) == 2
     for name, text in sql.items():
         assert text.strip().upper().startswith("WITH"), name
