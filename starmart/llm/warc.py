@@ -158,7 +158,8 @@ def read(selected: DataFrame) -> DataFrame:
                             names=["page_id", "url", "record_type", "refers_to", "digest", "payload"])
                 lo = hi
 
-    return (selected.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    tasks = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (selected.select("file", "offset", "length").repartition(tasks, "file").sortWithinPartitions("file", "offset")
             .mapInArrow(fetch, "page_id long, url string, record_type string, refers_to long, digest string, payload binary"))
 
 
