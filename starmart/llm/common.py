@@ -42,10 +42,12 @@ def fold(column: str, modulus: int) -> Column:
 
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Consecutive rows of equal ``keys`` of a sorted partition, as (key, rows);
-    one run at a time is held."""
+    one run at a time is held, repeated rows once."""
     key, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
+            if rows and row == rows[-1]:
+                continue
             k = tuple(row[x] for x in keys)
             if k != key and rows:
                 yield key, rows

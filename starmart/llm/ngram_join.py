@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 from starmart.llm.common import components, cut, runs
 
 BLOCK = 256            # documents of a block of the product
-CLASS_RATIO = 1.5      # largest to smallest size of a class
+CLASS_RATIO = 1.25     # largest to smallest size of a class
+SPARE = 0.4            # parts left out, as a share of d + 1
+MEMBERS_BROADCAST = 1_000_000  # up to so many clustered documents are broadcast to the texts
 _WORDS = 1 << 20       # words whose hashes are kept; a full table is emptied
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _known: dict[bytes, int] = {}
@@ -71,18 +73,18 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 def classes(size: int, num: int, den: int) -> list[tuple[int, int]]:
-    """(class, parts) of a set: its class of sizes and, where a linked set may
-    be in the next class, that one."""
-    c = int(np.floor(np.log(size) / np.log(CLASS_RATIO) + 1e-9))
+    """(class, d) of a set: its class of sizes and those a larger linked set
+    may have; d bounds the difference of pairs that meet there."""
+    c = int(np.log(size) / np.log(CLASS_RATIO))
     while _least(c + 1) <= size:
         c += 1
     while _least(c) > size:
         c -= 1
     found = [c]
-    if den * size >= num * _least(c + 1):
-        found.append(c + 1)
-    # sizes of a pair that meets in class c are below those of class c + 1
-    return [(k, (den - num) * 2 * (_least(k + 1) - 1) // (den + num) + 1) for k in found]
+    while num * _least(found[-1] + 1) <= den * size:
+        found.append(found[-1] + 1)
+    # both sizes of a pair that meets in class c are below those of class c + 1
+    return [(k, (den - num) * 2 * (_least(k + 1) - 1) // (den + num)) for k in found]
 
 
 def _least(c: int) -> int:
@@ -90,14 +92,21 @@ def _least(c: int) -> int:
 
 
 def part_keys(grams: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of the parts of a set: class, place and sum of its members' mixes."""
-    out = []
+    """Keys of the parts of a set: class, place and sum of its members' mixes.
+    Where pairs cannot differ (d = 0) there are none: equal sets are merged."""
+    out = [np.zeros(0, np.uint64)]
     mixed = mix(grams * _M[1] + _M[2])
-    for c, parts in classes(len(grams), num, den):
-        place = (grams >> np.uint64(11)) % np.uint64(parts)
+    for c, d in classes(len(grams), num, den):
+        if d == 0:
+            continue
+        spare = int(np.ceil(SPARE * (d + 1)))
+        parts = d + 1 + spare
+        place = ((grams >> np.uint64(11)) % np.uint64(parts)).astype(np.int64)
+        size = np.bincount(place, minlength=parts)
         total = np.zeros(parts, np.uint64)
-        np.add.at(total, place.astype(np.int64), mixed)
-        out.append(mix(total + mix(np.arange(parts, dtype=np.uint64) * _M[0] + np.full(1, c + 1, np.uint64) * _M[2])))
+        np.add.at(total, place, mixed)
+        used = np.argsort(size, kind="stable")[spare:].astype(np.uint64)
+        out.append(mix(total[used.astype(np.int64)] + mix(used * _M[0] + np.full(1, c + 1, np.uint64) * _M[2])))
     return np.concatenate(out)
 
 
@@ -170,6 +179,10 @@ def _forest(ids_a: list[int], ids_b: list[int], pairs: np.ndarray) -> list[tuple
     return out
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _products(pairs: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) out of rows cluster, i, j, block, id, grams: the product of
     blocks i and j of each cluster."""
@@ -183,38 +196,74 @@ def _products(pairs: DataFrame, num: int, den: int) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    return (pairs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "block", "id")
+    return (pairs.repartition(_partitions(pairs), "cluster", "i", "j")
+            .sortWithinPartitions("cluster", "i", "j", "block", "id", "grams")
             .select("cluster", "i", "j", "block", "id", "grams").mapInArrow(run, "a long, b long"))
 
 
+def _ties(sets: DataFrame) -> DataFrame:
+    """Ties (a, b) of documents with an equal part, out of id and keys."""
+    def combine(batches):
+        for batch in batches:
+            keys = batch.column(1)
+            flat = np.asarray(keys.flatten())
+            ids = np.repeat(np.asarray(batch.column(0)), np.asarray(keys.value_lengths()))
+            order = np.lexsort((ids, flat))
+            flat, ids = flat[order], ids[order]
+            head = np.append(True, flat[1:] != flat[:-1])[:len(flat)]
+            first = ids[np.maximum.accumulate(np.where(head, np.arange(len(flat)), 0))]
+            same = ~head & (ids != first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(flat[head], flat[same])), pa.array(np.append(ids[head], ids[same])),
+                 pa.array(np.append(ids[head], first[same]))], names=["key", "id", "tie"])
+
+    def tie(batches):
+        key, first = None, None  # the run that the last batch ended in
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, ids, tied = (np.asarray(batch.column(k)) for k in range(3))
+            head = np.append(keys[0] != key, keys[1:] != keys[:-1])
+            at = np.maximum.accumulate(np.where(head, np.arange(len(keys)), -1))
+            lead = np.where(at >= 0, ids[np.maximum(at, 0)], first if first is not None else 0)
+            key, first = keys[-1], lead[-1]
+            a, b = np.append(lead, tied), np.append(ids, ids)
+            real = a != b
+            if real.any():
+                yield pa.RecordBatch.from_arrays([pa.array(a[real]), pa.array(b[real])], names=["a", "b"])
+
+    return (sets.select("id", "keys").mapInArrow(combine, "key long, id long, tie long")
+            .repartition(_partitions(sets), "key").sortWithinPartitions("key")
+            .mapInArrow(tie, "a long, b long"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
     of every row of ``docs``."""
     sigs = cut(signatures(docs, n, num, den), "signatures")
     reps = cut(sigs.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
-    ids = reps.select(F.col("rep").alias("doc_id"), F.col("sig"))
-    posts = sigs.join(ids, ["doc_id", "sig"], "left_semi").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    shared = posts.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    ties = posts.join(shared, "key").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    ids = reps.select(F.col("rep").alias("doc_id"), "sig")
+    ties = _ties(sigs.join(ids, ["doc_id", "sig"], "left_semi").select(F.col("doc_id").alias("id"), "keys"))
     members = components(ties)                                                    # id, component
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
-    members = cut(members.join(sizes, "component")
-                  .select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "blocks",
-                          F.pmod(F.xxhash64("id"), "blocks").alias("block")), "members")
+    members = (members.join(sizes, "component")
+               .select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "blocks",
+                       F.pmod(F.xxhash64("id"), "blocks").alias("block")))
+    members = cut(members.join(ids, "doc_id"), "members")
 
     def whole_sets(batches):
         for batch in batches:
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "cluster", "blocks", "block")]
+                [batch.column(c) for c in ("doc_id", "cluster", "blocks", "block", "sig")]
                 + [pa.array([s.tobytes() for s in sets], pa.binary()),
                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())],
-                names=["id", "cluster", "blocks", "block", "grams", "sig"])
+                names=["id", "cluster", "blocks", "block", "sig", "grams", "own"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(members, "doc_id")
-    sets = texts.mapInArrow(whole_sets, "id long, cluster long, blocks long, block long, grams binary, sig binary")
-    sets = cut(sets.join(ids.withColumnRenamed("doc_id", "id"), ["id", "sig"], "left_semi")
-               .dropDuplicates(["id", "sig"]).drop("sig"), "sets")
+    few = members.count() <= MEMBERS_BROADCAST
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(members) if few else members, "doc_id")
+    sets = texts.mapInArrow(whole_sets, "id long, cluster long, blocks long, block long, sig binary, grams binary, own binary")
+    sets = cut(sets.where("sig = own").drop("sig", "own"), "sets")  # of rows that share an id, each its own
 
     # each block with itself and with block 0
     near = sets.withColumn("other", F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
