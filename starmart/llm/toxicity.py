@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.llm.common import cut
+
 WORD = re.compile(r"\w+").findall
 MAX_POSITIVE = 4000     # bound on the positives of the fit
 MAX_UNLABELLED = 8000   # bound on the unlabelled texts of the fit
@@ -37,53 +39,54 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD(text.lower())) if text else set()
 
 
-def _words(df: DataFrame) -> list[set[str]]:
-    """Distinct words of the sampled texts: what the fit needs, not the texts."""
+def _sample(docs: DataFrame, picked: DataFrame, side: int) -> DataFrame:
+    """(side, words) of the picked documents."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted(words_of(t)) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))],
-                names=["words"])
-    return [set(r["words"]) for r in df.select("text").mapInArrow(run, "words array<string>").collect()]
+            words = [sorted(words_of(t)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([side] * len(words), pa.int32()), pa.array(words, pa.list_(pa.string()))],
+                                             names=["side", "words"])
+    return (docs.join(F.broadcast(picked), "doc_id", "left_semi").select("text")
+            .mapInArrow(run, "side int, words array<string>"))
 
 
-def _frequency(sets: list[set[str]]) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for s in sets:
-        for w in s:
-            out[w] = out.get(w, 0) + 1
-    return out
+def vocabulary(sample: DataFrame, n_p: int, n_u: int, least_z: float = 4.5) -> list[str]:
+    """Words whose document frequency differs between the two sides by more
+    than ``least_z`` standard errors: rare words seen by chance stay out."""
+    counts = (sample.select("side", F.explode("words").alias("word"))
+              .groupBy("word").agg(F.sum("side").alias("p"), F.count("*").alias("n")).where("n >= 3"))
+    both = (F.col("n") + 1) / (n_p + n_u + 2)
+    apart = F.abs(F.col("p") / n_p - (F.col("n") - F.col("p")) / n_u)
+    scored = counts.withColumn("z", apart / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))).where(F.col("z") > least_z)
+    return [r["word"] for r in scored.orderBy(F.desc("z"), "word").limit(MAX_VOCABULARY).select("word").collect()]
 
 
-def vocabulary(positive: list[set[str]], unlabelled: list[set[str]], least_z: float = 4.5) -> list[str]:
-    """Words whose document frequency differs between the two samples by more
-    than ``least_z`` standard errors: rare words seen by chance stay out."""
-    f_p, f_u, n_p, n_u = _frequency(positive), _frequency(unlabelled), len(positive), len(unlabelled)
-    found = []
-    for w in f_p.keys() | f_u.keys():
-        p, u = f_p.get(w, 0) / n_p, f_u.get(w, 0) / n_u
-        both = (f_p.get(w, 0) + f_u.get(w, 0) + 1) / (n_p + n_u + 2)
-        z = abs(p - u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
-        if z > least_z and f_p.get(w, 0) + f_u.get(w, 0) >= 3:
-            found.append((-z, w))
-    return [w for _, w in sorted(found)[:MAX_VOCABULARY]]
-
-
-def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float,
-        steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[dict[str, float], float]:
-    """Word weights and bias; logistic loss, Adam, L2 penalty ``decay``."""
+def _columns(sample: DataFrame, vocab: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    """Vocabulary words of each positive and each unlabelled document."""
+    shared = sample.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocab)})
+
+    def run(batches):
+        index = shared.value
+        for batch in batches:
+            found = [sorted(index[w] for w in words if w in index) for words in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["side", "words"])
+
+    rows = sorted((r["side"], r["words"]) for r in sample.mapInArrow(run, "side int, words array<int>").collect())
+    return [w for s, w in rows if s], [w for s, w in rows if not s]
+
+
+def fit(positive: list[list[int]], unlabelled: list[list[int]], v: int, prior: float,
+        steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights of ``v`` words and bias; logistic loss, Adam, L2 penalty ``decay``."""
     if not positive or not unlabelled or not 0 < prior < 1:
         odds = np.log(prior / (1 - prior)) if 0 < prior < 1 else (30.0 if prior >= 1 else -30.0)
-        return {}, float(odds)
-    vocab = vocabulary(positive, unlabelled)
-    index = {w: i for i, w in enumerate(vocab)}
+        return np.zeros(v), float(odds)
 
-    def matrix(sets):
-        cols = [np.fromiter((index[w] for w in s & index.keys()), np.int64) for s in sets]
-        return np.concatenate([*cols, np.zeros(0, np.int64)]), np.repeat(np.arange(len(sets)), [len(c) for c in cols])
+    def matrix(lists):
+        return np.array([i for c in lists for i in c], np.int64), np.repeat(np.arange(len(lists)), [len(c) for c in lists])
 
     (pc, pr), (uc, ur) = matrix(positive), matrix(unlabelled)
-    n_p, n_u, v = len(positive), len(unlabelled), len(vocab)
+    n_p, n_u = len(positive), len(unlabelled)
     theta, m1, m2 = np.zeros(v + 1), np.zeros(v + 1), np.zeros(v + 1)
     theta[v] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
@@ -102,7 +105,7 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float,
                          g_p.sum() + g_u.sum())
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad * grad
         theta = theta - rate * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
-    return {w: float(theta[i]) for w, i in index.items()}, float(theta[v])
+    return theta[:v], float(theta[v])
 
 
 def train(docs: DataFrame, labels: DataFrame, in_training) -> tuple[dict[str, float], float]:
@@ -113,11 +116,14 @@ def train(docs: DataFrame, labels: DataFrame, in_training) -> tuple[dict[str, fl
     n, toxic = known.agg(F.count("*"), F.sum(F.col("toxic").cast("long"))).first()
     prior = (toxic or 0) / n if n else 0.0
     order = [F.xxhash64("doc_id"), "doc_id"]
-    pick = known.where("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(MAX_POSITIVE)
-    positive = _words(docs.join(F.broadcast(pick), "doc_id", "left_semi"))
-    rest = docs.select("doc_id").distinct().orderBy(*order).limit(MAX_UNLABELLED)
-    unlabelled = _words(docs.join(F.broadcast(rest), "doc_id", "left_semi"))
-    return fit(positive, unlabelled, prior)
+    toxic_ids = known.where("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(MAX_POSITIVE)
+    any_ids = docs.select("doc_id").distinct().orderBy(*order).limit(MAX_UNLABELLED)
+    sample = cut(_sample(docs, toxic_ids, 1).unionByName(_sample(docs, any_ids, 0)), "toxicity-sample")
+    sides = {r["side"]: r["count"] for r in sample.groupBy("side").count().collect()}
+    vocab = vocabulary(sample, sides[1], sides[0]) if len(sides) == 2 else []
+    positive, unlabelled = _columns(sample, vocab)
+    weights, bias = fit(positive, unlabelled, len(vocab), prior)
+    return dict(zip(vocab, map(float, weights), strict=True)), bias
 
 
 def score(docs: DataFrame, model: tuple[dict[str, float], float]) -> DataFrame:
