@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the actions inside: for rows
+    that hold whole sets or blocks."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus`` (null: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

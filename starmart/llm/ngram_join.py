@@ -20,7 +20,7 @@ factor num/den.  From these size-derived bounds:
    blocks, save those whose documents all belong to one component already.
 
 Equal sets are merged first and stand for one vertex, however many copies.
-N-grams are compared by 64-bit hashes.  Texts have A-Z lower-cased and are
+N-grams, and whole sets, are known by 64-bit hashes.  Texts have A-Z lower-cased and are
 split at blanks and control characters 9 to 13; with fewer than n words the
 whole sequence is one n-gram; null, empty and blank texts have none and link
 with nothing.  Rows of equal doc_id are one document with several sets; rows
@@ -35,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import components, cut, runs
+from starmart.llm.common import arrow_rows, components, cut, runs
 
 BLOCK = 256            # documents of a block of the product
 CLASS_RATIO = 1.25     # largest to smallest size of a class
 SPARE = 0.4            # parts left out, as a share of d + 1
 MEMBERS_BROADCAST = 1_000_000  # up to so many clustered documents are broadcast to the texts
-_WORDS = 1 << 20       # words whose hashes are kept; a full table is emptied
+_WORDS = 1 << 18       # words whose hashes are kept; a full table is emptied
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _known: dict[bytes, int] = {}
 
@@ -110,22 +110,19 @@ def part_keys(grams: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, sig (128 bits of the set; null if empty), keys."""
+def _sid(grams: np.ndarray) -> int | None:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64)) if len(grams) else None
+
+
+def signatures(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, n_shingles and sid, a hash of the set (null if it is empty)."""
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                sets = [shingles(t, n) for t in part.column(1).to_pylist()]
-                keys = [part_keys(s, num, den).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                     pa.ListArray.from_arrays(np.cumsum([0, *map(len, keys)]).astype(np.int32),
-                                              np.concatenate([*keys, np.zeros(0, np.int64)]))],
-                    names=["doc_id", "n_shingles", "sig", "keys"])
-    return (docs.select(F.col("doc_id").cast("long"), "text")
-            .mapInArrow(run, "doc_id long, n_shingles long, sig binary, keys array<long>"))
+            sets = [shingles(t, n) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) for s in sets], pa.int64())],
+                names=["doc_id", "n_shingles", "sid"])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long")
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -201,13 +198,17 @@ def _products(pairs: DataFrame, num: int, den: int) -> DataFrame:
             .select("cluster", "i", "j", "block", "id", "grams").mapInArrow(run, "a long, b long"))
 
 
-def _ties(sets: DataFrame) -> DataFrame:
-    """Ties (a, b) of documents with an equal part, out of id and keys."""
+def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Ties (a, b) of sets with an equal part, by sid."""
     def combine(batches):
         for batch in batches:
-            keys = batch.column(1)
-            flat = np.asarray(keys.flatten())
-            ids = np.repeat(np.asarray(batch.column(0)), np.asarray(keys.value_lengths()))
+            sids, keys = [], []
+            for t in batch.column(0).to_pylist():
+                s = shingles(t, n)
+                if len(s):
+                    keys.append(part_keys(s, num, den).view(np.int64))
+                    sids.append(np.full(len(keys[-1]), _sid(s), np.int64))
+            flat, ids = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (keys, sids))
             order = np.lexsort((ids, flat))
             flat, ids = flat[order], ids[order]
             head = np.append(True, flat[1:] != flat[:-1])[:len(flat)]
@@ -232,44 +233,45 @@ def _ties(sets: DataFrame) -> DataFrame:
             if real.any():
                 yield pa.RecordBatch.from_arrays([pa.array(a[real]), pa.array(b[real])], names=["a", "b"])
 
-    return (sets.select("id", "keys").mapInArrow(combine, "key long, id long, tie long")
-            .repartition(_partitions(sets), "key").sortWithinPartitions("key")
+    return (docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(combine, "key long, id long, tie long")
+            .repartition(_partitions(docs), "key").sortWithinPartitions("key")
             .mapInArrow(tie, "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
     of every row of ``docs``."""
-    sigs = cut(signatures(docs, n, num, den), "signatures")
-    reps = cut(sigs.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
-    ids = reps.select(F.col("rep").alias("doc_id"), "sig")
-    ties = _ties(sigs.join(ids, ["doc_id", "sig"], "left_semi").select(F.col("doc_id").alias("id"), "keys"))
-    members = components(ties)                                                    # id, component
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
-    members = (members.join(sizes, "component")
-               .select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "blocks",
-                       F.pmod(F.xxhash64("id"), "blocks").alias("block")))
-    members = cut(members.join(ids, "doc_id"), "members")
+    spark = docs.sparkSession
+    with arrow_rows(spark, 1000):
+        sigs = cut(signatures(docs, n), "signatures")
+        tied = components(_ties(docs, n, num, den))                               # id, component
+    reps = cut(sigs.where("sid is not null and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("rep")), "classes")
+    sizes = tied.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
+    members = cut(tied.join(sizes, "component").join(reps, F.col("id") == F.col("sid"))
+                  .select(F.col("rep").alias("doc_id"), "sid", F.col("component").alias("cluster"), "blocks",
+                          F.pmod(F.xxhash64("rep"), "blocks").alias("block")), "members")
 
     def whole_sets(batches):
         for batch in batches:
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
+            own = [_sid(s) for s in sets]  # of rows that share an id, each its own set
+            keep = [k for k, (x, y) in enumerate(zip(own, batch.column("sid").to_pylist(), strict=True)) if x == y]
+            part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "cluster", "blocks", "block", "sig")]
-                + [pa.array([s.tobytes() for s in sets], pa.binary()),
-                   pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())],
-                names=["id", "cluster", "blocks", "block", "sig", "grams", "own"])
+                [*(part.column(c) for c in ("doc_id", "cluster", "blocks", "block")),
+                 pa.array([sets[k].tobytes() for k in keep], pa.binary())], names=["id", "cluster", "blocks", "block", "grams"])
 
     few = members.count() <= MEMBERS_BROADCAST
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(members) if few else members, "doc_id")
-    sets = texts.mapInArrow(whole_sets, "id long, cluster long, blocks long, block long, sig binary, grams binary, own binary")
-    sets = cut(sets.where("sig = own").drop("sig", "own"), "sets")  # of rows that share an id, each its own
+    with arrow_rows(spark, 1000):
+        sets = cut(texts.mapInArrow(whole_sets, "id long, cluster long, blocks long, block long, grams binary"), "sets")
 
     # each block with itself and with block 0
     near = sets.withColumn("other", F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
                                               .otherwise(F.array(F.lit(0).cast("long"), "block"))))
     near = near.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "grams")
-    edges = cut(_products(near, num, den), "links")
+    with arrow_rows(spark, 500):
+        edges = cut(_products(near, num, den), "links")
     large = members.where("blocks > 2").select(F.col("doc_id").alias("id"), "cluster", "block")
     if not large.isEmpty():
         found = components(edges)
@@ -283,10 +285,11 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
                 .select("cluster", "i", "j"))
         todo = todo.withColumn("block", F.explode(F.array("i", "j")))
         rest = todo.join(sets.select("cluster", "block", "id", "grams"), ["cluster", "block"])
-        edges = edges.unionByName(cut(_products(rest, num, den), "links"))
+        with arrow_rows(spark, 500):
+            edges = edges.unionByName(cut(_products(rest, num, den), "links"))
     found = components(edges).select(F.col("id").alias("rep"), F.col("component").alias("found"))
-    classes_ = reps.join(found, "rep", "left").select("sig", F.coalesce("found", "rep").alias("component"))
-    return (sigs.select("doc_id", "n_shingles", "sig").join(classes_, "sig", "left")
+    classes_ = reps.join(found, "rep", "left").select("sid", F.coalesce("found", "rep").alias("component"))
+    return (sigs.join(classes_, "sid", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
 

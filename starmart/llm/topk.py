@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import cut, runs
+from starmart.llm.common import arrow_rows, cut, runs
 
 BLOCK = 1024      # vectors of an index block
 QUERIES = 128     # queries of a query block
@@ -149,12 +149,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
                      pa.array(block.ids[np.concatenate([r for r, _ in found])]),
                      pa.array(np.concatenate([s for _, s in found]).astype(np.int64))], names=["query_id", "vec_id", "score"])
 
-    held_records = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # rows of blocks are large
-    try:
+    with arrow_rows(spark, 16):  # rows of blocks are large
         found = cut(index.join(queries, "block").mapInArrow(search, "query_id long, vec_id long, score long"), "block-results")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held_records)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
