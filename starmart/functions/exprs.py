@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from starmart.functions.schemas import NON_REVENUE_STATUSES, VALID_STATUSES
 
-# Money is stored as double but summed exactly as DECIMAL(18,2): the sum then no
-# longer depends on row order, so every run (and the oracle) gives the same cents.
-MONEY = "decimal(18,2)"
+# Money is stored as double but summed as DECIMAL(28,8): the sum does not depend
+# on row order, keeps fractions of cents, and is rounded to cents once.
+MONEY = "decimal(28,8)"
 
 
 def col_(c) -> Column:

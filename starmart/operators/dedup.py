@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Total order used to pick the newest version of an order event: the load time
-# first (as in the reference), then business columns so that ties inside one
-# load resolve the same way every run.
-SILVER_ORDER = ("_ingested_at", "event_ts", "product_id", "quantity", "order_total", "status")
+# first (as in the reference), then every other column, so that versions of one
+# load resolve the same way every run whatever they differ in.
+SILVER_ORDER = ("_ingested_at", "event_ts", "product_id", "quantity", "order_total", "status",
+                "order_id", "customer_id", "customer_name", "customer_region", "product_name",
+                "product_category", "unit_price", "ingest_source")
 
 
 def newest_first(cols: Sequence[str]) -> list[Column]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.exprs import differs, event_date, first_key, version_key
@@ -81,8 +81,9 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, latest: DataFrame | None = No
     at most one row per key; a change set of at most
     ``MAX_BROADCAST_CHANGES`` rows is broadcast (row-count check), so the
     current dimension is scanned rather than shuffled."""
-    history = dim.where(~F.col("is_current"))
-    current = dim.where(F.col("is_current"))
+    is_current = F.coalesce(F.col("is_current"), F.lit(False))  # a NULL flag is history
+    history = dim.where(~is_current)
+    current = dim.where(is_current)
     # the change set is usually a small share of the customers: broadcast it
     # after a row-count check, so the current dimension is not shuffled
     eff = bounded_broadcast(changes.select("customer_id", F.col("effective_date").alias("_eff"),
@@ -122,11 +123,13 @@ def merge_into(target: DataFrame, source: DataFrame, key: str,
 
     In conditions and expressions refer to target columns as ``t_<name>`` and
     to source columns as ``s_<name>``.  Target rows outside ``target_filter``
-    bypass the join.  The source must hold at most one row per key (the
-    same rule a MERGE enforces).  One full outer join on ``key``."""
+    bypass the join.  A source with several rows of one key fails, as a MERGE
+    does; NULL keys match nothing.  One full outer join on ``key``."""
     t_cols, s_cols = target.columns, source.columns
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in t_cols], F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in s_cols], F.lit(True).alias("_in_s"))
+    rows_of_key = F.count(F.col(key)).over(Window.partitionBy(key))
+    once = F.when(rows_of_key <= 1, True).otherwise(F.raise_error(F.lit(f"MERGE source has several rows of one {key}")))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in s_cols], once.alias("_in_s"))
     if target_filter is not None:
         keep = F.coalesce(target_filter, F.lit(False))
         passthrough = t.where(~keep)

@@ -18,6 +18,7 @@ never matches, so dropping NULL keys from both branches is exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -36,12 +37,10 @@ def hot_keys(df: DataFrame, key: str, min_share: float = DEFAULT_MIN_SHARE) -> l
     total = df.count()
     if total == 0:
         return []
-    threshold = max(1, int(min_share * total))
+    threshold = max(1, math.ceil(min_share * total))
     counts = (df.where(F.col(key).isNotNull()).groupBy(key).count()
               .where(F.col("count") >= threshold))
-    bound = int(1 / min_share) + 1
-    rows = counts.limit(bound).collect()
-    return [r[key] for r in rows]
+    return [r[key] for r in counts.collect()]
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -77,7 +77,7 @@ def revenue_top10(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFra
 
 
 def sales_summary(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """All (region, category) groups; revenue exact as DECIMAL(18,2)
+    """All (region, category) groups; revenue summed as decimal, rounded to cents once
     (presented as double), order_count as bigint."""
     agg = _by_region_category(fact, dim_customer, dim_product, True, "order_count")
     return agg.orderBy(F.col("revenue").desc(), *GROUP)
@@ -93,7 +93,7 @@ def revenue_as_was(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFr
 SALES_SUMMARY_BY_REGION_SQL = """
 SELECT dc.customer_region,
        dp.product_category,
-       ROUND(CAST(SUM(CAST(f.order_total AS DECIMAL(18,2))) AS DOUBLE), 2) AS revenue,
+       ROUND(CAST(SUM(CAST(f.order_total AS DECIMAL(28,8))) AS DOUBLE), 2) AS revenue,
        COUNT(*) AS order_count
 FROM {fact} f
 JOIN {dim_customer} dc
@@ -125,7 +125,7 @@ def customer_ltv(fact: DataFrame, dim_customer: DataFrame, customer_id: str) ->
     total = _sold(fact).join(dc, "customer_key").agg(
         F.sum(F.col("order_total").cast(MONEY)).alias("_s"))
     return total.select(F.lit(customer_id).alias("customer_id"),
-                        F.coalesce(F.col("_s"), F.lit(0).cast(MONEY)).cast("double").alias("ltv"))
+                        F.round(F.coalesce(F.col("_s"), F.lit(0).cast(MONEY)).cast("double"), 2).alias("ltv"))
 
 
 def customer_ltv_all(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -136,14 +136,14 @@ def customer_ltv_all(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         F.sum(F.col("order_total").cast(MONEY)).alias("_s"))
     j = dim_customer.select("customer_key", "customer_id").join(per_key, "customer_key", "left")
     return (j.groupBy("customer_id")
-            .agg(F.coalesce(F.sum("_s"), F.lit(0).cast(MONEY)).cast("double").alias("ltv")))
+            .agg(F.round(F.coalesce(F.sum("_s"), F.lit(0).cast(MONEY)).cast("double"), 2).alias("ltv")))
 
 
 # The reference's business question as SQL over temp views of the gold tables.
 REVENUE_TOP10_SQL = """
 SELECT dc.customer_region,
        dp.product_category,
-       ROUND(CAST(SUM(CAST(f.order_total AS DECIMAL(18,2))) AS DOUBLE), 2) AS revenue,
+       ROUND(CAST(SUM(CAST(f.order_total AS DECIMAL(28,8))) AS DOUBLE), 2) AS revenue,
        COUNT(*) AS orders
 FROM fact_orders f
 JOIN dim_customer dc

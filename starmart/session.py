@@ -64,10 +64,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable defaults to an existing session (e.g. the
     driver's).  Static settings are left alone."""
     for k, v in DEFAULT_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static config on a running session
-            pass
     return spark
 
 
@@ -80,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="starmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -45,11 +45,12 @@ def read_bronze(spark: SparkSession, batch_path: str, stream_path: str | None =
 
 
 def typed_events(df: DataFrame, with_source_file: bool = False) -> DataFrame:
-    """Raw event columns -> bronze columns: ``event_ts`` parsed (a bad value
+    """Raw event columns -> bronze columns: ``event_ts`` parsed (a zone
+    offset is applied, giving UTC under the pinned session zone; a bad value
     becomes NULL, never an error), ``_ingested_at`` = load time and, for file
     sources, ``_source_file``."""
     cols = [F.col(c) for c in EVENT_COLUMNS if c != "event_ts"]
-    out = df.select(*cols, F.col("event_ts").try_cast("timestamp_ntz").alias("event_ts"))
+    out = df.select(*cols, F.try_to_timestamp("event_ts").cast("timestamp_ntz").alias("event_ts"))
     out = out.select(*EVENT_COLUMNS).withColumn("_ingested_at", F.current_timestamp())
     if with_source_file:
         out = out.withColumn("_source_file", F.col("_metadata.file_path"))

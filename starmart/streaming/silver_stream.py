@@ -1,24 +1,11 @@
-"""Streaming silver (extension): validated events, redeliveries dropped
-within a watermark on the ingestion time.
-
-Differs from batch silver on purpose: the state for an event id lives only
-until the watermark passes it (bounded state), and the *first* valid
-version to arrive wins – batch silver keeps the newest version."""
+"""Streaming silver with the batch semantics (newest version wins): every
+micro-batch is merged into silver, so no delivery is lost however late it
+comes or however the stream is cut into batches."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from starmart.functions.exprs import is_valid_status, is_valid_total
-
-
-def silver_stream(bronze_stream: DataFrame, delay: str = "30 days") -> DataFrame:
-    return (bronze_stream
-            .where(is_valid_total() & is_valid_status())
-            .withWatermark("_ingested_at", delay)
-            .dropDuplicatesWithinWatermark(["event_id"]))
-
-
 def start_silver_merge_stream(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
                               available_now: bool = False,
                               trigger_interval: str = "5 seconds"):

@@ -3,17 +3,17 @@
 import pytest
 
 import __spark_entry__ as entry
+from starmart.plans.catalog import registered
+from starmart.plans.oracle import SQL as CORE_SQL
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registered()
+SQL = CORE_SQL
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(SQL)
-    assert rows_only <= {"load_audit", "silver_stream"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -32,22 +32,3 @@ def test_entry_runs(spark):
     # flagship's first row at sf0.001 (FIXTURES.md)
     assert (rows[0].customer_region, rows[0].product_category) == ("AMERICA", "LARGE")
     assert rows[0].revenue == pytest.approx(6093014.73) and rows[0].orders == 113
-
-
-def test_load_audit_covers_whole_feed(spark):
-    rows = QUERIES["load_audit"](spark, SF_SMALL).collect()
-    assert [r.version for r in rows] == [5, 4, 3, 2, 1]
-    assert all(r.operation == "WRITE" and r.rows > 0 for r in rows)
-    # six loads partition the feed: the newest five miss only load 0
-    from starmart.sources.fixtures import order_events
-    assert sum(r.rows for r in rows) < order_events(spark, SF_SMALL).count()
-
-
-def test_silver_stream_rows(spark):
-    from starmart.plans.catalog import StarBuild
-    b = StarBuild(spark, SF_SMALL)
-    got = QUERIES["silver_stream"](spark, SF_SMALL)
-    # one micro-batch: one row per event id that has a valid version
-    valid = b.bronze.where("order_total > 0 AND status IN "
-                           "('PLACED','PAID','SHIPPED','CANCELLED','REFUNDED')")
-    assert got.count() == valid.select("event_id").distinct().count()

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from starmart.plans.catalog import registered
 from starmart.plans import marts
 from starmart.plans.catalog import StarBuild
 from starmart.plans.runner import Lake, LakeConfig
@@ -19,9 +19,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(registered()) - WRITES))
 def test_no_cartesian_or_nested_loop_join(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(registered()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
