@@ -1,2 +1,2 @@
-"""Structured Streaming ingest (file or Kafka source -> bronze) and the
-watermark-bounded streaming silver."""
+"""Structured Streaming ingest (file or Kafka source -> bronze) and streaming
+silver merged by micro-batch."""
