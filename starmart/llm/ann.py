@@ -1,25 +1,27 @@
 """Approximate nearest neighbours: NN-descent graph and greedy graph search.
 
 Equal vectors are one vertex (smallest id); its members' k + 1 smallest ids
-are enough for any answer.  The graph starts from chunks of CHUNK consecutive
-vertices in several orders (signs of random projections, then one projection),
-each vertex keeping its K nearest in the chunk.  NN-descent then joins the
-graph with itself: around every vertex its neighbours and a bounded sample of
-its reverse neighbours are compared with each other, pairs closer than what
-either holds are proposed, and each vertex keeps its K nearest.  Only pairs
-with a neighbour that is new since the last round are compared.
+are enough for any answer.  The graph starts from chunks of at most CHUNK
+consecutive vertices in several orders (signs of random projections, then one
+projection), each vertex keeping its K nearest in the chunk.  NN-descent then
+joins the graph with itself: around every vertex its neighbours and a bounded
+sample of its reverse neighbours are compared with each other, pairs closer
+than what either holds are proposed, and each vertex keeps its K nearest.
+Only pairs with a neighbour that is new since the last round are compared.
 
 A query starts from its own vertex' neighbours and LANDMARKS fixed vertices,
 and in each round opens its nearest unopened vertices: their neighbours, and
 sampled reverse neighbours, are joined in and the EF nearest are kept, until
-nothing is left to open or ROUNDS are over.  Distances are Euclidean in double
-precision on the original vectors.
+nothing is left to open or ROUNDS are over.  Graph and search compare in single
+precision; those kept are measured again, Euclidean in double precision on the
+original vectors.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
-no part.  Rows that share an id count once, as the smallest vector; vectors of
-different length are compared as if the shorter ended in zeros.  Ties go to
-the smaller id.  The sampling bounds are those of NN-descent; recall against
-brute force, still below 0.9 on the largest table, is in the README.
+no part.  Rows that share an id count once, as the smallest vector; shorter
+vectors are filled up with zeros.  Components beyond single precision count as
+infinite while searching, so such vectors are found last.  Ties go to the
+smaller id.  The sampling bounds are those of NN-descent; recall against brute
+force is in the README.
 """
 
 from __future__ import annotations
@@ -29,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import cut
+from starmart.llm.common import arrow_rows, cut
 from starmart.llm.topk import valid
 
-K, REVERSE = 16, 8     # neighbours of a vertex; sampled reverse neighbours
-CHUNK, ORDERS = 256, 4
-DESCENTS = 4
-EF, OPEN, ROUNDS = 200, 50, 8
+K, REVERSE = 32, 16    # neighbours of a vertex; sampled reverse neighbours
+CHUNK, ORDERS = 1024, 8
+DESCENTS = 2
+EF, OPEN, ROUNDS = 400, 100, 4
 LANDMARKS = 64
+LISTS = 512            # neighbour lists of an Arrow batch
 
 
 def usable(df: DataFrame) -> DataFrame:
@@ -46,12 +49,15 @@ def usable(df: DataFrame) -> DataFrame:
             .groupBy("vec_id").agg(F.min("v").alias("v")))
 
 
-def _stack(column: pa.Array) -> np.ndarray:
-    rows = [np.asarray(x, np.float64) for x in column.to_numpy(zero_copy_only=False)]
-    width = max(map(len, rows))
-    if all(len(r) == width for r in rows):
-        return np.stack(rows)
-    return np.stack([np.pad(r, (0, width - len(r))) for r in rows])
+def _filled(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v) with all vectors of one length."""
+    width = vectors.agg(F.max(F.size("v"))).first()[0] or 1
+    return vectors.select("vec_id", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v"))).alias("v"))
+
+
+def _matrix(column: pa.Array, rows: int) -> np.ndarray:
+    """Lists of one length as rows."""
+    return column.flatten().to_numpy().astype(np.float64).reshape(rows, -1)
 
 
 def _near(ids: np.ndarray, x: np.ndarray, k: int):
@@ -72,40 +78,26 @@ def _edges(a, b, d) -> pa.RecordBatch:
 _EDGE = "id long, n long, d double"
 
 
-def _start(nodes: DataFrame, order: int) -> DataFrame:
+def _start(nodes: DataFrame, order: int, parts: int) -> DataFrame:
     """Edges within chunks of one order."""
     def code(batches):
         for batch in batches:
             if batch.num_rows:
-                x = _stack(batch.column(1))
-                axes = np.random.default_rng(1000 + order).standard_normal((4096, 13))[:x.shape[1]] if x.shape[1] <= 4096 else \
-                    np.random.default_rng(1000 + order).standard_normal((x.shape[1], 13))
-                p = x @ axes
+                x = _matrix(batch.column(1), batch.num_rows)
+                p = x @ np.random.default_rng(1000 + order).standard_normal((x.shape[1], 13))
                 bits = ((p[:, :12] > 0) @ (1 << np.arange(11, -1, -1))).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits), pa.array(p[:, 12])], names=["id", "v", "code", "place"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits), pa.array(p[:, 12])], names=["id", "f", "code", "place"])
 
     def chunks(batches):
-        ids, xs = [], []
         for batch in batches:
-            for lo in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(lo, CHUNK)
-                ids.append(np.asarray(part.column(0)))
-                xs.append(_stack(part.column(1)))
-                if sum(map(len, ids)) >= CHUNK:
-                    yield from flush(ids, xs)
-                    ids, xs = [], []
-        if ids:
-            yield from flush(ids, xs)
-
-    def flush(ids, xs):
-        width = max(x.shape[1] for x in xs)
-        i, x = np.concatenate(ids), np.concatenate([np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in xs])
-        n, d = _near(i, x, K)
-        yield _edges(np.repeat(i, n.shape[1]), n.ravel(), d.ravel())
-
-    coded = nodes.select("id", "v").mapInArrow(code, "id long, v array<double>, code long, place double")
-    return (coded.repartitionByRange("code", "place", "id").sortWithinPartitions("code", "place", "id")
-            .select("id", "v").mapInArrow(chunks, _EDGE))
+            if batch.num_rows:
+                ids = np.asarray(batch.column(0))
+                n, d = _near(ids, _matrix(batch.column(1), len(ids)), K)
+                yield _edges(np.repeat(ids, n.shape[1]), n.ravel(), d.ravel())
+
+    coded = nodes.select("id", "f").mapInArrow(code, "id long, f array<float>, code long, place double")
+    return (coded.repartitionByRange(parts, "code", "place", "id").sortWithinPartitions("code", "place", "id")
+            .select("id", "f").mapInArrow(chunks, _EDGE))
 
 
 def _keep(edges: DataFrame) -> DataFrame:
@@ -126,96 +118,118 @@ def _around(graph: DataFrame) -> DataFrame:
 
 
 def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    radius = graph.groupBy("id").agg(F.max("d").alias("r"))
-    held = nodes.join(radius, "id").select(F.col("id").alias("n"), "v", "r")
+    far = F.when(F.count("*") < K, F.lit(float("inf"))).otherwise(F.max("d"))
+    held = nodes.join(graph.groupBy("id").agg(far.alias("r")), "id", "left").select(
+        F.col("id").alias("n"), "f", F.coalesce("r", F.lit(float("inf"))).alias("r"))
     around = (_around(graph).join(held, "n").groupBy("id")
-              .agg(F.collect_list(F.struct("n", "fresh", "r", "v")).alias("l")))  # K + REVERSE at most
+              .agg(F.collect_list(F.struct("n", "fresh", "r", "f")).alias("l")))  # K + REVERSE at most
 
     def compare(batches):
         for batch in batches:
-            for lists in batch.column(0).to_pylist():
-                if len(lists) < 2:
-                    continue
-                ids = np.array([m["n"] for m in lists])
-                fresh = np.array([m["fresh"] for m in lists], bool)
-                r = np.array([m["r"] for m in lists])
-                width = max(len(m["v"]) for m in lists)
-                x = np.array([m["v"] + [0.0] * (width - len(m["v"])) for m in lists])
+            if not batch.num_rows:
+                continue
+            lists = batch.column(0)
+            at = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+            ids, fresh, r, f = lists.flatten().flatten()
+            ids, fresh, r, f = np.asarray(ids), fresh.to_numpy(zero_copy_only=False), np.asarray(r), _matrix(f, at[-1])
+            found = []
+            for lo, hi in zip(at[:-1], at[1:], strict=True):
+                one, new, x = ids[lo:hi], fresh[lo:hi], f[lo:hi]
                 sq = (x * x).sum(1)
                 d = np.sqrt(np.maximum(sq[:, None] + sq[None, :] - 2 * x @ x.T, 0))
-                i, j = np.nonzero((d < r[:, None]) & (fresh[:, None] | fresh[None, :]) & (ids[:, None] != ids[None, :]))
-                if len(i):
-                    yield _edges(ids[i], ids[j], d[i, j])
+                i, j = np.nonzero((d < r[lo:hi, None]) & (new[:, None] | new[None, :]) & (one[:, None] != one[None, :]))
+                found.append((one[i], one[j], d[i, j]))
+            yield _edges(*map(np.concatenate, zip(*found, strict=True)))
 
-    found = around.select("l").mapInArrow(compare, _EDGE)
-    found = found.groupBy("id", "n").agg(F.min("d").alias("d")).withColumn("fresh", F.lit(True))
+    found = around.select("l").mapInArrow(compare, _EDGE).withColumn("fresh", F.lit(True))
     return _keep(graph.withColumn("fresh", F.lit(False)).unionByName(found))
 
 
 def build(nodes: DataFrame, descents: int = DESCENTS) -> DataFrame:
-    """The neighbour graph (id, n, d, fresh) of vertices (id, v)."""
-    graph = _start(nodes, 0)
-    for order in range(1, ORDERS):
-        graph = graph.unionByName(_start(nodes, order))
-    graph = cut(_keep(graph.withColumn("fresh", F.lit(True))), "graph")
+    """The neighbour graph (id, n, d, fresh) of vertices (id, f), f in single
+    precision and of one length."""
+    spark, n = nodes.sparkSession, nodes.count()
+    # a range of some chunks each, and no more tasks than shuffles have, up to 64 chunks a task
+    parts = max(1, min(n // CHUNK, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // (64 * CHUNK))))
+    with arrow_rows(spark, CHUNK):
+        graph = _start(nodes, 0, parts)
+        for order in range(1, ORDERS):
+            graph = graph.unionByName(_start(nodes, order, parts))
+        graph = cut(_keep(graph.withColumn("fresh", F.lit(True))), "graph")
     for _ in range(descents):
-        graph = cut(_descend(graph, nodes), "graph")
+        with arrow_rows(spark, LISTS):  # a row holds the vectors of a whole list
+            graph = cut(_descend(graph, nodes), "graph")
     return graph
 
 
 def distance(a: str, b: str):
-    """Euclidean distance; a missing trailing component counts as zero."""
-    zero = F.lit(0.0)
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, zero) - F.coalesce(y, zero)), zero,
-                              lambda s, x: s + x * x))
+    """Euclidean distance of vectors of one length."""
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: x - y), F.lit(0.0), lambda s, x: s + x * x))
+
+
+def _rough(batches):
+    """(query, node, d) of rows (query, node, q, f)."""
+    for batch in batches:
+        if batch.num_rows:
+            gap = _matrix(batch.column(2), batch.num_rows) - _matrix(batch.column(3), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.sqrt((gap * gap).sum(1)))],
+                                             names=["query", "node", "d"])
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, ef: int = EF, rounds: int = ROUNDS) -> DataFrame:
-    """(query, node, d): up to ``ef`` near vertices of each query (query, q,
-    node: its own vertex in the graph, or null)."""
-    adjacent = cut(_around(graph).select(F.col("id").alias("node"), F.col("n").alias("next")), "adjacent")
-    marks = [r["id"] for r in nodes.select("id").orderBy(F.xxhash64("id"), "id").limit(LANDMARKS).collect()]
-    own = queries.where("node is not null").select("query", "q", "node")
-    first = (own.join(adjacent, "node").select("query", "q", F.col("next").alias("node")).unionByName(own)
-             .unionByName(queries.select("query", "q", F.explode(F.array(*map(F.lit, marks)).cast("array<long>")).alias("node")))
-             .dropDuplicates(["query", "node"]))
-    vectors = nodes.select(F.col("id").alias("node"), "v")
+    """(query, node, d): up to ``ef`` near vertices of each query (query, q in
+    single precision, node: its own vertex in the graph, or null), d rough."""
+    adjacent = cut(_around(graph).groupBy(F.col("id").alias("node")).agg(F.collect_list("n").alias("next")), "adjacent")
+    # LANDMARKS rows, whatever the size of the table
+    marks = cut(nodes.select(F.col("id").alias("node"), "f").orderBy(F.xxhash64("id"), "id").limit(LANDMARKS), "marks")
+    mark_ids = [r["node"] for r in marks.select("node").collect()]
+    asked, vectors = queries.select("query", "q"), nodes.select(F.col("id").alias("node"), "f")
     place = Window.partitionBy("query").orderBy("d", "node")
 
-    def nearest(df):
+    def best(df):
         return df.withColumn("k", F.row_number().over(place)).where(F.col("k") <= ef).drop("k")
 
-    def measured(df):
-        return df.join(vectors, "node").select("query", "q", "node", distance("q", "v").alias("d"), F.lit(False).alias("open"))
+    def measured(pairs, of):
+        return (pairs.join(of, "node").join(asked, "query").select("query", "node", "q", "f")
+                .mapInArrow(_rough, "query long, node long, d double").withColumn("open", F.lit(False)))
 
-    state = cut(nearest(measured(first)), "search")
+    own = queries.where("node is not null").select("query", "node")
+    first = own.join(adjacent, "node").select("query", F.explode("next").alias("node")).unionByName(own)
+    common = queries.select("query", F.explode(F.array(*map(F.lit, mark_ids)).cast("array<long>")).alias("node"))
+    state = measured(first, vectors).unionByName(measured(common, F.broadcast(marks)))
+    state = cut(best(state.dropDuplicates(["query", "node"])), "search")
     for _ in range(rounds):
         waiting = Window.partitionBy("query").orderBy("open", "d", "node")
         marked = state.withColumn("k", F.row_number().over(waiting))
         opened = (~F.col("open")) & (F.col("k") <= OPEN)
-        now = marked.where(opened).select("query", "q", "node")
+        now = marked.where(opened).select("query", "node")
         if now.isEmpty():
             break
-        fresh = now.join(adjacent, "node").select("query", "q", F.col("next").alias("node")).dropDuplicates(["query", "node"])
+        fresh = now.join(adjacent, "node").select("query", F.explode("next").alias("node")).dropDuplicates(["query", "node"])
         fresh = fresh.join(state.select("query", "node"), ["query", "node"], "left_anti")
-        state = cut(nearest(marked.withColumn("open", F.col("open") | opened).drop("k").unionByName(measured(fresh))), "search")
+        state = cut(best(marked.withColumn("open", F.col("open") | opened).drop("k").unionByName(measured(fresh, vectors))), "search")
     return state.select("query", "node", "d")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row of
     ``vectors`` (vec_id, v) for which ``is_query`` holds."""
-    vectors = cut(vectors, "vectors")
-    nodes = cut(vectors.groupBy("v").agg(F.min("vec_id").alias("id")).select("id", "v"), "nodes")
-    of = cut(vectors.join(nodes, "v").select("vec_id", F.col("id").alias("node")), "members")
+    vectors = cut(_filled(cut(vectors, "vectors")), "filled")
+    nodes = cut(vectors.groupBy("v").agg(F.min("vec_id").alias("id"))
+                .select("id", "v", F.col("v").cast("array<float>").alias("f")), "nodes")
+    of = cut(vectors.join(nodes.select("id", "v"), "v").select("vec_id", F.col("id").alias("node")), "members")
     place = Window.partitionBy("node").orderBy("vec_id")
     members = of.withColumn("k", F.row_number().over(place)).where(F.col("k") <= k + 1).drop("k")
     graph = build(nodes)
     asked = of.where(is_query)
     # copies of a query ask once
     queries = cut(asked.select("node").distinct().join(nodes.withColumnRenamed("id", "node"), "node")
-                  .select(F.col("node").alias("query"), F.col("v").alias("q"), "node"), "queries")
-    found = search(graph, nodes, queries)
+                  .select(F.col("node").alias("query"), F.col("f").alias("q"), "node"), "queries")
+    found = search(graph, nodes, queries).select("query", "node")
+    exact = nodes.select("id", "v")
+    found = (found.join(exact.select(F.col("id").alias("node"), "v"), "node")
+             .join(queries.select("query").join(exact.select(F.col("id").alias("query"), F.col("v").alias("q")), "query"), "query")
+             .select("query", "node", distance("q", "v").alias("d")))
     near = Window.partitionBy("query").orderBy("d", "node")
     found = found.withColumn("k", F.row_number().over(near)).where(F.col("k") <= k + 1).select("query", "node", "d")
     answers = found.join(members, "node").select("query", "vec_id", "d")
