@@ -8,9 +8,10 @@ parent's siblings.  Budgets are whole tokens, rounded down.
 
 Each leaf then takes whole seeded epochs while its budget lasts, and of the
 next epoch the prefix, in that epoch's seeded order, whose tokens still fit.
-The prefix is found without ordering a leaf in one task: token sums of 4,096
-hash ranges per leaf, then a running sum within the one range where the
-budget ends.
+The prefix is found without ordering a leaf in one task: token sums of 256
+hash ranges per leaf give the range where the budget ends, that range is parted
+into 256 again, and so once more; only the documents of the last range, about
+one in 16 million of the leaf, are summed one by one.
 
 Null language or source is the group 'none'; null or empty texts have no
 tokens and are taken with the epoch they fall in.  Rows of equal doc_id stand
@@ -32,6 +33,8 @@ SOURCE_WEIGHTS: dict[str, int] = {}
 MAX_EPOCHS = 3
 SEED = 17
 BROADCAST_LEAVES = 100_000
+LEVELS = 3    # times the range where a budget ends is parted
+DIGITS = 2    # hexadecimal digits of the place that part it
 _BIG = "decimal(38,0)"
 
 
@@ -91,6 +94,17 @@ def budgets(leaves: DataFrame, budget: Column, max_epochs: int, domain_weights:
     return _deal(leaves.join(langs, ["domain", "lang"]), ["domain", "lang"], "source", source_weights).drop("capacity")
 
 
+def _narrowed(rows: DataFrame, leaf: list[str], digits: int) -> DataFrame:
+    """Of ``rows`` within each leaf's range ``cut``, with ``below`` tokens before
+    it, the part (``digits`` digits of the place) where ``rest`` ends."""
+    running = Window.partitionBy(*leaf).orderBy("range")
+    return (rows.groupBy(*leaf, "rest", "below", F.substring("place", 1, digits).alias("range"))
+            .agg(F.sum("n_tokens").alias("t"))
+            .withColumn("upto", F.col("below") + F.sum("t").over(running))
+            .where("upto > rest and upto - t <= rest")
+            .select(*leaf, F.col("range").alias("cut"), (F.col("upto") - F.col("t")).alias("below")))
+
+
 def mix(docs: DataFrame, share: tuple[int, int] = (1, 1), max_epochs: int = MAX_EPOCHS, seed: int = SEED,
         domain_weights: dict = DOMAIN_WEIGHTS, lang_weights: dict = LANG_WEIGHTS,
         source_weights: dict = SOURCE_WEIGHTS) -> DataFrame:
@@ -114,16 +128,14 @@ def mix(docs: DataFrame, share: tuple[int, int] = (1, 1), max_epochs: int = MAX_
             .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1))))
     drawn = cut(joined.where("rest > 0").withColumn("epoch", F.col("whole"))
                 .withColumn("place", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"),
-                                                       F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-                .withColumn("range", F.substring("place", 1, 3)), "drawn")
-    running = Window.partitionBy(*leaf).orderBy("range")
-    cuts = (drawn.groupBy(*leaf, "range", "rest").agg(F.sum("n_tokens").alias("t"))
-            .withColumn("upto", F.sum("t").over(running))
-            .where("upto > rest and upto - t <= rest")
-            .select(*leaf, F.col("range").alias("cut"), (F.col("upto") - F.col("t")).alias("below")))
-    placed = drawn.join(F.broadcast(cuts) if few else cuts, leaf)  # one row per leaf
+                                                       F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))), "drawn")
+    cuts = plan.where("rest > 0").select(*leaf, F.lit("").alias("cut"), F.lit(0).cast("long").alias("below"))
+    near = lambda: drawn.join(F.broadcast(cuts) if few else cuts, leaf)  # noqa: E731  one row per leaf
+    for level in range(LEVELS):
+        cuts = cut(_narrowed(near().where(F.col("place").startswith(F.col("cut"))), leaf, (level + 1) * DIGITS), "cuts")
+    placed = near().withColumn("range", F.substring("place", 1, LEVELS * DIGITS))
     inside = placed.where("range < cut")
-    order = (Window.partitionBy(*leaf, "range").orderBy("place", "doc_id", "tie")
+    order = (Window.partitionBy(*leaf).orderBy("place", "doc_id", "tie")
              .rowsBetween(Window.unboundedPreceding, 0))
     edge = (placed.where("range = cut")
             .withColumn("run", F.sum("n_tokens").over(order)).where("below + run <= rest"))
