@@ -37,7 +37,7 @@ from starmart.sources import tables
 INCREMENTAL_MAX_SHARE = 0.25
 
 STAGES = ("ingest", "stream", "gate", "silver", "dim_customer", "dim_product", "dim_date",
-          "fact", "marts", "all")
+          "fact", "marts", "sales_summary", "customer_ltv", "all")
 
 
 @dataclass(frozen=True)
@@ -95,9 +95,9 @@ class Lake:
     def bronze(self) -> DataFrame:
         return bronze_io.read_bronze(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
 
-    def silver(self) -> DataFrame:
+    def silver(self, version: int | None = None) -> DataFrame:
         """Valid rows of the checked table (a partition filter)."""
-        return (tables.read(self.spark, self.cfg.silver)
+        return (tables.read(self.spark, self.cfg.silver, version)
                 .where(F.col("quality") == VALID).drop("quality"))
 
     def quarantine(self) -> DataFrame:
@@ -132,17 +132,22 @@ class Lake:
             events, self.cfg.bronze, partition_by=[bronze_io.BRONZE_PARTITION]))
 
     def stream(self, seconds: float = 60, kafka_servers: str | None = None,
-               available_now: bool = False):
-        from starmart.streaming.bronze_stream import (file_source, kafka_source, run_for,
-                                                      start_bronze_stream)
-        src = (kafka_source(self.spark, kafka_servers) if kafka_servers
-               else file_source(self.spark, self.cfg.raw))
-        q = start_bronze_stream(src, self.cfg.bronze_stream, self.cfg.checkpoint,
-                                available_now=available_now)
+               available_now: bool = False, max_files: int | None = None,
+               starting_offsets: str | None = None, max_offsets: int | None = None,
+               trigger_interval: str | None = None):
+        """Stream into bronze; limits left out are those of bronze_stream.py."""
+        from starmart.streaming import bronze_stream as b
+        src = (b.kafka_source(self.spark, kafka_servers,
+                              starting_offsets=starting_offsets or b.STARTING_OFFSETS,
+                              max_offsets_per_trigger=max_offsets or b.MAX_OFFSETS_PER_TRIGGER)
+               if kafka_servers else b.file_source(self.spark, self.cfg.raw, max_files))
+        q = b.start_bronze_stream(src, self.cfg.bronze_stream, self.cfg.checkpoint,
+                                  trigger_interval=trigger_interval or b.TRIGGER_INTERVAL,
+                                  available_now=available_now)
         if available_now:
             q.awaitTermination()
         else:
-            run_for(q, seconds)
+            b.run_for(q, seconds)
         return q
 
     def gate(self, threshold: float = GATE_THRESHOLD, increment_only: bool = False) -> dict:
@@ -231,6 +236,8 @@ class Lake:
                     scd2_newcomers(latest, cur).withColumn("kind", F.lit("new")))
             side_rec = tables.publish(side, self.cfg.dim_customer_changes, "WRITE",
                                       sources={"base": base})
+            if side_rec["rows"] == 0:  # nothing to close or insert: the snapshot stands
+                return tables.last_record(self.spark, self.cfg.dim_customer)
             side = tables.read(self.spark, self.cfg.dim_customer_changes)
             out = scd2_apply(cur, side.where(F.col("kind") == "change").drop("kind"), latest,
                              insert_new=insert_new,
@@ -254,7 +261,10 @@ class Lake:
             silver_rec = tables.last_record(self.spark, self.cfg.silver)
             sources = {"silver": silver_rec["version"],
                        "dim_customer": tables.versions(self.spark, self.cfg.dim_customer)[-1]}
-            dc, dp = self.table(self.cfg.dim_customer), self.table(self.cfg.dim_product)
+            # the recorded snapshots, not newer ones whose record is not written yet
+            silver = self.silver(sources["silver"])
+            dc = tables.read(self.spark, self.cfg.dim_customer, sources["dim_customer"])
+            dp = self.table(self.cfg.dim_product)
             fact_rec = (tables.last_record(self.spark, self.cfg.fact_orders)
                         if tables.exists(self.spark, self.cfg.fact_orders) else None)
             touched_rec = (tables.last_record(self.spark, self.cfg.silver_touched)
@@ -268,13 +278,13 @@ class Lake:
                         or touched_rec["rows"] < INCREMENTAL_MAX_SHARE * fact_rec["rows"]))
             if inc:
                 fact = fact_orders_incremental(
-                    self.table(self.cfg.fact_orders), self.silver(), dc, dp,
+                    self.table(self.cfg.fact_orders), silver, dc, dp,
                     self.table(self.cfg.silver_touched),
                     self._changed_customers(fact_rec["sources"]["dim_customer"]),
                     hot_share=self.hot_share)
                 op = "MERGE"
             else:
-                fact, op = fact_orders(self.silver(), dc, dp, hot_share=self.hot_share), "WRITE"
+                fact, op = fact_orders(silver, dc, dp, hot_share=self.hot_share), "WRITE"
             return tables.publish(check_contract(fact, CONTRACTS["fact_orders"]),
                                   self.cfg.fact_orders, op, partition_by=["status"],
                                   sources=sources)
@@ -286,6 +296,8 @@ class Lake:
         version was built directly on ``since_version``; otherwise a diff of
         the two snapshots."""
         rec = tables.last_record(self.spark, self.cfg.dim_customer)
+        if rec and rec["version"] == since_version:
+            return self.table(self.cfg.dim_customer).select("customer_id").where(F.lit(False))
         if (rec and rec["operation"] == "MERGE" and rec["sources"].get("base") == since_version
                 and "changes" in rec["sources"]):
             return tables.read(self.spark, self.cfg.dim_customer_changes,
@@ -303,6 +315,17 @@ class Lake:
             partition_by=["customer_region"]))
         return rec, marts.revenue_top10_sql(fact, dc, dp)
 
+    def sales_summary(self, region: str | None = None) -> DataFrame:
+        """The published summary, of one region (a partition filter) or all."""
+        df = self.table(self.cfg.sales_summary)
+        if region is not None:
+            df = df.where(F.col("customer_region") == region)
+        return df.orderBy(F.col("revenue").desc(), "customer_region", "product_category")
+
+    def customer_ltv(self, customer_id: str) -> DataFrame:
+        """Lifetime value of one customer over published gold."""
+        return marts.customer_ltv(self.table(self.cfg.fact_orders), self.table(self.cfg.dim_customer), customer_id)
+
     def register_views(self) -> None:
         """Temp views ``fact_orders``, ``dim_customer``, ``dim_product``,
         ``dim_date`` over the newest snapshots, for ad-hoc SQL."""
@@ -327,7 +350,8 @@ class Lake:
         fns = {"ingest": self.ingest, "stream": self.stream, "gate": self.gate,
                "silver": self.build_silver, "dim_customer": self.build_dim_customer,
                "dim_product": self.build_dim_product, "dim_date": self.build_dim_date,
-               "fact": self.build_fact, "marts": self.marts, "all": self.run_all}
+               "fact": self.build_fact, "marts": self.marts, "all": self.run_all,
+               "sales_summary": self.sales_summary, "customer_ltv": self.customer_ltv}
         if stage not in fns:
             raise ValueError(f"Unknown stage: {stage}")
         return fns[stage](**kw)
@@ -341,6 +365,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--seconds", type=float, default=60.0, help="stream run length")
     ap.add_argument("--kafka", default=None, help="bootstrap servers (stream stage)")
+    ap.add_argument("--available-now", action="store_true", help="stream what is there, then stop")
+    ap.add_argument("--max-files", type=int, default=None, help="files per micro-batch of the file stream")
+    ap.add_argument("--starting-offsets", default=None, help="start position of the Kafka stream")
+    ap.add_argument("--max-offsets", type=int, default=None, help="offsets per micro-batch of the Kafka stream")
+    ap.add_argument("--trigger", default=None, help="interval between micro-batches, such as '10 seconds'")
+    ap.add_argument("--region", default=None, help="region of the sales_summary stage (default: all)")
+    ap.add_argument("--customer", default=None, help="customer id of the customer_ltv stage")
     ap.add_argument("--threshold", type=float, default=GATE_THRESHOLD)
     ap.add_argument("--insert-new", action="store_true")
     ap.add_argument("--full-silver", action="store_true", help="rebuild silver from all bronze")
@@ -359,7 +390,14 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         top.show(truncate=False)
     elif a.stage == "stream":
-        lake.stream(a.seconds, a.kafka)
+        lake.stream(a.seconds, a.kafka, available_now=a.available_now, max_files=a.max_files,
+                    starting_offsets=a.starting_offsets, max_offsets=a.max_offsets, trigger_interval=a.trigger)
+    elif a.stage == "sales_summary":
+        lake.sales_summary(a.region).show(truncate=False)
+    elif a.stage == "customer_ltv":
+        if a.customer is None:
+            ap.error("customer_ltv needs --customer")
+        lake.customer_ltv(a.customer).show(truncate=False)
     elif a.stage == "gate":
         print(lake.gate(a.threshold, increment_only=a.gate_increment_only))
     elif a.stage == "silver":

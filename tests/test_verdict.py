@@ -65,3 +65,34 @@ def test_a_null_current_flag_stays_in_the_dimension(spark):
                                 "start_date date, end_date date, is_current boolean")
     none = spark.createDataFrame([], "customer_id string, customer_name string, customer_region string, effective_date date, first_seen date")
     assert scd2_apply(dim, none).count() == 1
+
+
+def test_sql_marts_shuffle_the_fact_by_pairs_only(spark):
+    from starmart.plans import marts
+    fact = spark.createDataFrame([("c", "p", 1.5, "NEW")], "customer_key string, product_key string, order_total double, status string")
+    dc = spark.createDataFrame([("c", "East", True)], "customer_key string, customer_region string, is_current boolean")
+    dp = spark.createDataFrame([("p", "Toys")], "product_key string, product_category string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (marts.revenue_top10_sql(fact, dc, dp), marts.sales_summary_by_region(fact, dc, dp, "East")):
+            assert [tuple(r) for r in df.collect()] == [("East", "Toys", 1.5, 1)]
+            plan = df._jdf.queryExecution().sparkPlan().toString()
+            assert plan.count("HashAggregate") == 6
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.index("Join Inner") < plan.rindex("Aggregate [customer_key")  # sums stand below the joins
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_serving_reads_published_gold_and_an_empty_change_set_publishes_nothing(spark, bronze_rows):
+    from starmart.sources import tables
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake_serve")))
+    lake.append_bronze(bronze_rows(*({"event_id": f"e{i}"} for i in range(5))))
+    top = lake.run_all().first()
+    assert [tuple(r) for r in lake.sales_summary(top.customer_region).select("revenue", "order_count").collect()] == [(top.revenue, 5)]
+    assert lake.sales_summary().count() == 1 and lake.sales_summary("nowhere").count() == 0
+    assert lake.customer_ltv("unknown").first().ltv == 0.0
+    lake.append_bronze(bronze_rows({"event_id": "again"}))
+    assert lake.run_all(incremental=True).first().orders == 6
+    assert tables.versions(spark, lake.cfg.dim_customer) == [0]
