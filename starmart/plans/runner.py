@@ -237,7 +237,8 @@ class Lake:
             side_rec = tables.publish(side, self.cfg.dim_customer_changes, "WRITE",
                                       sources={"base": base})
             if side_rec["rows"] == 0:  # nothing to close or insert: the snapshot stands
-                return tables.last_record(self.spark, self.cfg.dim_customer)
+                return tables.record_unchanged(self.spark, self.cfg.dim_customer, "MERGE",
+                                               {"base": base, "changes": side_rec["version"]})
             side = tables.read(self.spark, self.cfg.dim_customer_changes)
             out = scd2_apply(cur, side.where(F.col("kind") == "change").drop("kind"), latest,
                              insert_new=insert_new,
