@@ -8,12 +8,13 @@ joins the graph with itself: around every vertex its neighbours and a bounded
 sample of its reverse neighbours are compared with each other, pairs closer
 than what either holds are proposed, and each vertex keeps its K nearest.
 Only pairs with a neighbour that is new since the last round are compared.
+The orders grow with the logarithm of the vertices, and descents go on until a
+round replaces at most a share DELTA of the list entries.
 
 A query starts from its own vertex' neighbours and LANDMARKS fixed vertices,
 and in each round opens its nearest unopened vertices: their neighbours, and
 sampled reverse neighbours, are joined in and the EF nearest are kept, until
-nothing is left to open or ROUNDS are over.  Graph and search compare in single
-precision; those kept are measured again, Euclidean in double precision on the
+none of those is left to open.  Graph and search compare in single precision; those kept are measured again, Euclidean in double precision on the
 original vectors.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
@@ -35,9 +36,9 @@ from starmart.llm.common import arrow_rows, cut
 from starmart.llm.topk import valid
 
 K, REVERSE = 32, 16    # neighbours of a vertex; sampled reverse neighbours
-CHUNK, ORDERS = 1024, 8
-DESCENTS = 2
-EF, OPEN, ROUNDS = 400, 100, 4
+CHUNK, ORDERS = 1024, 8  # vertices of a chunk; orders up to 2^16 vertices, one more each doubling
+DELTA = 0.001          # share of replaced list entries that ends the descent
+EF, OPEN = 400, 100    # vertices a query keeps; opens in a round
 LANDMARKS = 64
 LISTS = 512            # neighbour lists of an Arrow batch
 
@@ -122,7 +123,8 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     held = nodes.join(graph.groupBy("id").agg(far.alias("r")), "id", "left").select(
         F.col("id").alias("n"), "f", F.coalesce("r", F.lit(float("inf"))).alias("r"))
     around = (_around(graph).join(held, "n").groupBy("id")
-              .agg(F.collect_list(F.struct("n", "fresh", "r", "f")).alias("l")))  # K + REVERSE at most
+              .agg(F.collect_list(F.struct("n", "fresh", "r", "f")).alias("l"))  # K + REVERSE at most
+              .where(F.exists("l", lambda x: x["fresh"])))
 
     def compare(batches):
         for batch in batches:
@@ -145,7 +147,12 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return _keep(graph.withColumn("fresh", F.lit(False)).unionByName(found))
 
 
-def build(nodes: DataFrame, descents: int = DESCENTS) -> DataFrame:
+def orders(n: int) -> int:
+    """Start orders of n vertices."""
+    return ORDERS + max(0, (max(n, 1) - 1).bit_length() - 16)
+
+
+def build(nodes: DataFrame, delta: float = DELTA) -> DataFrame:
     """The neighbour graph (id, n, d, fresh) of vertices (id, f), f in single
     precision and of one length."""
     spark, n = nodes.sparkSession, nodes.count()
@@ -153,10 +160,10 @@ def build(nodes: DataFrame, descents: int = DESCENTS) -> DataFrame:
     parts = max(1, min(n // CHUNK, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // (64 * CHUNK))))
     with arrow_rows(spark, CHUNK):
         graph = _start(nodes, 0, parts)
-        for order in range(1, ORDERS):
+        for order in range(1, orders(n)):
             graph = graph.unionByName(_start(nodes, order, parts))
         graph = cut(_keep(graph.withColumn("fresh", F.lit(True))), "graph")
-    for _ in range(descents):
+    while graph.where("fresh").count() > delta * K * n:  # a descent's own entries are fresh
         with arrow_rows(spark, LISTS):  # a row holds the vectors of a whole list
             graph = cut(_descend(graph, nodes), "graph")
     return graph
@@ -176,7 +183,7 @@ def _rough(batches):
                                              names=["query", "node", "d"])
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, ef: int = EF, rounds: int = ROUNDS) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, ef: int = EF) -> DataFrame:
     """(query, node, d): up to ``ef`` near vertices of each query (query, q in
     single precision, node: its own vertex in the graph, or null), d rough."""
     adjacent = cut(_around(graph).groupBy(F.col("id").alias("node")).agg(F.collect_list("n").alias("next")), "adjacent")
@@ -198,7 +205,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, ef: int = EF,
     common = queries.select("query", F.explode(F.array(*map(F.lit, mark_ids)).cast("array<long>")).alias("node"))
     state = measured(first, vectors).unionByName(measured(common, F.broadcast(marks)))
     state = cut(best(state.dropDuplicates(["query", "node"])), "search")
-    for _ in range(rounds):
+    while True:
         waiting = Window.partitionBy("query").orderBy("open", "d", "node")
         marked = state.withColumn("k", F.row_number().over(waiting))
         opened = (~F.col("open")) & (F.col("k") <= OPEN)
