@@ -7,9 +7,8 @@ score is the mean marginal of *good*, weighted by line length in bytes.
 
 Only documents are labelled, so in training each line carries its document's
 label; the fit maximises the conditional likelihood of whole label sequences
-of a bounded sample of the training fold (at most MAX_DOCS documents, of each
-at most MAX_LINES lines from its start: bounds of the sample, not of scoring,
-which reads whole texts).
+of a bounded sample of the training fold (at most MAX_DOCS documents, each with
+all its lines).
 
 Null and empty texts are one empty line.  Without both labels in the sample
 the score is the only label seen (1 if none).  Repeated rows each give a row.
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_DOCS = 4000   # bound on the documents of the fit
-MAX_LINES = 32    # bound on the lines of one document in the fit
 
 # byte classes, each counted per line
 _CLASSES = (b"abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100)), b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789",
@@ -81,13 +79,28 @@ def with_neighbours(own: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.hstack([own, before, after, edge])
 
 
-def _padded(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _padded(lengths: np.ndarray, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of each sequence (from ``start``, or one after the other) and which are its own."""
     width = int(lengths.max())
+    start = np.cumsum(lengths) - lengths if start is None else start
     mask = np.arange(width)[None, :] < lengths[:, None]
-    at = np.where(mask, (np.cumsum(lengths) - lengths)[:, None] + np.arange(width)[None, :], 0)
+    at = np.where(mask, start[:, None] + np.arange(width)[None, :], 0)
     return at, mask
 
 
+def _groups(lengths: np.ndarray):
+    """Indices of texts of like numbers of lines together."""
+    order = np.argsort(lengths, kind="stable")
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and lengths[order[hi]] <= max(8, 2 * lengths[order[lo]]) and \
+                (hi - lo + 1) * lengths[order[hi]] <= 1 << 18:
+            hi += 1
+        yield order[lo:hi]
+        lo = hi
+
+
 def marginals(node: np.ndarray, edge: np.ndarray, at: np.ndarray, mask: np.ndarray):
     """Forward-backward in logarithms over padded sequences: log partition,
     marginal of state 1 per position, and expected transitions."""
@@ -118,7 +131,7 @@ def fit(own: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = 160,
     scale = own.std(0) + 1e-6
     x = with_neighbours(own / scale, first)
     lengths = np.diff(first)
-    at, mask = _padded(lengths)
+    groups = [_padded(lengths[group], first[:-1][group]) for group in _groups(lengths)]
     doc = np.repeat(np.arange(len(lengths)), lengths)
     y = label[doc].astype(float)
     theta, edge = np.zeros(x.shape[1]), np.zeros((2, 2))
@@ -128,8 +141,12 @@ def fit(own: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = 160,
         kept[v, v] = (lengths[label == v] - 1).sum()
     for step in range(1, steps + 1):
         node = np.column_stack([np.zeros(len(x)), x @ theta])
-        _, good, pairs = marginals(node, edge, at, mask)
-        g = np.append(x.T @ (good[mask] - y), (pairs - kept).ravel()) / len(x)
+        good, pairs = np.zeros(len(x)), np.zeros((2, 2))
+        for at, mask in groups:
+            _, inside, moves = marginals(node, edge, at, mask)
+            good[at[mask]] = inside[mask]
+            pairs += moves
+        g = np.append(x.T @ (good - y), (pairs - kept).ravel()) / len(x)
         g += decay * np.append(theta, edge.ravel())
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         move = rate * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
@@ -147,21 +164,11 @@ def score_texts(texts: list[str | None], model) -> np.ndarray:
     scale, theta, edge = model
     node = np.column_stack([np.zeros(len(own)), with_neighbours(own / scale, first) @ theta])
     lengths, out = np.diff(first), np.zeros(len(texts))
-    order = np.argsort(lengths, kind="stable")
-    lo = 0
-    while lo < len(order):  # texts of like numbers of lines together
-        hi = lo + 1
-        while hi < len(order) and lengths[order[hi]] <= max(8, 2 * lengths[order[lo]]) and \
-                (hi - lo + 1) * lengths[order[hi]] <= 1 << 18:
-            hi += 1
-        group = order[lo:hi]
-        width = lengths[group].max()
-        mask = np.arange(width)[None, :] < lengths[group][:, None]
-        at = np.where(mask, first[:-1][group][:, None] + np.arange(width)[None, :], 0)
+    for group in _groups(lengths):
+        at, mask = _padded(lengths[group], first[:-1][group])
         _, good, _ = marginals(node, edge, at, mask)
         weight = np.where(mask, size[at] + 1, 0)
         out[group] = (good * weight).sum(1) / weight.sum(1)
-        lo = hi
     return np.clip(out, 0, 1)
 
 
@@ -176,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, in_training):
     def features(batches):
         for batch in batches:
             own, _, first = line_features(batch.column(0).to_pylist()) if batch.num_rows else (None, None, [0])
-            kept = [own[a:min(b, a + MAX_LINES)] for a, b in zip(first[:-1], first[1:], strict=True)]
+            kept = [own[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k.astype("<f4").tobytes() for k in kept], pa.binary()), batch.column(1).cast(pa.int32())],
                 names=["own", "quality"])
