@@ -14,14 +14,21 @@ or when all postings are done.  Those possible members are rescored exactly.
 Queries travel in blocks; each block of queries meets each block of the index
 once, and a window keeps the k best of a query's block results.
 
+Vectors with a scaled component from 2^26 on (less where vectors are longer
+than 1024), for which integer sums could overflow, meet all others, as queries
+and as candidates, in Python integers instead.  Where a score among the k best
+exceeds a long the query fails, as it does where a scaled component exceeds a
+double.
+
 Vectors that are null, empty or hold null or non-finite components take no
-part, nor do those with a scaled component beyond 2^26, where integer scores
-could overflow.  Rows that share an id count once, as the smallest vector.
+part.  Rows that share an id count once, as the smallest vector.
 Missing trailing components count as zero.  Ties go to the smaller id.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -43,16 +50,19 @@ def valid(column: str):
 
 
 def scaled(df: DataFrame, scale: int = 1024) -> DataFrame:
-    """(vec_id, v): one integer vector per id."""
-    v = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-    small = F.forall("embedding", lambda x: F.abs(x.cast("double")) * scale < _LIMIT)
-    return (df.select(F.col("vec_id").cast("long"), "embedding").where(F.col("vec_id").isNotNull() & valid("embedding") & small)
+    """(vec_id, v): one vector of integers, as doubles, per id."""
+    def whole(x):
+        y = F.lit(scale) * x.cast("double")
+        return (F.when(F.abs(y) < F.lit(float(1 << 53)), F.floor(y).cast("double"))  # doubles from 2^53 on are whole
+                .when(F.abs(y) < F.lit(float("inf")), y).otherwise(F.raise_error(F.lit("a scaled component exceeds a double")).cast("double")))
+
+    v = F.transform("embedding", whole)
+    return (df.select(F.col("vec_id").cast("long"), "embedding").where(F.col("vec_id").isNotNull() & valid("embedding"))
             .select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")))
 
 
-def matrix(vectors: list[list[int]], width: int | None = None) -> np.ndarray:
-    width = width or max(map(len, vectors))
-    out = np.zeros((len(vectors), width), np.int64)
+def matrix(vectors: list[list[float]], width: int) -> np.ndarray:
+    out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
@@ -78,6 +88,8 @@ class Block:
         n, d = self.x.shape
         w = q[self.dim]
         impact = np.where(w > 0, w * (self.low + (1 << STEP_BITS) - 1), w * self.low).astype(float)
+        most = d * np.abs(impact).max(initial=0)  # of any sum below; floats hold sums below 2^53 exactly
+        slack = 0.0 if most < 1 << 51 else most * d * 2.0 ** -48
         order = np.argsort(-impact, kind="stable")
         done = np.cumsum(self.length[order])
         out = np.flatnonzero(self.ids == own)
@@ -96,7 +108,7 @@ class Block:
             following = np.full(d, -np.inf)
             np.maximum.at(following, self.dim[rest], impact[rest])
             following[~np.isfinite(following)] = 0
-            upper = bound + following.sum() - seen @ following
+            upper = bound + following.sum() - seen @ following + slack
             upper[out] = -np.inf
             best = np.argpartition(-upper, min(2 * k, n) - 1)[:2 * k]
             best = best[np.isfinite(upper[best])]
@@ -110,47 +122,96 @@ class Block:
         return members[first], score[first]
 
 
+_LONG = 1 << 63
+
+
+def exact(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+    """(id, score) of the k best for q in Python integers.  A score above a
+    long would be among the k; one below is held as -2^63 - 1."""
+    score = x @ q
+    best = sorted(((-s, i) for s, i in zip(score.tolist(), ids.tolist(), strict=True) if i != own))[:k]
+    if best and -best[0][0] >= _LONG:
+        raise OverflowError(f"a score of query {own} exceeds a long")
+    return [(i, max(-s, -_LONG - 1)) for s, i in best]
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other vectors of each row of
     ``vectors`` (vec_id, v) for which the condition ``is_query`` holds."""
     spark = vectors.sparkSession
     vectors = cut(vectors, "vectors")
-    n, n_q, width = vectors.agg(F.count("*"), F.count_if(is_query), F.max(F.size("v"))).first()
-    blocks, q_blocks, width = max(1, -(-n // BLOCK)), max(1, -(-(n_q or 0) // QUERIES)), width or 1
+    width = vectors.agg(F.max(F.size("v"))).first()[0] or 1
+    small = F.forall("v", lambda x: F.abs(x) < min(_LIMIT, 2.0 ** 31 / width ** 0.5))  # a score stays below 2^62
+    n, n_q, wide, wide_q = vectors.agg(F.count_if(small), F.count_if(small & is_query), F.count_if(~small),
+                                       F.count_if(~small & is_query)).first()
+
+    def count(rows, of):
+        return max(1, -(-rows // of))
+
+    blocks, q_blocks = count(n, BLOCK), count(n_q, QUERIES)
 
     def packed(batches):
         for (block,), rows in runs(batches, ["block"]):
             x = matrix([r["v"] for r in rows], width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([np.array([r["vec_id"] for r in rows], np.int64).tobytes()], pa.binary()),
-                 pa.array([x.astype(np.int32).tobytes()], pa.binary())], names=["block", "ids", "x"])
+                 pa.array([x.tobytes()], pa.binary())], names=["block", "ids", "x"])
 
     def pack(df, count):
         return (df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count))).repartition("block")
                 .sortWithinPartitions("block", "vec_id").select("block", "vec_id", "v")
                 .mapInArrow(packed, "block long, ids binary, x binary"))
 
-    index = pack(vectors, blocks)
-    queries = (pack(vectors.where(is_query), q_blocks).select(F.col("ids").alias("q_ids"), F.col("x").alias("q"))
-               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
+    def pairs(index, blocks, queries, q_blocks):
+        queries = (pack(queries.where(is_query), q_blocks).select(F.col("ids").alias("q_ids"), F.col("x").alias("q"))
+                   .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
+        return pack(index, blocks).join(queries, "block")
+
+    def unpacked(row, ids, x):
+        ids = np.frombuffer(row[ids], np.int64)
+        return ids, np.frombuffer(row[x]).reshape(len(ids), width)
 
     def search(batches):
         held, block = None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if held != row["block"]:
-                    ids = np.frombuffer(row["ids"], np.int64)
-                    held, block = row["block"], Block(ids, np.frombuffer(row["x"], np.int32).reshape(len(ids), width).astype(np.int64))
-                q_ids = np.frombuffer(row["q_ids"], np.int64)
-                q = np.frombuffer(row["q"], np.int32).reshape(len(q_ids), width).astype(np.int64)
-                found = [block.search(x, i, k) for i, x in zip(q_ids, q, strict=True)]
+                    ids, x = unpacked(row, "ids", "x")
+                    held, block = row["block"], Block(ids, x.astype(np.int64))
+                q_ids, q = unpacked(row, "q_ids", "q")
+                found = [block.search(x, i, k) for i, x in zip(q_ids, q.astype(np.int64), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(q_ids, [len(r) for r, _ in found])),
                      pa.array(block.ids[np.concatenate([r for r, _ in found])]),
                      pa.array(np.concatenate([s for _, s in found]).astype(np.int64))], names=["query_id", "vec_id", "score"])
 
+    def whole(x):
+        return np.array([int(v) for v in x.ravel().tolist()], object).reshape(x.shape)
+
+    def search_wide(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, x = unpacked(row, "ids", "x")
+                q_ids, q = unpacked(row, "q_ids", "q")
+                x, q = whole(x), whole(q)
+                found = [(i, *m) for i, y in zip(q_ids.tolist(), q, strict=True) for m in exact(ids, x, y, i, k)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+                     pa.array([Decimal(f[2]) for f in found], pa.decimal128(20, 0))], names=["query_id", "vec_id", "score"])
+
     with arrow_rows(spark, 16):  # rows of blocks are large
-        found = cut(index.join(queries, "block").mapInArrow(search, "query_id long, vec_id long, score long"), "block-results")
+        few = vectors.where(small)
+        found = cut(pairs(few, blocks, few, q_blocks).mapInArrow(search, "query_id long, vec_id long, score long"), "block-results")
+        if wide:
+            rare, kind = vectors.where(~small), "query_id long, vec_id long, score decimal(20,0)"
+            found = found.withColumn("score", F.col("score").cast("decimal(20,0)"))
+            found = found.unionByName(cut(pairs(rare, count(wide, BLOCK), few, q_blocks).mapInArrow(search_wide, kind), "wide"))
+            if wide_q:
+                found = found.unionByName(cut(pairs(vectors, count(n + wide, BLOCK), rare, count(wide_q, QUERIES))
+                                              .mapInArrow(search_wide, kind), "wide"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    score = F.col("score")
+    if wide:
+        score = F.when(score < F.lit(-_LONG), F.raise_error(F.lit("a score exceeds a long")).cast("long")).otherwise(score.cast("long"))
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", score.alias("score")))
