@@ -13,8 +13,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import ann, bpe, licenses, line_dedup, mixing, ngram_join, quality, topk, toxicity, warc
-from starmart.llm.common import fold, ship, table
+from starmart.llm import (alignment, ann, bpe, conversations, licenses, line_dedup, mixing, ngram_join, quality, secret_scan, topk,
+                          toxicity, warc)
+from starmart.llm.common import arrow_rows, cut, fold, ship, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -71,6 +72,33 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(ann.usable(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = found.select("doc_id", "n_a", "n_b", "n_groups", "n_links",
+                         F.coalesce(F.sha2("groups", 256), F.lit("")).alias("groups_sha256"), "pairs", "times")
+    with arrow_rows(spark, 512):
+        found = cut(found, "token-alignment")
+    return alignment.score_links(found)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damage(rows)).drop("repaired").withColumnRenamed("conv_id", "_conv")
+    every = rows.select("conv_id").distinct().join(repaired, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    zeros = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    n = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k, *_ in secret_scan.BASE]
+    return found.select("doc_id", *n, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.listed(F.concat("base", "random")).alias("spans"))
+
+
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
