@@ -1,7 +1,10 @@
 """Alignment of two tokenizations of every text, by pointer jumping.
 
 Each text is encoded by a byte-level BPE (A) and a sentencepiece model (B);
-both cover the bytes of a space and the text.  The tokens of a slice of texts
+both cover the bytes of a space and the text.  A's file is read into ranks and
+merged by the rank encoder: ids rise along the file's merges, and every entry
+is built by the very merge the file lists for it, so both pick the same merge
+at every step (a test shows it for the whole vocabulary).  The tokens of a slice of texts
 lie end to end on one byte axis.  Every token points to the token that
 overlaps it and reaches farthest right (B's where both end together, so such
 a token is terminal).  Doubling all pointers at once, succ = succ[succ], until
@@ -24,7 +27,7 @@ rows.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -60,21 +63,28 @@ def _byte_chars() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def byte_ranks(byte_json: bytes) -> dict[bytes, int]:
+    """Token bytes and ids of a byte-level vocabulary file, without special tokens."""
+    model, chars = json.loads(byte_json)["model"], _byte_chars()
+    merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+    made = {a + b for a, b in merges}
+    return {bytes(map(chars.__getitem__, t)): i for t, i in model["vocab"].items() if len(t) == 1 or t in made}
+
+
 class Aligner:
     """Both tokenizers and their tables in one Python worker."""
 
-    def __init__(self, byte_json: bytes, piece_model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, byte_json: bytes, piece_model: bytes, pattern: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_str(byte_json.decode())
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        chars = _byte_chars()
-        na, nb = self.a.get_vocab_size(), self.b.get_piece_size()
-        entries = [self.a.id_to_token(i) for i in range(na)]
-        self.bytes_a = [bytes(map(chars.__getitem__, t)) if all(c in chars for c in t) else t.encode() for t in entries]
+        self.ranks = byte_ranks(byte_json)
+        self.a = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        self.bytes_a = [b""] * (max(self.ranks.values()) + 1)
+        for token, i in self.ranks.items():
+            self.bytes_a[i] = token
+        na, nb = len(self.bytes_a), self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(nb)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
@@ -83,15 +93,13 @@ class Aligner:
         self.words = np.array([f"{i}{sep}" for sep in ",|;" for i in ids], object)
         self.na, self.all = na, na + nb
 
-    def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, list[int]] | None]:
         """Ids of A and B of each text; None where one does not give its bytes back."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
         out = []
-        for t, a, b in zip(texts, ids_a, ids_b, strict=True):
-            whole = f" {t}".encode()
-            same = (b"".join(map(self.bytes_a.__getitem__, a)) == whole
-                    and b"".join(map(self.bytes_b.__getitem__, b)) == whole)
+        for t, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            a, whole = self.a.encode_to_numpy(f" {t}", disallowed_special=()), f" {t}".encode()
+            # A's tokens are parts of the text in order: their length decides
+            same = self.size_a[a].sum() == len(whole) and b"".join(map(self.bytes_b.__getitem__, b)) == whole
             out.append((a, b) if same else None)
         return out
 
@@ -130,9 +138,9 @@ class Aligner:
 
 
 def _aligner(shared) -> Aligner:
-    byte_json, piece_model, name = shared.value
+    byte_json, piece_model, pattern, name = shared.value
     if name not in _loaded:
-        _loaded[name] = Aligner(byte_json, piece_model)
+        _loaded[name] = Aligner(byte_json, piece_model, pattern)
     return _loaded[name]
 
 
@@ -147,13 +155,14 @@ def _slices(texts: list[str | None]):
         yield lo, len(texts)
 
 
-def align(docs: DataFrame, byte_vocabulary: str, piece_model: str, text: str = "text") -> DataFrame:
+def align(docs: DataFrame, byte_vocabulary: str, piece_model: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with n_a, n_b, n_groups, n_links, ``groups``
     (``a1,a2|b1;a3|b2`` in ids), and the distinct linked ``pairs`` (A id times
     2^32 plus B id) with their ``times``.  Both models are broadcast."""
     with open(byte_vocabulary, "rb") as f, open(piece_model, "rb") as g:
         models = f.read(), g.read()
-    shared = docs.sparkSession.sparkContext.broadcast((*models, hashlib.sha256(b"".join(models)).hexdigest()))
+    name = hashlib.sha256(b"".join([*models, pattern.encode()])).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast((*models, pattern, name))
     keep = [c for c in docs.columns if c != text and c not in MADE]
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text))
     schema = T.StructType([*docs.select(*[f"`{c}`" for c in keep]).schema.fields,

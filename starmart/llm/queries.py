@@ -74,7 +74,8 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                            public_tokenizers.PATTERN)
     found = found.select("doc_id", "n_a", "n_b", "n_groups", "n_links",
                          F.coalesce(F.sha2("groups", 256), F.lit("")).alias("groups_sha256"), "pairs", "times")
     with arrow_rows(spark, 512):

@@ -1,12 +1,14 @@
 """Token alignment against a plain search for common ends."""
 
 import hashlib
+import json
 import random
 from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+from tokenizers import Tokenizer
 
 from starmart.llm import alignment, queries
 from starmart.llm.common import cut
@@ -16,7 +18,7 @@ FILES = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 
 @pytest.fixture(scope="module")
 def aligner():
-    return alignment.Aligner(*(open(f, "rb").read() for f in FILES))
+    return alignment.Aligner(*(open(f, "rb").read() for f in FILES), P.PATTERN)
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +54,28 @@ def test_pointers_end_at_the_terminal_token_of_each_component():
     assert (a.tolist(), b.tolist(), ends.tolist()) == ([0, 0, 0, 0, 1], [0, 0, 0, 1, 1], [2, 4])
 
 
+def test_rank_encoder_makes_every_entry_by_its_listed_merge(aligner):
+    model, chars = json.load(open(FILES[0]))["model"], alignment._byte_chars()
+    raw = lambda t: bytes(map(chars.__getitem__, t))
+    listed = [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    ids = [aligner.ranks[a + b] for a, b in listed]
+    assert ids == sorted(ids) and len(aligner.ranks) == len(ids) + 256
+    for a, b in listed:
+        parts = [bytes([c]) for c in a + b]
+        while len(parts) > 2:
+            _, k = min((aligner.ranks.get(parts[k] + parts[k + 1], 1 << 30), k) for k in range(len(parts) - 1))
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        assert parts == [a, b]
+
+
+def test_rank_encoder_equals_the_file_own_library(aligner, texts):
+    own = Tokenizer.from_file(FILES[0])
+    own.encode_special_tokens = True
+    some = [t for t in texts if t] + [f"a{chr(c)}b 1{chr(c)}2 {chr(c)}{chr(c)} '{chr(c)}s" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    for t, e in zip(some, own.encode_batch([f" {t}" for t in some], add_special_tokens=False), strict=True):
+        assert aligner.a.encode_to_numpy(f" {t}", disallowed_special=()).tolist() == e.ids
+
+
 def test_linked_pairs_are_bounded_by_the_vocabularies(aligner):
     assert min(aligner.size_a) > 0 and min(aligner.size_b) > 0
     assert len(set(aligner.bytes_a)) == len(aligner.bytes_a)
@@ -60,7 +84,7 @@ def test_linked_pairs_are_bounded_by_the_vocabularies(aligner):
 def test_alignment_equals_brute_force(spark, aligner, texts):
     rows = [(i, t, f"own{i}", 7) for i, t in enumerate(texts)] + [(None, texts[0], "own", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, pairs string, extra int")
-    got = alignment.score_links(cut(alignment.align(docs, *FILES), "test-alignment"))
+    got = alignment.score_links(cut(alignment.align(docs, *FILES, P.PATTERN), "test-alignment"))
     assert got.columns == ["doc_id", "extra", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
     want = [brute(aligner, t) for t in [*texts, texts[0]]]
     total = sum((w[3] for w in want), Counter())
@@ -86,7 +110,7 @@ def test_slices_do_not_change_the_result(aligner, texts, monkeypatch):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert alignment.score_links(cut(alignment.align(docs, *FILES), "test-alignment")).count() == 0
+    assert alignment.score_links(cut(alignment.align(docs, *FILES, P.PATTERN), "test-alignment")).count() == 0
 
 
 def test_registered_query(spark, aligner, tmp_path):
