@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.llm.common import unused
+
 SHIFT = 0x100
 STOP = chr(2 * SHIFT)
 CACHE_ENTRIES = 1 << 19
@@ -130,7 +132,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text
     shared = docs.sparkSession.sparkContext.broadcast(
         (model, ranks, pattern, xxhash.xxh3_64_hexdigest(model + pattern.encode())))
     keep = [c for c in docs.columns if c not in (text, "ids", "decoded")]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(unused(keep, "_text")))
     schema = T.StructType([*source.select(*[f"`{c}`" for c in keep]).schema.fields,
                            T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 

@@ -36,6 +36,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores in front until no column bears it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Arrow batches of at most ``rows`` rows for the actions inside: for rows

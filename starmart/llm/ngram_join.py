@@ -32,10 +32,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import arrow_rows, components, cut, runs
+from starmart.llm.common import arrow_rows, components, cut, runs, unused
 
 BLOCK = 256            # documents of a block of the product
 CLASS_RATIO = 1.25     # largest to smallest size of a class
@@ -294,8 +294,28 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each group of linked ones, the one of
-    smallest doc_id; rows of null doc_id all stay."""
-    found = jaccard_components(docs, n, num, den).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(found, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one row of each group of linked texts, that of smallest
+    doc_id; rows of null doc_id all stay.  Rows are told apart by id and text:
+    those that share an id but not their text are documents of their own, equal
+    ones are copies, of which one stays (the least by all columns that order)."""
+    digest, row, place, of_id, of_digest = (unused(docs.columns, c) for c in ("_digest", "_row", "_place", "_of_id", "_of_digest"))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    named = docs.where(F.col("doc_id").isNotNull())
+    repeated = cut(named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        found = jaccard_components(named, n, num, den).where("doc_id = component_id").select("doc_id")
+        kept = named.join(found, "doc_id", "left_semi")
+    else:
+        # a number for each (doc_id, text), rising with doc_id: a group's least number has its least id
+        named = named.withColumn(digest, F.md5("text"))
+        ids = cut(named.select(F.col("doc_id").alias(of_id), F.col(digest).alias(of_digest)).distinct()
+                  .repartitionByRange(of_id, of_digest).sortWithinPartitions(of_id, of_digest)
+                  .withColumn(row, F.monotonically_increasing_id()), "numbers")
+        numbered = named.join(ids, (F.col("doc_id") == F.col(of_id)) & F.col(digest).eqNullSafe(F.col(of_digest)))
+        least = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+        each = cut(numbered.withColumn(place, F.row_number().over(Window.partitionBy(row).orderBy(*least)))
+                   .where(F.col(place) == 1), "one-each")
+        found = (jaccard_components(each.select(F.col(row).alias("doc_id"), "text"), n, num, den)
+                 .where("doc_id = component_id").select(F.col("doc_id").alias(row)))
+        kept = each.join(found, row, "left_semi")
+    return kept.select(*every).unionByName(docs.where(F.col("doc_id").isNull()).select(*every))
