@@ -28,6 +28,7 @@ from starmart.llm.common import cut, unused
 
 MIN_SITES = 5      # distinct sites that make a line boilerplate
 MARGIN = 0.5       # estimates within this share of the threshold are counted
+SALTS = 32         # tasks among which the copies of one text are dealt
 SKETCH_BITS = 10   # registers of a sketch: 2^10, an error of about 3 %
 
 
@@ -57,9 +58,11 @@ def boilerplate(docs: DataFrame, site: str, min_sites: int = MIN_SITES, margin:
 
 def copied(docs: DataFrame) -> DataFrame:
     """(doc_id, copies): MD5 of the texts of each id that stand on two rows or more."""
-    texts = docs.where("text <> ''").select("doc_id", F.md5("text").alias("copy"))
-    twice = texts.groupBy("copy").agg(F.count("*").alias("n")).where("n > 1").select("copy")
-    return texts.join(twice, "copy", "left_semi").groupBy("doc_id").agg(F.collect_set("copy").alias("copies"))
+    texts = docs.where("text <> ''").select("doc_id", F.md5("text").alias("copy"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    twice = (texts.groupBy("copy").agg(F.count("*").alias("n")).where("n > 1")
+             .select("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")))
+    # a text of very many copies is met in SALTS tasks
+    return texts.join(twice, ["copy", "salt"], "left_semi").groupBy("doc_id").agg(F.collect_set("copy").alias("copies"))
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:

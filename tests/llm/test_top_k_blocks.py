@@ -24,7 +24,8 @@ def test_block_search_under_a_threshold(spread):
             rows, scores = block.search(x[own], ids[own], 10, least)
             got = dict(zip(ids[rows].tolist(), scores.tolist(), strict=True))
             assert {i: s for i, s in got.items() if s >= least} == {i: s for i, s in want if s >= least}
-    assert block.read < 900 * 24 * 15 * 4  # thresholds end some searches early
+    if spread > 32:  # else a dimension has one or two steps only
+        assert block.read < 900 * 24 * 15 * 4  # thresholds end some searches early
 
 
 def test_many_blocks_equal_brute_force(spark, monkeypatch):
