@@ -21,7 +21,7 @@ from starmart.operators.history import scd2_full_history
 from starmart.operators.scd2 import (customer_latest, dim_as_of, scd2_apply, scd2_changes,
                                      scd2_init, scd2_merge_upsert)
 from starmart.operators.skew import DEFAULT_MIN_SHARE
-from starmart.plans import marts
+from starmart.plans import increments, marts
 from starmart.plans.silver import silver_split
 from starmart.session import apply_defaults, ensure_checkpoint_dir, scratch_dir
 from starmart.sources import bronze as bronze_io
@@ -38,6 +38,12 @@ AS_OF_DATE = dt.date(1998, 12, 31)            # date of dim_customer_as_of
 DAY_RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))  # fact_by_day read range
 RAW_FILES = 6                                 # live batches of the load_audit feed
 STREAM_FILES_PER_TRIGGER = 2                  # file-stream rate limit in the tests
+INCREMENT_LOADS = 3                           # loads of the incremental queries: load times before
+INCREMENT_BEFORE = ("1998-01-01 00:00:00", "2000-07-01 00:00:00")  # these, and the rest
+STREAM_LOADS = 5                              # drops of the redelivery stream: by order year from
+STREAM_FROM_YEAR = 1995                       # this one on, up to STREAM_LAG - 1 years late by
+STREAM_LAG = 4                                # the month of the load time
+STREAM_DELAY = "400 days"                     # event times may lag the newest by so much
 # ---------------------------------------------------------------------------
 
 
@@ -334,8 +340,20 @@ def q_load_audit(b: StarBuild) -> DataFrame:
 
 
 def q_silver_stream(b: StarBuild) -> DataFrame:
-    """Streaming silver at one file a micro-batch: many batches, the same rows."""
-    return _merged_stream(b, 1)
+    """Every delivery tagged accepted, duplicate or late by state kept per event
+    id; the feed comes in STREAM_LOADS drops, each read by a restart on the
+    same checkpoint."""
+    from starmart.streaming.redelivery import start_redelivery_stream
+    src, out, ckpt = (scratch_dir(b.spark, f"redelivery_{x}") for x in ("src", "out", "ckpt"))
+    drop = F.least(F.year("event_ts") - STREAM_FROM_YEAR + (F.month("_ingested_at") - 1) % STREAM_LAG, F.lit(STREAM_LOADS - 1))
+    dealt = scratch_dir(b.spark, "redelivery_feed")
+    b.bronze.withColumn("_drop", drop).write.partitionBy("_drop").parquet(dealt)
+    feed = b.spark.read.parquet(dealt)
+    for i in range(STREAM_LOADS):
+        feed.where(F.col("_drop") == i).drop("_drop").write.mode("append").parquet(src)
+        stream = b.spark.readStream.schema(b.bronze.schema).parquet(src)
+        start_redelivery_stream(stream, out, ckpt, STREAM_DELAY, available_now=True).awaitTermination()
+    return b.spark.read.parquet(out)
 
 
 def q_silver_stream_merge(b: StarBuild) -> DataFrame:
@@ -372,6 +390,64 @@ def q_dim_customer_time_travel(b: StarBuild) -> DataFrame:
     return tables.read(b.spark, path, version=0)
 
 
+def q_fact_interval_sweep(b: StarBuild) -> DataFrame:
+    """The fact with customer versions found by a sorted sweep."""
+    from starmart.operators.facts import fact_orders_sweep
+    return fact_orders_sweep(b.silver_shared, b.dim_customer, b.dim_product, DEFAULT_MIN_SHARE)
+
+
+def _loads(b: StarBuild) -> list[DataFrame]:
+    """Bronze in INCREMENT_LOADS loads: by load time, but of every tenth order
+    all lines come with the last load (late, older events), of another tenth
+    with the second; redelivered events come with several."""
+    order = F.substring_index("event_id", "-", 1).cast("long") % 10
+    first, second = (F.col("_ingested_at") < F.lit(t).cast("timestamp") for t in INCREMENT_BEFORE)
+    load = (F.when(order == 3, INCREMENT_LOADS).when((order == 4) & second, 2).when(first, 1).when(second, 2).otherwise(INCREMENT_LOADS))
+    fed = scratch_dir(b.spark, "feed")
+    b.bronze.withColumn("_fed", load).write.partitionBy("_fed").parquet(fed)
+    feed = b.spark.read.parquet(fed)
+    return [feed.where(F.col("_fed") == i).drop("_fed") for i in range(1, INCREMENT_LOADS + 1)]
+
+
+def q_silver_bucketed(b: StarBuild) -> DataFrame:
+    """Silver in hash buckets over three loads, each rewriting the buckets it changes."""
+    path = scratch_dir(b.spark, "silver_bucketed")
+    for i, rows in enumerate(_loads(b), 1):
+        increments.merge_silver(b.spark, path, rows, i)
+    return increments.silver(b.spark, path)
+
+
+def q_customer_latest_incremental(b: StarBuild) -> DataFrame:
+    """Latest customer attributes from stored state merged over three loads."""
+    silver, state = scratch_dir(b.spark, "silver_bucketed"), scratch_dir(b.spark, "customer_state")
+    for i, rows in enumerate(_loads(b), 1):
+        merged = increments.merge_silver(b.spark, silver, rows, i)
+        increments.merge_customers(b.spark, state, merged, silver)
+    return increments.customers(b.spark, state)
+
+
+def q_sales_summary_incremental(b: StarBuild) -> DataFrame:
+    """Sales summary kept by signed deltas over three loads: silver, customer
+    state, SCD2 dimension, fact and summary each merge what the load touches."""
+    from starmart.sources import buckets
+    silver, state, fact = (scratch_dir(b.spark, x) for x in ("silver_bucketed", "customer_state", "fact_by_customer"))
+    dim = sales = None
+    for i, rows in enumerate(_loads(b), 1):
+        merged = increments.merge_silver(b.spark, silver, rows, i)
+        increments.merge_customers(b.spark, state, merged, silver)
+        latest = increments.customers(b.spark, state)
+        if dim is None:
+            after = buckets.cut(scd2_init(latest), "dim_customer")
+            changed = after.select("customer_id")
+        else:
+            changed = buckets.cut(scd2_changes(latest, dim), "dim_changes")
+            after = buckets.cut(scd2_apply(dim, changed), "dim_customer")
+        change = increments.merge_fact(b.spark, fact, merged, after, changed)
+        sales = buckets.cut(increments.merge_summary(sales, change, dim, after), "sales")
+        dim = after
+    return increments.summary(sales, dim_product(increments.silver(b.spark, silver)))
+
+
 QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "bronze_parse_json": q_bronze_parse_json,
     "bronze_batch": q_bronze_batch,
@@ -381,6 +457,10 @@ QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "fact_by_day": q_fact_by_day,
     "load_audit": q_load_audit,
     "silver_stream": q_silver_stream,
+    "silver_bucketed": q_silver_bucketed,
+    "customer_latest_incremental": q_customer_latest_incremental,
+    "sales_summary_incremental": q_sales_summary_incremental,
+    "fact_interval_sweep": q_fact_interval_sweep,
     "silver_stream_merge": q_silver_stream_merge,
     "order_events": q_order_events,
     "dedup_latest": q_dedup_latest,

@@ -280,10 +280,78 @@ SELECT customer_region, COUNT(*) AS events, {MONEY_SUM.format(c='order_total')}
        COUNT(*) FILTER (WHERE event_ts IS NULL) AS null_event_ts
 FROM ev GROUP BY customer_region"""
 SQL["silver_stream_merge"] = BASE + "SELECT * FROM silver"
-SQL["silver_stream"] = BASE + "SELECT * FROM silver"
+SQL["silver_stream"] = BASE + f""",
+feed AS (
+  SELECT *, least(year(event_ts) - 1995 + (month(_ingested_at) - 1) % 4, 4) AS load FROM ev
+),
+marks AS (
+  SELECT load, max(newest) OVER (ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - INTERVAL 400 DAY AS watermark
+  FROM (SELECT load, max(event_ts) AS newest FROM feed GROUP BY load)
+),
+told AS (
+  SELECT f.*, coalesce(f.event_ts < m.watermark, false) AS late FROM feed f JOIN marks m ON f.load = m.load
+)
+SELECT {BRONZE_COLS},
+       CASE WHEN late THEN 'late'
+            WHEN row_number() OVER (PARTITION BY event_id, late
+                   ORDER BY load, _ingested_at DESC NULLS LAST, event_ts DESC NULLS LAST, product_id DESC NULLS LAST,
+                            quantity DESC NULLS LAST, order_total DESC NULLS LAST, status DESC NULLS LAST) = 1 THEN 'accepted'
+            ELSE 'duplicate' END AS delivery
+FROM told"""
 SQL["load_audit"] = BASE + """
 SELECT CAST(split_part(event_id, '-', 1) AS BIGINT) % 6 AS version, 'WRITE' AS operation, COUNT(*) AS rows
 FROM ev GROUP BY 1 HAVING CAST(split_part(any_value(event_id), '-', 1) AS BIGINT) % 6 > 0"""
 SQL["dim_customer_time_travel"] = BASE + "SELECT * FROM dim_init"
 SQL["bronze_batch"] = _REGION_TOTALS
 SQL["bronze_stream"] = _REGION_TOTALS
+SQL["silver_bucketed"] = BASE + "SELECT * FROM silver"
+SQL["customer_latest_incremental"] = BASE + "SELECT * FROM latest"
+SQL["fact_interval_sweep"] = BASE + "SELECT * FROM fact"
+
+
+def _merged_dim(before: str, latest: str, name: str) -> str:
+    """Dimension ``name`` after the changes of ``latest`` against ``before``."""
+    return f"""
+{name}_changes AS (
+  SELECT l.* FROM {latest} l JOIN {before} d ON l.customer_id = d.customer_id AND d.is_current
+  WHERE l.customer_region <> d.customer_region OR l.customer_name <> d.customer_name
+),
+{name} AS (
+  SELECT d.customer_key, d.customer_id, d.customer_name, d.customer_region, d.start_date,
+         CASE WHEN d.is_current AND c.customer_id IS NOT NULL THEN c.effective_date ELSE d.end_date END AS end_date,
+         d.is_current AND c.customer_id IS NULL AS is_current
+  FROM {before} d LEFT JOIN {name}_changes c ON d.customer_id = c.customer_id
+  UNION ALL
+  SELECT md5(customer_id || '|' || CAST(effective_date AS VARCHAR)), customer_id, customer_name,
+         customer_region, effective_date, CAST(NULL AS DATE), true
+  FROM {name}_changes
+)"""
+
+
+_FED = """
+fed AS (
+  SELECT *, CASE WHEN CAST(split_part(event_id, '-', 1) AS BIGINT) % 10 = 3 THEN 3
+                 WHEN CAST(split_part(event_id, '-', 1) AS BIGINT) % 10 = 4 AND _ingested_at < TIMESTAMP '2000-07-01' THEN 2
+                 WHEN _ingested_at < TIMESTAMP '1998-01-01' THEN 1
+                 WHEN _ingested_at < TIMESTAMP '2000-07-01' THEN 2 ELSE 3 END AS load
+  FROM ev
+),
+fed1 AS (SELECT * FROM fed WHERE load <= 1),
+fed2 AS (SELECT * FROM fed WHERE load <= 2)"""
+
+SQL["sales_summary_incremental"] = BASE + "," + ",".join([
+    _FED, _dedup("fed1", "won1"), _silver("won1", "valid1"), _latest("valid1", "newest1"),
+    _dedup("fed2", "won2"), _silver("won2", "valid2"), _latest("valid2", "newest2"), """
+dim_of1 AS (
+  SELECT md5(customer_id) AS customer_key, customer_id, customer_name, customer_region,
+         first_seen_date AS start_date, CAST(NULL AS DATE) AS end_date, true AS is_current
+  FROM newest1
+)""", _merged_dim("dim_of1", "newest2", "dim_of2"), _merged_dim("dim_of2", "latest", "dim_of3")]) + f"""
+SELECT d.customer_region, p.product_category, {MONEY_SUM.format(c='s.order_total')} AS revenue, COUNT(*) AS order_count
+FROM silver s
+JOIN dim_of3 d ON s.customer_id = d.customer_id AND d.is_current AND CAST(s.event_ts AS DATE) >= d.start_date
+              AND (d.end_date IS NULL OR CAST(s.event_ts AS DATE) < d.end_date)
+JOIN dim_product p ON s.product_id = p.product_id
+WHERE s.status NOT IN {NOT_REVENUE}
+GROUP BY d.customer_region, p.product_category"""
