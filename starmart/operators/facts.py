@@ -11,7 +11,7 @@ from starmart.functions.exprs import date_key, event_date
 from starmart.operators.intervals import as_of
 from starmart.operators.joins import bounded_broadcast, has_at_most
 from starmart.operators.skew import hot_keys, split_hot_join
-from starmart.session import ensure_checkpoint_dir
+from starmart.sources.buckets import cut
 
 # Dimension projections up to this many rows (key + a few columns, < 100
 # bytes a row) are broadcast after a row-count check.
@@ -118,14 +118,13 @@ def fact_orders_incremental(previous_fact: DataFrame, silver: DataFrame,
     broadcast after a row-count check, so neither silver nor the previous
     fact is shuffled for a small increment."""
     changed = bounded_broadcast(changed_customers, MAX_BROADCAST_KEYS)
-    # the id set feeds a size check and two joins: cut it once (a reliable
-    # checkpoint in spark.checkpoint.dir) instead of scanning silver 3 times
-    ensure_checkpoint_dir(silver.sparkSession)
-    affected = bounded_broadcast(
+    # the id set feeds a size check and two joins: written once instead of
+    # scanning silver 3 times
+    affected = bounded_broadcast(cut(
         touched_events.select(F.col("event_id").alias("_eid"))
         .unionByName(silver.join(changed, "customer_id", "left_semi")
                      .select(F.col("event_id").alias("_eid")))
-        .distinct().checkpoint(eager=True), MAX_BROADCAST_KEYS)
+        .distinct(), "affected"), MAX_BROADCAST_KEYS)
     keep = previous_fact.join(affected, previous_fact["event_id"].eqNullSafe(affected["_eid"]),
                               "left_anti")
     redo_input = silver.join(affected, silver["event_id"].eqNullSafe(affected["_eid"]),

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import ensure_checkpoint_dir
+from starmart.sources.buckets import cut
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -39,14 +39,12 @@ def with_neighbor(df: DataFrame, key: str, order: Sequence[str], values: Sequenc
     n = _partitions(df, partitions)
     seg = "_seg"
     # The segment id comes from sampled range bounds and feeds two branches
-    # (the per-segment window and the segment-edge summary); a reliable
-    # checkpoint (in spark.checkpoint.dir) materializes it once, so both
-    # branches see the same segments whether or not Spark reuses the
-    # exchange, and a lost executor re-reads files instead of re-sampling.
-    ensure_checkpoint_dir(df.sparkSession)
-    rp = (df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-            .withColumn(seg, F.spark_partition_id())
-            .checkpoint(eager=True))
+    # (the per-segment window and the segment-edge summary); it is written
+    # once to the shared folder, so both branches see the same segments
+    # whether or not Spark reuses the exchange, and a lost executor re-reads
+    # files instead of re-sampling.
+    rp = cut(df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
+             .withColumn(seg, F.spark_partition_id()), "sequence")
     vals = F.struct(*[F.col(c) for c in values])
     w = Window.partitionBy(key, seg).orderBy(*order)
     local = F.lag(vals, 1).over(w) if direction == "prev" else F.lead(vals, 1).over(w)

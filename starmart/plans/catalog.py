@@ -23,9 +23,10 @@ from starmart.operators.scd2 import (customer_latest, dim_as_of, scd2_apply, scd
 from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import increments, marts
 from starmart.plans.silver import silver_split
-from starmart.session import apply_defaults, ensure_checkpoint_dir, scratch_dir
+from starmart.session import apply_defaults, scratch_dir
 from starmart.sources import bronze as bronze_io
 from starmart.sources import tables
+from starmart.sources.buckets import cut
 from starmart.sources.fixtures import order_events
 
 # ---------------------------------------------------------------------------
@@ -54,9 +55,9 @@ class StarBuild:
     Single-consumer frames (``bronze``, ``silver``, ``rejected``) stay one
     lazy plan.  The SCD2 / fact chain reads bronze and silver several times
     (two loads, latest attributes, product dimension, fact, hot-key
-    detection), so there they are cut from their lineage with a reliable
-    ``checkpoint()`` into the session's ``spark.checkpoint.dir``: computed
-    once, read back by every branch, and a lost executor re-reads files
+    detection), so there they are cut from their lineage: written once as
+    Parquet under the session's ``spark.checkpoint.dir``, read back by every
+    branch in the columns it needs, and a lost executor re-reads files
     instead of recomputing the join chain (``materialize=False`` keeps it
     all lazy).  The stage runner (``plans.runner``) is the production path
     and publishes every stage as a table."""
@@ -66,10 +67,7 @@ class StarBuild:
     materialize: bool = True
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        return cut(df, "star") if self.materialize else df
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -104,11 +102,11 @@ class StarBuild:
 
     @cached_property
     def latest_load1(self) -> DataFrame:
-        return customer_latest(self.silver_load1)
+        return self._cut(customer_latest(self.silver_load1))
 
     @cached_property
     def latest(self) -> DataFrame:
-        return customer_latest(self.silver_shared)
+        return self._cut(customer_latest(self.silver_shared))
 
     @cached_property
     def dim_customer_init(self) -> DataFrame:
@@ -116,7 +114,8 @@ class StarBuild:
 
     @cached_property
     def changes(self) -> DataFrame:
-        return scd2_changes(self.latest, self.dim_customer_init)
+        # counted, joined and appended by the merge: cut once
+        return self._cut(scd2_changes(self.latest, self.dim_customer_init))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -357,25 +356,15 @@ def q_silver_stream(b: StarBuild) -> DataFrame:
 
 
 def q_silver_stream_merge(b: StarBuild) -> DataFrame:
-    """Streaming silver at STREAM_FILES_PER_TRIGGER files a micro-batch."""
-    return _merged_stream(b, STREAM_FILES_PER_TRIGGER)
-
-
-def _merged_stream(b: StarBuild, files_per_trigger: int) -> DataFrame:
-    """Bronze files read as a stream (rate-limited micro-batches), each batch
-    merged into silver with the incremental dedup; the valid rows equal
-    batch silver."""
-    from starmart.plans.silver import QUALITY, VALID
+    """Bronze files read as a stream at STREAM_FILES_PER_TRIGGER a micro-batch,
+    each batch merged into bucketed silver; the valid rows equal batch silver."""
     from starmart.streaming.silver_stream import start_silver_merge_stream
     src = scratch_dir(b.spark, "bronze_src")
     b.bronze.write.parquet(src)
-    stream = (b.spark.readStream.schema(b.bronze.schema)
-              .option("maxFilesPerTrigger", files_per_trigger).parquet(src))
+    stream = b.spark.readStream.schema(b.bronze.schema).option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
     silver_path = scratch_dir(b.spark, "silver_merge")
-    q = start_silver_merge_stream(stream, silver_path, scratch_dir(b.spark, "silver_merge_ckpt"),
-                                  available_now=True)
-    q.awaitTermination()
-    return (tables.read(b.spark, silver_path).where(F.col(QUALITY) == VALID).drop(QUALITY))
+    start_silver_merge_stream(stream, silver_path, scratch_dir(b.spark, "silver_merge_ckpt"), available_now=True).awaitTermination()
+    return increments.silver(b.spark, silver_path)
 
 
 def q_dim_customer_time_travel(b: StarBuild) -> DataFrame:

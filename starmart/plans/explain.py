@@ -44,7 +44,7 @@ def main(argv: list[str]) -> int:
     from starmart.operators.history import scd2_full_history
     from starmart.plans import marts
     from starmart.plans.runner import Lake, LakeConfig
-    from starmart.plans.silver import checked, files_of, incremental_checked, only_files, unread
+    from starmart.plans.silver import checked, files_of, incremental_checked, read_files, unread
     from starmart.session import build_session, scratch_dir
     from starmart.sources import bronze as bronze_io
     from starmart.sources import tables
@@ -70,14 +70,20 @@ def main(argv: list[str]) -> int:
     fact, dc, dp = (lake.table(lake.cfg.fact_orders), lake.table(lake.cfg.dim_customer),
                     lake.table(lake.cfg.dim_product))
     parts = bronze_io.bronze_parts(spark, lake.cfg.bronze)
-    paths = unread(files_of(parts), tables.read(spark, lake.cfg.silver_inputs))
+    files = files_of(spark, [lake.cfg.bronze])
+    consumed = tables.read(spark, lake.cfg.silver_inputs)
+    # the increment of the plan: what the last build read and no earlier one had
+    earlier = tables.read(spark, lake.cfg.silver_inputs, version=tables.versions(spark, lake.cfg.silver_inputs)[-2])
+    fresh = read_files(spark, unread(files, earlier))[0]
 
     sections = [
         ("silver: dedup + quality tag (full build)",
          lambda: checked(bronze_io.union_all(spark, parts))),
         ("silver: incremental merge of files that no build has read",
          lambda: incremental_checked(tables.read(spark, lake.cfg.silver),
-                                     only_files(parts[0], paths))),
+                                     fresh)),
+        ("silver: bronze files that no build has read (a listing, no file is opened)",
+         lambda: files.join(consumed, ["root", "path"], "left_anti")),
         ("fact: dimensions proven small (broadcast)",
          lambda: fact_orders(silver, dc, dp)),
         ("marts: sales summary, dimensions proven small",

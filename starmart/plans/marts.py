@@ -90,35 +90,56 @@ def revenue_as_was(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFr
     return agg.orderBy(F.col("revenue").desc(), *GROUP)
 
 
-# Revenue per (region, category) as SQL text, all regions or the bound one.  The
-# fact is summed per (customer, product) pair before either join, so its one
-# shuffle hashes the pair and no hot customer or product meets in one task.
+# Revenue per (region, category) as SQL text, all regions or the bound one.
+# Where both dimensions are measured small they are broadcast to the fact scan.
+# Otherwise the fact is summed per (customer, product) pair before either join,
+# so its one shuffle hashes the pair and no hot customer or product meets in
+# one task.
+SMALL_STAR_REVENUE_SQL = """
+SELECT customer_region, product_category,
+       ROUND(CAST(SUM(CAST(order_total AS DECIMAL(28,8))) AS DOUBLE), 2) AS revenue, COUNT(*) AS order_count
+FROM {fact} JOIN {customers} USING (customer_key) JOIN {products} USING (product_key)
+WHERE status NOT IN ('CANCELLED', 'REFUNDED') AND (:region IS NULL OR customer_region = :region)
+GROUP BY customer_region, product_category
+ORDER BY revenue DESC, customer_region, product_category
+"""
 STAR_REVENUE_SQL = """
 WITH pair_totals AS (
   SELECT customer_key, product_key, SUM(CAST(order_total AS DECIMAL(28,8))) AS amount, COUNT(*) AS n
   FROM {fact} WHERE status NOT IN ('CANCELLED', 'REFUNDED') GROUP BY ALL
 ), current_customers AS (
   SELECT customer_key, customer_region FROM {customers}
-  WHERE is_current AND (:region IS NULL OR customer_region = :region)
+  WHERE :region IS NULL OR customer_region = :region
 ), region_totals AS (
   SELECT customer_region, product_key, SUM(amount) AS amount, SUM(n) AS n
   FROM pair_totals JOIN current_customers USING (customer_key) GROUP BY ALL
 )
 SELECT customer_region, product_category,
        ROUND(CAST(SUM(amount) AS DOUBLE), 2) AS revenue, SUM(n) AS order_count
-FROM region_totals JOIN (SELECT product_key, product_category FROM {products}) USING (product_key)
+FROM region_totals JOIN {products} USING (product_key)
 GROUP BY customer_region, product_category
 ORDER BY revenue DESC, customer_region, product_category
 """
 
 
+def _star_revenue_sql(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, region: str | None,
+                      max_broadcast_rows: int | None) -> DataFrame:
+    """The SQL text for the dimensions' measured sizes, over the given frames
+    (no temp view is made or replaced)."""
+    dc = dim_customer.where(F.col("is_current")).select("customer_key", "customer_region")
+    dp = dim_product.select("product_key", "product_category")
+    bound = MAX_BROADCAST_DIM_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    text = STAR_REVENUE_SQL
+    if bound > 0 and has_at_most(dc, bound) and has_at_most(dp, bound):
+        text, dc, dp = SMALL_STAR_REVENUE_SQL, F.broadcast(dc), F.broadcast(dp)
+    return fact.sparkSession.sql(text, args={"region": region}, fact=fact, customers=dc, products=dp)
+
+
 def sales_summary_by_region(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                            region: str) -> DataFrame:
+                            region: str, max_broadcast_rows: int | None = None) -> DataFrame:
     """Sales summary of one region; the region is a bound SQL parameter,
     never pasted into the SQL text."""
-    spark = fact.sparkSession
-    return spark.sql(STAR_REVENUE_SQL, args={"region": region},
-                     fact=fact, customers=dim_customer, products=dim_product)
+    return _star_revenue_sql(fact, dim_customer, dim_product, region, max_broadcast_rows)
 
 
 def customer_ltv(fact: DataFrame, dim_customer: DataFrame, customer_id: str) -> DataFrame:
@@ -155,10 +176,8 @@ def register_views(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFr
         dim_date.createOrReplaceTempView("dim_date")
 
 
-def revenue_top10_sql(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """The flagship as SQL over the temp views of the gold tables."""
-    spark = fact.sparkSession
-    register_views(fact, dim_customer, dim_product)
-    return (spark.sql(STAR_REVENUE_SQL, args={"region": None}, fact=spark.table("fact_orders"),
-                      customers=spark.table("dim_customer"), products=spark.table("dim_product"))
+def revenue_top10_sql(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+                      max_broadcast_rows: int | None = None) -> DataFrame:
+    """The flagship as SQL text over the gold frames."""
+    return (_star_revenue_sql(fact, dim_customer, dim_product, None, max_broadcast_rows)
             .withColumnRenamed("order_count", "orders").limit(10))

@@ -19,23 +19,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.functions.schemas import CONTRACTS, GATE_THRESHOLD, check_contract
 from starmart.operators.dims import dim_date, dim_product
 from starmart.operators.facts import changed_keys, fact_orders, fact_orders_incremental
-from starmart.operators.quality import QUARANTINE, quality_gate
+from starmart.operators.quality import PROCEED, QUARANTINE, quality_gate
 from starmart.operators.scd2 import (customer_latest, scd2_apply, scd2_changes, scd2_init,
                                      scd2_newcomers)
 from starmart.operators.skew import DEFAULT_MIN_SHARE
 from starmart.plans import marts
-from starmart.plans.silver import VALID, checked, files_of, incremental_checked, only_files, unread
+from starmart.plans.silver import VALID, checked, files_of, incremental_checked, read_files, unread
 from starmart.session import shared_root
 from starmart.sources import bronze as bronze_io
-from starmart.sources import tables
+from starmart.sources import buckets, tables
+from starmart.sources.buckets import cut
 
 # Merge an increment into silver only while it is small next to the history.
 INCREMENTAL_MAX_SHARE = 0.25
 
+LTV = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("ltv", T.DoubleType())])
+LTV_BUCKETS = 32   # folders of the published lifetime values; a look-up reads one
+
 STAGES = ("ingest", "stream", "gate", "silver", "dim_customer", "dim_product", "dim_date",
           "fact", "marts", "sales_summary", "customer_ltv", "all")
 
@@ -79,6 +84,8 @@ class LakeConfig:
     def fact_orders(self) -> str: return self._p("gold", "fact_orders")
     @property
     def sales_summary(self) -> str: return self._p("gold", "sales_summary")
+    @property
+    def customer_ltv(self) -> str: return self._p("gold", "customer_ltv")
 
 
 class Lake:
@@ -155,14 +162,22 @@ class Lake:
         rule) or, with ``increment_only``, over the files that no silver build
         has read – exactly those the next incremental build reads."""
         def run():
-            parts = bronze_io.bronze_parts(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
-            paths = unread(files_of(parts), self._consumed()) if increment_only else None
-            scope = bronze_io.union_all(self.spark, [only_files(p, paths) for p in parts])
+            consumed = self._consumed() if increment_only else None
+            if consumed is None:
+                return quality_gate(self.bronze(), (threshold,)).first().asDict()
+            files = unread(files_of(self.spark, self._roots()), consumed)
+            if not files:  # nothing arrived since the last build: nothing to hold back
+                return {"threshold": threshold, "total": 0, "nulls": 0, "bad_totals": 0, "null_rate": 0.0, "decision": PROCEED}
+            scope = bronze_io.union_all(self.spark, read_files(self.spark, files))
             return quality_gate(scope, (threshold,)).first().asDict()
         return self._timed("gate", run)
 
+    def _roots(self) -> list[str]:
+        """The bronze folders that are there."""
+        return [p for p in (self.cfg.bronze, self.cfg.bronze_stream) if tables.path_exists(self.spark, p)]
+
     def _consumed(self) -> DataFrame | None:
-        """Paths of the bronze files that the last silver build had read."""
+        """(root, path) of the bronze files that the last silver build had read."""
         return (tables.read(self.spark, self.cfg.silver_inputs)
                 if tables.exists(self.spark, self.cfg.silver_inputs) else None)
 
@@ -178,26 +193,24 @@ class Lake:
         table's (from its audit record); below ``INCREMENTAL_MAX_SHARE`` the
         increment is merged, otherwise silver is rebuilt."""
         def run():
-            parts = bronze_io.bronze_parts(self.spark, self.cfg.bronze, self.cfg.bronze_stream)
-            files = files_of(parts)
             last = (tables.load_audit(self.spark, self.cfg.silver, 1).collect()
                     if tables.exists(self.spark, self.cfg.silver) else [])
             # listed before the build: a file committed later stays unread
-            listed = [r["path"] for r in files.collect()] if files is not None else []
-            paths = unread(files, self._consumed()) if last and incremental is not False else None
-            fresh = bronze_io.union_all(self.spark, [only_files(p, paths) for p in parts])
-            merge = paths is not None and (
+            files = cut(files_of(self.spark, self._roots()), "silver-files")
+            consumed = self._consumed() if last and incremental is not False else None
+            fresh = (bronze_io.union_all(self.spark, read_files(self.spark, unread(files, consumed)))
+                     if consumed is not None else None)
+            merge = fresh is not None and (
                 incremental is True or fresh.count() < INCREMENTAL_MAX_SHARE * (last[0]["rows"] or 0))
             if merge:
                 prev = tables.read(self.spark, self.cfg.silver)
                 out, op = incremental_checked(prev, fresh), "MERGE"
             else:
-                out, op = checked(bronze_io.union_all(self.spark, parts)), "WRITE"
+                out, op = checked(self.bronze()), "WRITE"
             rec = tables.publish(out, self.cfg.silver, op, partition_by=["quality"])
             # after silver: a crash between the two only reads files again,
             # which changes no winner
-            read = self.spark.createDataFrame([(x,) for x in listed], "path string")
-            tables.publish(read, self.cfg.silver_inputs, "WRITE", sources={"silver": rec["version"]})
+            tables.publish(files, self.cfg.silver_inputs, "WRITE", sources={"silver": rec["version"]})
             if merge:
                 # the ids this merge re-evaluated, for the incremental fact
                 tables.publish(fresh.select("event_id").distinct(), self.cfg.silver_touched,
@@ -314,6 +327,7 @@ class Lake:
         rec = self._timed("marts", lambda: tables.publish(
             marts.sales_summary(fact, dc, dp), self.cfg.sales_summary, "WRITE",
             partition_by=["customer_region"]))
+        self._timed("customer_ltv", lambda: self._publish_ltv(fact, dc))
         return rec, marts.revenue_top10_sql(fact, dc, dp)
 
     def sales_summary(self, region: str | None = None) -> DataFrame:
@@ -324,8 +338,19 @@ class Lake:
         return df.orderBy(F.col("revenue").desc(), "customer_region", "product_category")
 
     def customer_ltv(self, customer_id: str) -> DataFrame:
-        """Lifetime value of one customer over published gold."""
-        return marts.customer_ltv(self.table(self.cfg.fact_orders), self.table(self.cfg.dim_customer), customer_id)
+        """Lifetime value of one customer (0 when unknown) from the published
+        values: one bucket is read."""
+        spark = self.spark
+        one = spark.createDataFrame([(customer_id,)], "customer_id string")
+        bucket = one.select(buckets.bucket_of(["customer_id"], LTV_BUCKETS)).first()[0]
+        found = buckets.read(spark, tables.version_path(self.cfg.customer_ltv, tables.versions(spark, self.cfg.customer_ltv)[-1]), LTV, [bucket])
+        found = found.where(F.col("customer_id") == customer_id)
+        return one.join(found.select("customer_id", "ltv"), "customer_id", "left").select("customer_id", F.coalesce("ltv", F.lit(0.0)).alias("ltv"))
+
+    def _publish_ltv(self, fact: DataFrame, dim_customer: DataFrame) -> dict:
+        """Lifetime value of every customer, in buckets of the customer id."""
+        ltv = marts.customer_ltv_all(fact, dim_customer).withColumn(buckets.BUCKET, buckets.bucket_of(["customer_id"], LTV_BUCKETS))
+        return tables.publish(ltv.repartition(buckets.BUCKET), self.cfg.customer_ltv, "WRITE", partition_by=[buckets.BUCKET])
 
     def register_views(self) -> None:
         """Temp views ``fact_orders``, ``dim_customer``, ``dim_product``,
@@ -354,7 +379,7 @@ class Lake:
                "fact": self.build_fact, "marts": self.marts, "all": self.run_all,
                "sales_summary": self.sales_summary, "customer_ltv": self.customer_ltv}
         if stage not in fns:
-            raise ValueError(f"Unknown stage: {stage}")
+            raise ValueError(f"no stage named {stage!r}; there are {', '.join(sorted(fns))}")
         return fns[stage](**kw)
 
 

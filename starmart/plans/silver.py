@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.dedup import SILVER_ORDER, dedup_latest
 from starmart.operators.joins import bounded_broadcast
 from starmart.operators.quality import reject_reason, split_valid
+from starmart.sources.bronze import BRONZE_READ_SCHEMA
 
 VALID = "valid"
 QUALITY = "quality"
-FILE = "_metadata.file_path"
 # Ids touched by one increment (~20 bytes each) broadcast after a row-count
 # check; beyond this the semi / anti joins shuffle.
 MAX_BROADCAST_KEYS = 5_000_000
@@ -39,25 +39,26 @@ def checked(bronze: DataFrame) -> DataFrame:
             .withColumn(QUALITY, F.coalesce(reject_reason(), F.lit(VALID))))
 
 
-def files_of(parts: list[DataFrame]) -> DataFrame | None:
-    """Paths of the committed files behind file-based relations (column
-    ``path``), from file metadata and row counts only."""
-    found = [p.select(F.col(FILE).alias("path")).distinct() for p in parts]
-    return reduce(DataFrame.unionByName, found) if found else None
+def files_of(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """(root, path) of the committed files under bronze folders: a listing, no
+    file is opened."""
+    listed = [spark.read.format("binaryFile").load(r).select(F.lit(r).alias("root"), "path") for r in roots]
+    return reduce(DataFrame.unionByName, listed) if listed else spark.createDataFrame([], "root string, path string")
 
 
-def unread(files: DataFrame | None, consumed: DataFrame | None) -> list[str] | None:
-    """Paths not among ``consumed``; None means all.  No clock decides: a file
-    that becomes visible late, whatever its times, is still unread.  The list
-    is file metadata, as the listing of the table itself."""
-    if consumed is None or files is None:
-        return None
-    return [r["path"] for r in files.join(consumed, "path", "left_anti").collect()]
+def unread(files: DataFrame, consumed: DataFrame) -> dict[str, list[str]]:
+    """Paths not among ``consumed``, by root.  No clock decides: a file that
+    becomes visible late, whatever its times, is still unread.  What comes to
+    the driver is the increment's file list, which it needs to read them."""
+    out: dict[str, list[str]] = {}
+    for root, path in files.join(consumed, ["root", "path"], "left_anti").collect():
+        out.setdefault(root, []).append(path)
+    return out
 
 
-def only_files(part: DataFrame, paths: list[str] | None) -> DataFrame:
-    """Rows of the given files; the others are pruned at listing."""
-    return part if paths is None else part.where(F.col(FILE).isin(paths))
+def read_files(spark: SparkSession, files: dict[str, list[str]]) -> list[DataFrame]:
+    """Bronze rows of the given files; no other file is opened."""
+    return [spark.read.schema(BRONZE_READ_SCHEMA).option("basePath", root).parquet(*paths) for root, paths in files.items()]
 
 
 def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:

@@ -5,28 +5,22 @@ comes or however the stream is cut into batches."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from starmart.plans.increments import BUCKETS, merge_silver
 
-def start_silver_merge_stream(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
-                              available_now: bool = False,
-                              trigger_interval: str = "5 seconds"):
-    """Streaming silver with the batch semantics (newest version wins).
 
-    Every micro-batch is merged into the checked silver table with
-    ``incremental_checked`` – only the events it touches are re-evaluated
-    against the previous winners – and published as the table's next
-    snapshot.  ``foreachBatch`` may replay the last batch after a failure;
-    merging the same rows again changes no winner, so the table ends up as
-    if each batch were applied exactly once."""
-    from starmart.plans.silver import QUALITY, checked, incremental_checked
-    from starmart.sources import tables
+def start_silver_merge_stream(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
+                              available_now: bool = False, trigger_interval: str = "5 seconds",
+                              buckets: int = BUCKETS) -> StreamingQuery:
+    """Merge every micro-batch into the bucketed silver at ``silver_path``:
+    buckets in which no row of the batch wins are left as they are.
 
+    The rows carry the batch that brought them.  ``foreachBatch`` replays a
+    batch whose write was done but not yet recorded in the checkpoint; its
+    rows are there then, none of them wins again, and nothing is written."""
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if tables.exists(spark, silver_path):
-            out = incremental_checked(tables.read(spark, silver_path), batch)
-        else:
-            out = checked(batch)
-        tables.publish(out, silver_path, f"STREAMING MERGE {batch_id}", partition_by=[QUALITY])
+        merge_silver(batch.sparkSession, silver_path, batch, batch_id, buckets)
 
     w = bronze_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)

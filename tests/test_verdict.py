@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,12 +76,18 @@ def test_sql_marts_shuffle_the_fact_by_pairs_only(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for df in (marts.revenue_top10_sql(fact, dc, dp), marts.sales_summary_by_region(fact, dc, dp, "East")):
+        for df in (marts.revenue_top10_sql(fact, dc, dp, 0), marts.sales_summary_by_region(fact, dc, dp, "East", 0)):
             assert [tuple(r) for r in df.collect()] == [("East", "Toys", 1.5, 1)]
             plan = df._jdf.queryExecution().sparkPlan().toString()
             assert plan.count("HashAggregate") == 6
             plan = df._jdf.queryExecution().optimizedPlan().toString()
             assert plan.index("Join Inner") < plan.rindex("Aggregate [customer_key")  # sums stand below the joins
+        views = spark.catalog.listTables()
+        for df in (marts.revenue_top10_sql(fact, dc, dp), marts.sales_summary_by_region(fact, dc, dp, "East")):
+            assert [tuple(r) for r in df.collect()] == [("East", "Toys", 1.5, 1)]
+            plan = df._jdf.queryExecution().sparkPlan().toString()  # measured small: one aggregate over a scan
+            assert plan.count("BroadcastHashJoin") == 2 and plan.count("HashAggregate") == 2 and "SortMergeJoin" not in plan
+        assert spark.catalog.listTables() == views
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -96,3 +103,48 @@ def test_serving_reads_published_gold_and_an_empty_change_set_publishes_nothing(
     lake.append_bronze(bronze_rows({"event_id": "again"}))
     assert lake.run_all(incremental=True).first().orders == 6
     assert tables.versions(spark, lake.cfg.dim_customer) == [0]
+
+
+def test_a_build_lists_files_without_opening_them_and_reads_only_new_ones(spark, bronze_rows):
+    from starmart.plans.silver import files_of, read_files, unread
+    from starmart.sources import tables
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake files")))
+    for region in ("MIDDLE EAST", "a=b/c[1]"):
+        lake.append_bronze(bronze_rows({"event_id": region, "customer_region": region}))
+    lake.build_silver()
+    files = files_of(spark, [lake.cfg.bronze])
+    assert "FileScan binaryFile" in files._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in spark._jvm.PythonSQLUtils.explainString(files._jdf.queryExecution(), "formatted")
+    assert unread(files, tables.read(spark, lake.cfg.silver_inputs)) == {}
+    every = unread(files, files.limit(0))
+    assert sorted(r.customer_region for r in read_files(spark, every)[0].collect()) == ["MIDDLE EAST", "a=b/c[1]"]
+
+
+def test_an_empty_increment_proceeds(spark, bronze_rows):
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake_empty")))
+    assert lake.gate(increment_only=True)["decision"] == "quarantine"  # no bronze at all
+    lake.append_bronze(bronze_rows({}))
+    assert lake.run_all(gate_increment_only=True) is not None
+    again = lake.gate(increment_only=True)
+    assert (again["decision"], again["total"], again["null_rate"]) == ("proceed", 0, 0.0)
+    assert lake.run_all(gate_increment_only=True).count() == 1
+
+
+def test_lifetime_values_are_published_by_bucket(spark, bronze_rows):
+    from starmart.sources import tables
+    lake = Lake(spark, LakeConfig(scratch_dir(spark, "lake_ltv")))
+    lake.append_bronze(bronze_rows(*({"event_id": f"e{i}", "customer_id": f"C{i % 9}", "order_total": 1.5} for i in range(90))))
+    lake.run_all()
+    assert [lake.customer_ltv(c).collect() for c in ("C3", "nobody")] == [[("C3", 15.0)], [("nobody", 0.0)]]
+    plan = lake.customer_ltv("C3")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*_bucket", plan) and "fact_orders" not in plan
+    assert sum(1 for _ in tables.read(spark, lake.cfg.customer_ltv).select("customer_id").collect()) == 9
+
+
+def test_broadcasts_are_measured_in_bytes(spark):
+    from starmart.operators.joins import has_at_most, measured
+    df = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "s string, n int")
+    rows, size = measured(df)
+    assert rows == 2 and 1000 < size < 1200
+    assert has_at_most(df, 2) and not has_at_most(df, 1) and not has_at_most(df, 2, 1000)
+    assert measured(df.limit(0)) == (0, 0)
