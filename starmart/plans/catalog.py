@@ -39,6 +39,7 @@ AS_OF_DATE = dt.date(1998, 12, 31)            # date of dim_customer_as_of
 DAY_RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))  # fact_by_day read range
 RAW_FILES = 6                                 # live batches of the load_audit feed
 STREAM_FILES_PER_TRIGGER = 2                  # file-stream rate limit in the tests
+CUT_OFF_EVERY, WRONG_TYPE_EVERY, NO_JSON_EVERY = 97, 83, 89  # orders whose lines bronze_corrupt damages
 INCREMENT_LOADS = 3                           # loads of the incremental queries: load times before
 INCREMENT_BEFORE = ("1998-01-01 00:00:00", "2000-07-01 00:00:00")  # these, and the rest
 STREAM_LOADS = 5                              # drops of the redelivery stream: by order year from
@@ -437,6 +438,33 @@ def q_sales_summary_incremental(b: StarBuild) -> DataFrame:
     return increments.summary(sales, dim_product(increments.silver(b.spark, silver)))
 
 
+def q_bronze_corrupt(b: StarBuild) -> DataFrame:
+    """Malformed lines of a drop with their text, folder and reason.  Of the
+    feed's lines some are cut off, some hold a field of the wrong type, some
+    are no JSON; the others go to bronze."""
+    order = F.substring_index("event_id", "-", 1).cast("long")
+    line = (F.when(order % CUT_OFF_EVERY == 0, F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","order_id":"O')))
+            .when(order % WRONG_TYPE_EVERY == 0, F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","quantity":"many"}')))
+            .when(order % NO_JSON_EVERY == 0, F.concat(F.lit("event "), "event_id"))
+            .otherwise(bronze_io.event_json(b.bronze)))
+    raw, bronze_path, corrupt_path = (scratch_dir(b.spark, x) for x in ("raw_lines", "bronze_good", "bronze_corrupt"))
+    b.bronze.select(line.alias("value"), (order % RAW_FILES).alias("folder")).write.partitionBy("folder").text(raw)
+    bronze_io.ingest_batch(b.spark, raw, bronze_path, corrupt_path)
+    folder = F.regexp_extract("file", "folder=([0-9]+)", 1).cast("int").alias("folder")
+    return b.spark.read.parquet(corrupt_path).select("raw", folder, "reason")
+
+
+def q_revenue_by_region_bucketed(b: StarBuild) -> DataFrame:
+    """Revenue per region over declared, bucketed and sorted gold tables."""
+    from starmart.functions.schemas import DIM_CUSTOMER_SCHEMA, FACT_ORDERS_SCHEMA
+    from starmart.sources import catalog_tables as gold
+    names = []
+    for name, schema, df in (("fact_orders", FACT_ORDERS_SCHEMA, b.fact), ("dim_customer", DIM_CUSTOMER_SCHEMA, b.dim_customer)):
+        names.append(gold.create(b.spark, name, schema, scratch_dir(b.spark, f"gold_{name}"), "customer_key"))
+        gold.load(df, names[-1], "customer_key")
+    return gold.revenue_by_region(b.spark, *names)
+
+
 QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "bronze_parse_json": q_bronze_parse_json,
     "bronze_batch": q_bronze_batch,
@@ -447,6 +475,8 @@ QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "load_audit": q_load_audit,
     "silver_stream": q_silver_stream,
     "silver_bucketed": q_silver_bucketed,
+    "bronze_corrupt": q_bronze_corrupt,
+    "revenue_by_region_bucketed": q_revenue_by_region_bucketed,
     "customer_latest_incremental": q_customer_latest_incremental,
     "sales_summary_incremental": q_sales_summary_incremental,
     "fact_interval_sweep": q_fact_interval_sweep,

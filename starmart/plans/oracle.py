@@ -355,3 +355,18 @@ JOIN dim_of3 d ON s.customer_id = d.customer_id AND d.is_current AND CAST(s.even
 JOIN dim_product p ON s.product_id = p.product_id
 WHERE s.status NOT IN {NOT_REVENUE}
 GROUP BY d.customer_region, p.product_category"""
+
+SQL["bronze_corrupt"] = BASE + """,
+numbered AS (SELECT event_id, CAST(split_part(event_id, '-', 1) AS BIGINT) AS n FROM ev)
+SELECT CASE WHEN n % 97 = 0 THEN '{"event_id":"' || event_id || '","order_id":"O'
+            WHEN n % 83 = 0 THEN '{"event_id":"' || event_id || '","quantity":"many"}'
+            ELSE 'event ' || event_id END AS raw,
+       CAST(n % 6 AS INTEGER) AS folder,
+       CASE WHEN n % 97 <> 0 AND n % 83 = 0 THEN 'bad_field' ELSE 'not_json' END AS reason
+FROM numbered WHERE n % 97 = 0 OR n % 83 = 0 OR n % 89 = 0"""
+SQL["revenue_by_region_bucketed"] = BASE + f"""
+SELECT d.customer_region, {MONEY_SUM.format(c='f.order_total')} AS revenue, COUNT(*) AS order_count,
+       COUNT(DISTINCT f.customer_key) AS customers
+FROM fact f JOIN dim d ON f.customer_key = d.customer_key AND d.is_current
+WHERE f.status NOT IN {NOT_REVENUE}
+GROUP BY d.customer_region"""

@@ -44,17 +44,15 @@ def read_bronze(spark: SparkSession, batch_path: str, stream_path: str | None =
     return union_all(spark, bronze_parts(spark, batch_path, stream_path))
 
 
-def typed_events(df: DataFrame, with_source_file: bool = False) -> DataFrame:
+def typed_events(df: DataFrame, with_source_file: bool = False, file_column: str = "_metadata.file_path") -> DataFrame:
     """Raw event columns -> bronze columns: ``event_ts`` parsed (a zone
     offset is applied, giving UTC under the pinned session zone; a bad value
     becomes NULL, never an error), ``_ingested_at`` = load time and, for file
-    sources, ``_source_file``."""
-    cols = [F.col(c) for c in EVENT_COLUMNS if c != "event_ts"]
-    out = df.select(*cols, F.try_to_timestamp("event_ts").cast("timestamp_ntz").alias("event_ts"))
-    out = out.select(*EVENT_COLUMNS).withColumn("_ingested_at", F.current_timestamp())
-    if with_source_file:
-        out = out.withColumn("_source_file", F.col("_metadata.file_path"))
-    return out
+    sources, ``_source_file`` (``file_column`` of ``df``)."""
+    ts = F.try_to_timestamp("event_ts").cast("timestamp_ntz").alias("event_ts")
+    cols = [ts if c == "event_ts" else F.col(c) for c in EVENT_COLUMNS]
+    file = [F.col(file_column).alias("_source_file")] if with_source_file else []
+    return df.select(*cols, F.current_timestamp().alias("_ingested_at"), *file)
 
 
 def event_json(df: DataFrame) -> Column:
@@ -84,11 +82,46 @@ def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).json(path)
 
 
-def ingest_batch(spark: SparkSession, raw_dir: str, bronze_path: str) -> dict:
+NOT_JSON, BAD_FIELD = "not_json", "bad_field"
+_CORRUPT = "_corrupt_record"
+
+
+def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, corrupt) of raw text lines (``value``, ``file``), blank lines left
+    out.  Good lines parse whole under the event schema and come as raw event
+    columns with ``file``; corrupt ones keep their text, file and reason:
+    ``not_json`` (no JSON object) or ``bad_field`` (a field of the wrong type).
+    Every other line is in exactly one of the two."""
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = lines.where(F.trim("value") != "").select("value", "file", parsed.alias("e"))
+    whole = F.col("e").isNotNull() & F.col(f"e.{_CORRUPT}").isNull()
+    is_object = F.col("value").rlike(r"^\s*\{") & F.get_json_object("value", "$").isNotNull()
+    good = rows.where(whole).select(*[F.col(f"e.{c}").alias(c) for c in EVENT_COLUMNS], "file")
+    corrupt = rows.where(~whole).select(F.col("value").alias("raw"), "file",
+                                        F.when(is_object, BAD_FIELD).otherwise(NOT_JSON).alias("reason"))
+    return good, corrupt
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw lines of the files under ``path`` with the file each comes from."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def ingest_batch(spark: SparkSession, raw_dir: str, bronze_path: str, corrupt_path: str | None = None) -> dict:
     """Append every file currently in ``raw_dir`` to bronze in one job.
-    Re-running appends again (bronze is not idempotent; silver is)."""
-    df = typed_events(read_ndjson(spark, raw_dir), with_source_file=True)
-    return tables.append(df, bronze_path, partition_by=[BRONZE_PARTITION], operation="WRITE")
+    Re-running appends again (bronze is not idempotent; silver is).
+
+    A malformed line comes into bronze as a row of NULLs, or, with
+    ``corrupt_path``, is appended there with its text, file and reason and
+    kept out of bronze."""
+    if corrupt_path is None:
+        df = typed_events(read_ndjson(spark, raw_dir), with_source_file=True)
+        return tables.append(df, bronze_path, partition_by=[BRONZE_PARTITION], operation="WRITE")
+    good, corrupt = split_lines(read_lines(spark, raw_dir))
+    kept = tables.append(corrupt.withColumn("_ingested_at", F.current_timestamp()), corrupt_path, operation="WRITE")
+    typed = typed_events(good, with_source_file=True, file_column="file")
+    return tables.append(typed, bronze_path, partition_by=[BRONZE_PARTITION], operation="WRITE") | {"corrupt": kept["rows"]}
 
 
 def kafka_records(events: DataFrame, topic: str = ORDERS_TOPIC) -> DataFrame:
