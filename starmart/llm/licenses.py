@@ -10,15 +10,19 @@ such that such a window is missed with a chance of at most MISS.  Retrieved
 templates are verified by exact containment of their distinct five-word
 shingles in the window (one shingle of all words for shorter templates).  Per
 document and template the windows that match are one match each, overlapping
-ones merged.
+ones merged.  A template whose name ends in a version also needs the version's
+numbers inside the match: most versions of a notice differ in them alone.  Of
+overlapping matches of several templates the one of most shingles stays, then
+that of highest containment, then that of the least name.
 
 A band can only agree where the window holds the shingle that is a template's
 minimum there, so texts without any such shingle are passed over before
 windows are made; this loses nothing.
 
 Words are lower-cased runs of letters, digits and underscores.  Null, empty
-and unmatched texts give no rows.  Repeated rows each give their matches.
-Whole texts are scanned, whatever their length.
+and unmatched texts, and empty tables, give no rows.  Repeated rows each give
+their matches; a null doc_id stays null.  Whole texts are scanned, whatever
+their length; columns but doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.license_texts import TEMPLATES
+
 N = 5                # words of a shingle
 CONTAINMENT = 0.8
 MISS = 1e-4          # chance that a window that holds a template retrieves nothing
@@ -38,21 +44,7 @@ _WORD = re.compile(r"\w+").findall
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 _known: dict[str, int] = {}
 
-# Licence notices as their authors publish them.
-TEMPLATES = {
-    "apache-2.0-line": "Licensed under the Apache License, Version 2.0",
-    "mit-line": "Released under the MIT License",
-    "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3",
-    "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0",
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-           "conditions are met",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "gpl-later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
-                 "Free Software Foundation",
-    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
-}
+_VERSION = re.compile(r"-(\d+)\.(\d+)$")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -82,6 +74,12 @@ def shingles(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _numbers(name: str, words: list[str]) -> set[str]:
+    """The words of a template that state the version its name ends in."""
+    version = _VERSION.search(name)
+    return {w for w in words for v in (version.groups() if version else ()) if w in (v, f"v{v}")}
+
+
 class Scanner:
     """Template groups with their bands."""
 
@@ -96,6 +94,7 @@ class Scanner:
             else:
                 groups.append([(size, name, words, n)])
         self.groups = []
+        self.numbers = {name: _numbers(name, words) for _, name, words in sized}
         for group in groups:
             n, longest = group[0][3], group[-1][0]
             stride = max(1, longest // 4)
@@ -111,6 +110,8 @@ class Scanner:
             seeds = _mix(np.arange(1, bands + 1, dtype=np.uint64) * _M[0])
             least = [np.array([s[np.argmin(_mix(s ^ z))] for z in seeds]) for _, s, _ in sets]
             self.groups.append((n, stride, window, seeds, sets, least, np.unique(np.concatenate(least))))
+        # any group's minima, by shingle length: most texts hold none
+        self.any_least = {n: np.unique(np.concatenate([g[6] for g in self.groups if g[0] == n])) for n in {g[0] for g in self.groups}}
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(template, containment, first word, last word) of each match."""
@@ -118,11 +119,14 @@ class Scanner:
         if not words:
             return []
         h, found, made = _hashes(words), [], {}
+        for n, any_least in self.any_least.items():
+            grams = shingles(h, n)
+            made[n] = grams, np.flatnonzero(np.isin(grams, any_least))
         for n, stride, window, seeds, sets, least, any_least in self.groups:
-            grams = made[n] if n in made else made.setdefault(n, shingles(h, n))
-            if not len(grams):
+            grams, some = made[n]
+            if not len(some):
                 continue
-            hits = np.flatnonzero(np.isin(grams, any_least))
+            hits = some[np.isin(grams[some], any_least)]
             if not len(hits):
                 continue
             width = window - n + 1
@@ -139,16 +143,22 @@ class Scanner:
                         inside = np.flatnonzero(np.isin(part, s))
                         common = len(np.unique(part[inside]))
                         if common >= need:
-                            matches.setdefault(name, []).append((common / len(s), a + int(inside[0]), a + int(inside[-1]) + n - 1))
+                            first, last = a + int(inside[0]), a + int(inside[-1]) + n - 1
+                            if self.numbers[name] <= set(words[first:last + 1]):
+                                matches.setdefault(name, []).append((common, len(s), first, last))
             for name, spans in matches.items():
                 merged: list[list] = []
-                for share, first, last in sorted(spans, key=lambda x: (x[1], x[2])):
-                    if merged and first <= merged[-1][2]:
-                        merged[-1] = [max(merged[-1][0], share), merged[-1][1], max(merged[-1][2], last)]
+                for common, size, first, last in sorted(spans, key=lambda x: x[2:]):
+                    if merged and first <= merged[-1][3]:
+                        merged[-1] = [max(merged[-1][0], common), size, merged[-1][2], max(merged[-1][3], last)]
                     else:
-                        merged.append([share, first, last])
+                        merged.append([common, size, first, last])
                 found += [(name, *m) for m in merged]
-        return sorted(found, key=lambda x: (x[2], x[0]))
+        best: list[tuple] = []
+        for name, common, size, first, last in sorted(found, key=lambda x: (-x[1], -x[1] / x[2], x[0])):
+            if all(last < f or first > e for *_, f, e in best):
+                best.append((name, common / size, first, last))
+        return sorted(best, key=lambda x: (x[2], x[0]))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:

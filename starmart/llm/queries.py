@@ -44,7 +44,7 @@ def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"), lambda c: fold(c, 3) != 1)
     out = quality.score(docs, model)
-    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+    return out.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -64,7 +64,7 @@ def op9_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), lambda c: fold(c, 4) != 2)
     out = toxicity.score(docs, model)
-    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+    return out.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
