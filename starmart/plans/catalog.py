@@ -40,6 +40,7 @@ DAY_RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))  # fact_by_day read rang
 RAW_FILES = 6                                 # live batches of the load_audit feed
 STREAM_FILES_PER_TRIGGER = 2                  # file-stream rate limit in the tests
 CUT_OFF_EVERY, WRONG_TYPE_EVERY, NO_JSON_EVERY = 97, 83, 89  # orders whose lines bronze_corrupt damages
+WEEKS_OF_YEAR = 1998                          # year of revenue_by_week
 INCREMENT_LOADS = 3                           # loads of the incremental queries: load times before
 INCREMENT_BEFORE = ("1998-01-01 00:00:00", "2000-07-01 00:00:00")  # these, and the rest
 STREAM_LOADS = 5                              # drops of the redelivery stream: by order year from
@@ -465,6 +466,16 @@ def q_revenue_by_region_bucketed(b: StarBuild) -> DataFrame:
     return gold.revenue_by_region(b.spark, *names)
 
 
+def q_revenue_by_week(b: StarBuild) -> DataFrame:
+    """Fact published by status and day, read through the published calendar."""
+    path, days = scratch_dir(b.spark, "fact_by_status_day"), scratch_dir(b.spark, "dim_date")
+    n = int(b.spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = b.fact.withColumn("event_day", event_date()).repartitionByRange(n, "status", "event_day", "event_id")
+    tables.publish(laid, path, "WRITE", partition_by=["status", "event_day"])
+    tables.publish(dim_date(b.silver_shared), days, "WRITE", partition_by=["year"])
+    return marts.revenue_by_week(tables.read(b.spark, path), tables.read(b.spark, days), WEEKS_OF_YEAR)
+
+
 QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "bronze_parse_json": q_bronze_parse_json,
     "bronze_batch": q_bronze_batch,
@@ -476,6 +487,7 @@ QUERIES: dict[str, Callable[[StarBuild], DataFrame]] = {
     "silver_stream": q_silver_stream,
     "silver_bucketed": q_silver_bucketed,
     "bronze_corrupt": q_bronze_corrupt,
+    "revenue_by_week": q_revenue_by_week,
     "revenue_by_region_bucketed": q_revenue_by_region_bucketed,
     "customer_latest_incremental": q_customer_latest_incremental,
     "sales_summary_incremental": q_sales_summary_incremental,

@@ -13,6 +13,7 @@ MAX_VERSIONS_PER_CUSTOMER = 100_000
 # Dimension projections (key + one attribute, ~60 bytes a row) up to this many
 # rows are broadcast to the fact scan; larger ones take the shuffle plan.
 MAX_BROADCAST_DIM_ROWS = 1_000_000
+MAX_DAYS = 100_000   # days of a calendar that is broadcast: 270 years
 
 GROUP = ("customer_region", "product_category")
 
@@ -142,6 +143,19 @@ def sales_summary_by_region(fact: DataFrame, dim_customer: DataFrame, dim_produc
     return _star_revenue_sql(fact, dim_customer, dim_product, region, max_broadcast_rows)
 
 
+def revenue_by_week(fact_by_day: DataFrame, dim_date: DataFrame, year: int) -> DataFrame:
+    """Revenue, orders and weekend orders per calendar week of one year, from a
+    fact partitioned by status and ``event_day``.  The calendar is joined by
+    day and filtered by its own attribute: which days those are is found at run
+    time (dynamic partition pruning), and only their folders are read."""
+    # no projection of its own: the pruning filter reuses the join's broadcast only while both have the same plan
+    days = bounded_broadcast(dim_date.where(F.col("year") == year), MAX_DAYS)
+    sold = fact_by_day.where(is_revenue("status")).select("event_day", "order_total")
+    return (sold.join(days, F.col("event_day") == F.col("full_date")).groupBy("year", "week_of_year")
+            .agg(F.round(F.sum(F.col("order_total").cast(MONEY)).cast("double"), 2).alias("revenue"), F.count("*").alias("order_count"),
+                 F.count_if("is_weekend").alias("weekend_orders")))
+
+
 def customer_ltv(fact: DataFrame, dim_customer: DataFrame, customer_id: str) -> DataFrame:
     """Lifetime value of one customer over all its versions; 0 when unknown.
     The id filter reaches the dimension scan; the customer's few versions are

@@ -370,3 +370,9 @@ SELECT d.customer_region, {MONEY_SUM.format(c='f.order_total')} AS revenue, COUN
 FROM fact f JOIN dim d ON f.customer_key = d.customer_key AND d.is_current
 WHERE f.status NOT IN {NOT_REVENUE}
 GROUP BY d.customer_region"""
+SQL["revenue_by_week"] = BASE + f"""
+SELECT CAST(year(event_ts) AS INTEGER) AS year, CAST(weekofyear(event_ts) AS INTEGER) AS week_of_year,
+       {MONEY_SUM.format(c='order_total')} AS revenue, COUNT(*) AS order_count,
+       COUNT(*) FILTER (dayofweek(event_ts) IN (0, 6)) AS weekend_orders
+FROM fact WHERE status NOT IN {NOT_REVENUE} AND year(event_ts) = 1998
+GROUP BY 1, 2"""

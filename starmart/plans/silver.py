@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators import bloom
 from starmart.operators.dedup import SILVER_ORDER, dedup_latest
-from starmart.operators.joins import bounded_broadcast
+from starmart.operators.joins import MAX_BROADCAST_BYTES, measured
 from starmart.operators.quality import reject_reason, split_valid
 from starmart.sources.bronze import BRONZE_READ_SCHEMA
 
@@ -61,7 +62,7 @@ def read_files(spark: SparkSession, files: dict[str, list[str]]) -> list[DataFra
     return [spark.read.schema(BRONZE_READ_SCHEMA).option("basePath", root).parquet(*paths) for root, paths in files.items()]
 
 
-def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:
+def incremental_checked(previous: DataFrame, new_rows: DataFrame, max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Exact incremental form of ``checked(all bronze)``.
 
     ``previous`` holds, per event, the newest version among all earlier
@@ -72,12 +73,22 @@ def incremental_checked(previous: DataFrame, new_rows: DataFrame) -> DataFrame:
     change a winner (the build is idempotent).
 
     The touched id set is the small side of two joins (semi / anti): it is
-    broadcast after a row-count check, so the previous table is scanned but
-    not shuffled; beyond the bound both sides shuffle on event_id."""
-    touched = bounded_broadcast(new_rows.select(F.col("event_id").alias("_tid")).distinct(),
-                                MAX_BROADCAST_KEYS)
-    match = previous["event_id"].eqNullSafe(touched["_tid"])
+    broadcast after a size check, so the previous table is scanned but not
+    shuffled.  Beyond the bound a Bloom filter of the ids is broadcast instead
+    (64 MB at most): previous rows that are surely untouched pass by, only the
+    others shuffle on event_id."""
+    touched = new_rows.select(F.col("event_id").alias("_tid")).distinct()
+    rows, size = measured(touched)
+    if rows <= max_broadcast_keys and size <= MAX_BROADCAST_BYTES:
+        touched, passed = F.broadcast(touched), None
+    else:
+        blocks = bloom.blocks_for(rows)
+        flagged = bloom.tested(previous, "event_id", bloom.build(touched, "_tid", blocks), blocks)
+        passed, previous = (flagged.where(c).drop("_maybe") for c in (~F.col("_maybe"), F.col("_maybe")))
+    match = F.col("event_id").eqNullSafe(F.col("_tid"))
     kept = previous.join(touched, match, "left_anti")
+    if passed is not None:
+        kept = kept.unionByName(passed)
     revisit = previous.join(touched, match, "left_semi").drop(QUALITY)
     redone = checked(revisit.unionByName(new_rows, allowMissingColumns=True))
     return kept.unionByName(redone, allowMissingColumns=True)
