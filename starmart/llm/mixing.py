@@ -4,7 +4,9 @@ The budget flows down a tree of domain, language and source: each level deals
 its budget to the children by weight, never more than a child's subtree can
 give (its tokens times ``max_epochs``); what a short child leaves goes to its
 siblings by weight, and only what all siblings cannot take goes back to the
-parent's siblings.  Budgets are whole tokens, rounded down.
+parent's siblings.  Budgets are whole tokens, rounded down.  What a level of
+the tree deals is found by sums per parent, so a parent may have any number
+of children.
 
 Each leaf then takes whole seeded epochs while its budget lasts, and of the
 next epoch the prefix, in that epoch's seeded order, whose tokens still fit.
@@ -29,10 +31,11 @@ from starmart.llm.common import cut
 # target weights; any name that is not listed weighs 1
 DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 2}
 LANG_WEIGHTS = {"en": 6, "de": 2, "fr": 2, "es": 2}
-SOURCE_WEIGHTS: dict[str, int] = {}
+SOURCE_WEIGHTS = {"src1": 3, "src2": 2, "src3": 2}
 MAX_EPOCHS = 3
 SEED = 17
 BROADCAST_LEAVES = 100_000
+BROADCAST_PARENTS = 100_000
 LEVELS = 3    # times the range where a budget ends is parted
 DIGITS = 2    # hexadecimal digits of the place that part it
 _BIG = "decimal(38,0)"
@@ -56,27 +59,36 @@ def _weight(column: str, weights: dict[str, int]) -> Column:
     return F.coalesce(F.create_map(*pairs)[F.col(column)], F.lit(1))
 
 
-def _deal(children: DataFrame, parent: list[str], child: str, weights: dict[str, int]) -> DataFrame:
-    """``budget`` of each child from its parent's (``given``) and its own
-    ``capacity``: the children whose share exceeds their capacity are a prefix
-    in the order of capacity per weight."""
-    order = Window.partitionBy(*parent).orderBy(F.col("ratio").asc_nulls_last(), child)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    all_ = Window.partitionBy(*parent)
-    total = lambda e, w: F.coalesce(F.sum(e.cast(_BIG)).over(w), F.lit(0).cast(_BIG))
-    w, cap = F.col("weight"), F.col("capacity")
-    short = F.col("short")
-    return (children.withColumn("weight", _weight(child, weights))
-            .withColumn("ratio", F.when(w > 0, cap.cast("double") / w.cast("double")))
-            .withColumn("w_all", total(w, all_)).withColumn("w_before", total(w, before))
-            .withColumn("c_before", total(F.when(w > 0, cap).otherwise(0), before))
-            .withColumn("short", (w > 0) & (cap.cast(_BIG) * (F.col("w_all") - F.col("w_before"))
-                                            <= (F.col("given").cast(_BIG) - F.col("c_before")) * w.cast(_BIG)))
-            .withColumn("c_short", total(F.when(short, cap).otherwise(0), all_))
-            .withColumn("w_short", total(F.when(short, w).otherwise(0), all_))
-            .withColumn("budget", F.when(w <= 0, F.lit(0).cast("long")).when(short, cap).otherwise(
-                F.expr("((cast(given as decimal(38,0)) - c_short) * weight) div nullif(w_all - w_short, 0)")).cast("long"))
-            .drop("ratio", "w_all", "w_before", "c_before", "short", "c_short", "w_short", "weight", "given"))
+def _deal(children: DataFrame, parents: DataFrame, parent: list[str], child: str, weights: dict[str, int]) -> DataFrame:
+    """``budget`` of each child from its parent's (``parents``: parent, ``given``)
+    and its own ``capacity``.
+
+    Children whose share is more than they can give are short; the rest share
+    by weight what the short ones leave: budget = level * weight.  The level
+    comes by Newton's steps from below, each one sum per parent over all its
+    children: a level shows some children short, without these the level is
+    higher.  It never falls, and where no further child is short it is right.
+    No parent's children meet in one task, however many they are."""
+    zero, w, cap = F.lit(0).cast(_BIG), F.col("weight").cast(_BIG), F.col("capacity").cast(_BIG)
+    rows = cut(children.withColumn("weight", _weight(child, weights)), "children")
+    level = cut(parents.join(rows.groupBy(*parent).agg(F.sum(w).cast(_BIG).alias("w_all")), parent)
+                .select(*parent, F.col("given").cast(_BIG).alias("given"), "w_all", zero.alias("c_short"), zero.alias("w_short"),
+                        F.lit(True).alias("moved")), "level")
+    few = level.count() <= BROADCAST_PARENTS
+    short = (F.col("weight") > 0) & (cap * (F.col("w_all") - F.col("w_short")) <= (F.col("given") - F.col("c_short")) * w)
+    with_level = lambda: rows.join(F.broadcast(level) if few else level, parent)  # noqa: E731  the level of the last step
+    while not level.where("moved").isEmpty():
+        found = (with_level().where(F.col("moved") & short).groupBy(*parent)
+                 .agg(F.sum(cap).cast(_BIG).alias("c_new"), F.sum(w).cast(_BIG).alias("w_new")))
+        # a child that was short stays so: the level does not fall
+        level = cut(level.join(found, parent, "left")
+                    .select(*parent, "given", "w_all", F.coalesce("c_new", "c_short").alias("c_short"),
+                            F.coalesce("w_new", "w_short").alias("w_short"),
+                            F.coalesce(F.col("w_new") > F.col("w_short"), F.lit(False)).alias("moved")), "level")
+    given = F.expr("((given - c_short) * weight) div nullif(w_all - w_short, 0)").cast("long")
+    return (with_level().withColumn("budget", F.when(F.col("weight") <= 0, F.lit(0).cast("long"))
+                                    .when(short, F.col("capacity")).otherwise(given))
+            .select(*children.columns, "budget"))
 
 
 def budgets(leaves: DataFrame, budget: Column, max_epochs: int, domain_weights: dict, lang_weights: dict,
@@ -84,14 +96,12 @@ def budgets(leaves: DataFrame, budget: Column, max_epochs: int, domain_weights:
     """(domain, lang, source, supply, budget) of every leaf; the tree has one
     row per leaf, whatever the number of documents."""
     leaves = leaves.withColumn("capacity", F.col("supply") * max_epochs)
-    tops = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("supply").alias("s"))
-    everything = Window.partitionBy(F.lit(0))
-    tops = (tops.withColumn("total", F.sum("s").over(everything)).withColumn("given", budget.cast("long"))
-            .withColumn("root", F.lit(0)).drop("s", "total"))
-    tops = _deal(tops, ["root"], "domain", domain_weights).select("domain", F.col("budget").alias("given"))
-    langs = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity")).join(tops, "domain")
-    langs = _deal(langs, ["domain"], "lang", lang_weights).select("domain", "lang", F.col("budget").alias("given"))
-    return _deal(leaves.join(langs, ["domain", "lang"]), ["domain", "lang"], "source", source_weights).drop("capacity")
+    root = leaves.groupBy(F.lit(0).alias("root")).agg(F.sum("supply").alias("total")).select("root", budget.cast("long").alias("given"))
+    tops = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity")).withColumn("root", F.lit(0))
+    tops = _deal(tops, root, ["root"], "domain", domain_weights).select("domain", F.col("budget").alias("given"))
+    langs = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity"))
+    langs = _deal(langs, tops, ["domain"], "lang", lang_weights).select("domain", "lang", F.col("budget").alias("given"))
+    return _deal(leaves, langs, ["domain", "lang"], "source", source_weights).drop("capacity")
 
 
 def _narrowed(rows: DataFrame, leaf: list[str], digits: int) -> DataFrame:
@@ -117,7 +127,7 @@ def mix(docs: DataFrame, share: tuple[int, int] = (1, 1), max_epochs: int = MAX_
                              F.coalesce("lang", none).alias("lang"), F.coalesce("source", none).alias("source"),
                              count_tokens(F.col("text")).alias("n_tokens"),
                              F.xxhash64("text").alias("tie")), "tokens")
-    leaves = narrow.groupBy(*leaf).agg(F.sum("n_tokens").alias("supply"))
+    leaves = cut(narrow.groupBy(*leaf).agg(F.sum("n_tokens").alias("supply")), "leaves")
     plan = budgets(leaves, F.expr(f"(cast(total as decimal(38,0)) * {share[0]}) div {share[1]}"), max_epochs,
                    domain_weights, lang_weights, source_weights)
     plan = cut(plan.withColumn("whole", F.when(F.col("supply") > 0, F.expr("budget div supply")).otherwise(0))

@@ -20,8 +20,9 @@ factor num/den.  From these size-derived bounds:
    blocks, save those whose documents all belong to one component already.
 
 Equal sets are merged first and stand for one vertex, however many copies.
-N-grams, and whole sets, are known by 64-bit hashes.  Texts have A-Z lower-cased and are
-split at blanks and control characters 9 to 13; with fewer than n words the
+N-grams are known by 64-bit hashes, whole sets by 128 bits; ties between parts
+know a set by half of them, which can only widen a cluster.  Texts have A-Z
+lower-cased and are split at blanks and control characters 9 to 13; with fewer than n words the
 whole sequence is one n-gram; null, empty and blank texts have none and link
 with nothing.  Rows of equal doc_id are one document with several sets; rows
 of null doc_id never link.  Other columns are not read.
@@ -29,6 +30,8 @@ of null doc_id never link.  Other columns are not read.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -110,19 +113,21 @@ def part_keys(grams: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _sid(grams: np.ndarray) -> int | None:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64)) if len(grams) else None
+def _sid(grams: np.ndarray) -> tuple[int | None, int | None]:
+    """The two halves of the 128-bit hash of a set (null if it is empty)."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(grams.tobytes())) if len(grams) else (None, None)
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and sid, a hash of the set (null if it is empty)."""
+    """doc_id, n_shingles and the halves sid and sid2 of the set's hash."""
     def run(batches):
         for batch in batches:
             sets = [shingles(t, n) for t in batch.column(1).to_pylist()]
+            own = [_sid(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) for s in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "sid"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long")
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([x[k] for x in own], pa.int64()) for k in (0, 1))],
+                names=["doc_id", "n_shingles", "sid", "sid2"])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long, sid2 long")
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -207,7 +212,7 @@ def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 s = shingles(t, n)
                 if len(s):
                     keys.append(part_keys(s, num, den).view(np.int64))
-                    sids.append(np.full(len(keys[-1]), _sid(s), np.int64))
+                    sids.append(np.full(len(keys[-1]), _sid(s)[0], np.int64))
             flat, ids = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (keys, sids))
             order = np.lexsort((ids, flat))
             flat, ids = flat[order], ids[order]
@@ -245,17 +250,17 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     with arrow_rows(spark, 1000):
         sigs = cut(signatures(docs, n), "signatures")
         tied = components(_ties(docs, n, num, den))                               # id, component
-    reps = cut(sigs.where("sid is not null and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = cut(sigs.where("sid is not null and doc_id is not null").groupBy("sid", "sid2").agg(F.min("doc_id").alias("rep")), "classes")
     sizes = tied.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
     members = cut(tied.join(sizes, "component").join(reps, F.col("id") == F.col("sid"))
-                  .select(F.col("rep").alias("doc_id"), "sid", F.col("component").alias("cluster"), "blocks",
+                  .select(F.col("rep").alias("doc_id"), "sid", "sid2", F.col("component").alias("cluster"), "blocks",
                           F.pmod(F.xxhash64("rep"), "blocks").alias("block")), "members")
 
     def whole_sets(batches):
         for batch in batches:
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             own = [_sid(s) for s in sets]  # of rows that share an id, each its own set
-            keep = [k for k, (x, y) in enumerate(zip(own, batch.column("sid").to_pylist(), strict=True)) if x == y]
+            keep = [k for k, (x, y) in enumerate(zip(own, zip(*(batch.column(c).to_pylist() for c in ("sid", "sid2")), strict=True), strict=True)) if x == y]
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in ("doc_id", "cluster", "blocks", "block")),
@@ -288,8 +293,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
         with arrow_rows(spark, 500):
             edges = edges.unionByName(cut(_products(rest, num, den), "links"))
     found = components(edges).select(F.col("id").alias("rep"), F.col("component").alias("found"))
-    classes_ = reps.join(found, "rep", "left").select("sid", F.coalesce("found", "rep").alias("component"))
-    return (sigs.join(classes_, "sid", "left")
+    classes_ = reps.join(found, "rep", "left").select("sid", "sid2", F.coalesce("found", "rep").alias("component"))
+    return (sigs.join(classes_, ["sid", "sid2"], "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
 
