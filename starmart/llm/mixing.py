@@ -96,7 +96,7 @@ def budgets(leaves: DataFrame, budget: Column, max_epochs: int, domain_weights:
     """(domain, lang, source, supply, budget) of every leaf; the tree has one
     row per leaf, whatever the number of documents."""
     leaves = leaves.withColumn("capacity", F.col("supply") * max_epochs)
-    root = leaves.groupBy(F.lit(0).alias("root")).agg(F.sum("supply").alias("total")).select("root", budget.cast("long").alias("given"))
+    root = cut(leaves.groupBy(F.lit(0).alias("root")).agg(F.sum("supply").alias("total")).select("root", budget.cast("long").alias("given")), "root")
     tops = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity")).withColumn("root", F.lit(0))
     tops = _deal(tops, root, ["root"], "domain", domain_weights).select("domain", F.col("budget").alias("given"))
     langs = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity"))
