@@ -131,3 +131,9 @@ def fact_orders_incremental(previous_fact: DataFrame, silver: DataFrame,
                              "left_semi")
     redo = fact_orders(redo_input, dim_customer, dim_product, hot_share, max_broadcast_rows)
     return keep.select(*redo.columns).unionByName(redo)
+
+
+def by_status_day(fact: DataFrame, partitions: int) -> DataFrame:
+    """The fact with ``event_day``, dealt by ranges for a layout partitioned by
+    status and day: a task writes few folders and a hot day has many tasks."""
+    return fact.withColumn("event_day", event_date()).repartitionByRange(partitions, "status", "event_day", "event_id")

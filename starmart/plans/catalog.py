@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starmart.functions.exprs import event_date, money_sum
 from starmart.functions.schemas import EVENT_COLUMNS, GATE_THRESHOLD
 from starmart.operators.dims import dim_date, dim_product
-from starmart.operators.facts import fact_orders
+from starmart.operators.facts import by_status_day, fact_orders
 from starmart.operators.history import scd2_full_history
 from starmart.operators.scd2 import (customer_latest, dim_as_of, scd2_apply, scd2_changes,
                                      scd2_init, scd2_merge_upsert)
@@ -470,8 +470,7 @@ def q_revenue_by_week(b: StarBuild) -> DataFrame:
     """Fact published by status and day, read through the published calendar."""
     path, days = scratch_dir(b.spark, "fact_by_status_day"), scratch_dir(b.spark, "dim_date")
     n = int(b.spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = b.fact.withColumn("event_day", event_date()).repartitionByRange(n, "status", "event_day", "event_id")
-    tables.publish(laid, path, "WRITE", partition_by=["status", "event_day"])
+    tables.publish(by_status_day(b.fact, n), path, "WRITE", partition_by=["status", "event_day"])
     tables.publish(dim_date(b.silver_shared), days, "WRITE", partition_by=["year"])
     return marts.revenue_by_week(tables.read(b.spark, path), tables.read(b.spark, days), WEEKS_OF_YEAR)
 

@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.functions.exprs import event_date
 from starmart.functions.schemas import CONTRACTS, GATE_THRESHOLD, check_contract
 from starmart.operators.dims import dim_date, dim_product
-from starmart.operators.facts import changed_keys, fact_orders, fact_orders_incremental
+from starmart.operators.facts import by_status_day, changed_keys, fact_orders, fact_orders_incremental
 from starmart.operators.quality import PROCEED, QUARANTINE, quality_gate
 from starmart.operators.scd2 import (customer_latest, scd2_apply, scd2_changes, scd2_init,
                                      scd2_newcomers)
@@ -42,18 +43,20 @@ LTV = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField(
 LTV_BUCKETS = 32   # folders of the published lifetime values; a look-up reads one
 
 STAGES = ("ingest", "stream", "gate", "silver", "dim_customer", "dim_product", "dim_date",
-          "fact", "marts", "sales_summary", "customer_ltv", "all")
+          "fact", "marts", "sales_summary", "customer_ltv", "revenue_by_week", "all")
 
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Lake root and the layer paths below it."""
+    """Lake root and the layer paths below it; ``fact_days`` publishes the fact
+    by status and day instead of status only."""
 
     root: str
+    fact_days: bool = False
 
     @classmethod
-    def for_session(cls, spark: SparkSession, root: str | None = None) -> "LakeConfig":
-        return cls(root or shared_root(spark) + "/lake")
+    def for_session(cls, spark: SparkSession, root: str | None = None, fact_days: bool = False) -> "LakeConfig":
+        return cls(root or shared_root(spark) + "/lake", fact_days)
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -299,9 +302,11 @@ class Lake:
                 op = "MERGE"
             else:
                 fact, op = fact_orders(silver, dc, dp, hot_share=self.hot_share), "WRITE"
-            return tables.publish(check_contract(fact, CONTRACTS["fact_orders"]),
-                                  self.cfg.fact_orders, op, partition_by=["status"],
-                                  sources=sources)
+            fact, layout = check_contract(fact, CONTRACTS["fact_orders"]), ["status"]
+            if self.cfg.fact_days:
+                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                fact, layout = by_status_day(fact, n), ["status", "event_day"]
+            return tables.publish(fact, self.cfg.fact_orders, op, partition_by=layout, sources=sources)
         return self._timed("fact", run)
 
     def _changed_customers(self, since_version: int) -> DataFrame:
@@ -337,6 +342,14 @@ class Lake:
             df = df.where(F.col("customer_region") == region)
         return df.orderBy(F.col("revenue").desc(), "customer_region", "product_category")
 
+    def revenue_by_week(self, year: int) -> DataFrame:
+        """Weekly revenue of one year from the published fact and calendar; of a
+        fact published by day only the year's folders are read."""
+        fact = self.table(self.cfg.fact_orders)
+        if "event_day" not in fact.columns:
+            fact = fact.withColumn("event_day", event_date())
+        return marts.revenue_by_week(fact, self.table(self.cfg.dim_date), year).orderBy("week_of_year")
+
     def customer_ltv(self, customer_id: str) -> DataFrame:
         """Lifetime value of one customer (0 when unknown) from the published
         values: one bucket is read."""
@@ -377,7 +390,8 @@ class Lake:
                "silver": self.build_silver, "dim_customer": self.build_dim_customer,
                "dim_product": self.build_dim_product, "dim_date": self.build_dim_date,
                "fact": self.build_fact, "marts": self.marts, "all": self.run_all,
-               "sales_summary": self.sales_summary, "customer_ltv": self.customer_ltv}
+               "sales_summary": self.sales_summary, "customer_ltv": self.customer_ltv,
+               "revenue_by_week": self.revenue_by_week}
         if stage not in fns:
             raise ValueError(f"no stage named {stage!r}; there are {', '.join(sorted(fns))}")
         return fns[stage](**kw)
@@ -398,6 +412,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--trigger", default=None, help="interval between micro-batches, such as '10 seconds'")
     ap.add_argument("--region", default=None, help="region of the sales_summary stage (default: all)")
     ap.add_argument("--customer", default=None, help="customer id of the customer_ltv stage")
+    ap.add_argument("--year", type=int, default=None, help="year of the revenue_by_week stage")
+    ap.add_argument("--fact-days", action="store_true", help="publish the fact by status and day")
     ap.add_argument("--threshold", type=float, default=GATE_THRESHOLD)
     ap.add_argument("--insert-new", action="store_true")
     ap.add_argument("--full-silver", action="store_true", help="rebuild silver from all bronze")
@@ -407,7 +423,7 @@ def main(argv: list[str] | None = None) -> int:
                     help="initial shuffle partitions (AQE coalesces them by measured size)")
     a = ap.parse_args(argv)
     spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
-    lake = Lake(spark, LakeConfig.for_session(spark, a.lake))
+    lake = Lake(spark, LakeConfig.for_session(spark, a.lake, a.fact_days))
     if a.stage == "all":
         top = lake.run_all(a.threshold, a.insert_new, incremental=False if a.full_silver else None,
                            gate_increment_only=a.gate_increment_only)
@@ -424,6 +440,10 @@ def main(argv: list[str] | None = None) -> int:
         if a.customer is None:
             ap.error("customer_ltv needs --customer")
         lake.customer_ltv(a.customer).show(truncate=False)
+    elif a.stage == "revenue_by_week":
+        if a.year is None:
+            ap.error("revenue_by_week needs --year")
+        lake.revenue_by_week(a.year).show(60, truncate=False)
     elif a.stage == "gate":
         print(lake.gate(a.threshold, increment_only=a.gate_increment_only))
     elif a.stage == "silver":
