@@ -10,7 +10,8 @@ a partition read.
 The state of an id is one long, its greatest event time; it expires by event
 time, when the watermark passes it – from then on every further delivery of
 that event time is late anyway, so expiry changes no tag.  State size follows
-the watermark's delay, not the length of the stream.
+the watermark's delay, not the length of the stream.  Ids are held CELLS to a
+stream, by their hash: Python is called per cell and batch, not per id.
 
 Spark drops rows that are older than the watermark before an operator with
 event-time timeouts.  They are kept here by a second watermark, on the arrival
@@ -34,35 +35,45 @@ ACCEPTED, DUPLICATE, LATE = "accepted", "duplicate", "late"
 DELIVERY = "delivery"
 # Which of an id's deliveries in one micro-batch counts: the newest, as in silver.
 BATCH_ORDER = ("_ingested_at", "event_ts", "product_id", "quantity", "order_total", "status")
+CELLS = 16_384   # fixed: the state in a checkpoint is keyed by cell
 ONE_OPERATOR = "spark.sql.streaming.statefulOperator.allowMultiple"
 # Row payload as JSON text: to the microsecond, in UTC.
 JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def _tagged(key, frames, state):
-    """Deliveries of one id in one micro-batch, tagged; or the id's expiry."""
-    if state.hasTimedOut:
-        state.remove()
-        return
+    """Deliveries of a cell's ids in one micro-batch, tagged; then the expiry of
+    its ids that the watermark has passed."""
     watermark = state.getCurrentWatermarkMs()
+    held = dict(zip(*state.get, strict=True)) if state.exists else {}
+    for rows in _batches(frames if not state.hasTimedOut else ()):
+        tags, first = [], {}
+        known = set(held)
+        ids = rows["_key"].astype(object).where(rows["_key"].notna(), None).tolist()
+        for i, (id_, t, rank) in enumerate(zip(ids, rows["_ms"].tolist(), rows["_rank"].tolist(), strict=True)):
+            if watermark > 0 and t < watermark:            # a missing event time is never late
+                tags.append(LATE)
+                continue
+            tags.append(DUPLICATE)
+            newest = max(int(t), watermark) if t == t else watermark
+            held[id_] = max(held[id_], newest) if id_ in held else newest
+            if id_ not in known and (id_ not in first or rank > first[id_][0]):
+                first[id_] = rank, i
+        for _, i in first.values():
+            tags[i] = ACCEPTED
+        yield pd.DataFrame({"_row": rows["_row"].array, DELIVERY: tags})
+    held = {id_: newest for id_, newest in held.items() if newest + 1 >= watermark}
+    if held:
+        state.update((list(held), list(held.values())))
+        state.setTimeoutTimestamp(max(min(held.values()), 0) + 1)
+    elif state.exists:
+        state.remove()
+
+
+def _batches(frames):
     frames = list(frames)
-    rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    times = rows["_ms"].tolist()                           # a missing event time is never late
-    tags = [LATE if watermark > 0 and t < watermark else DUPLICATE for t in times]
-    on_time = [i for i, tag in enumerate(tags) if tag == DUPLICATE]
-    if on_time:
-        newest = max((int(times[i]) for i in on_time if times[i] == times[i]), default=watermark)
-        if state.exists:
-            newest = max(newest, state.get[0])
-        else:
-            first = on_time[0]
-            if len(on_time) > 1:
-                ranks = rows["_rank"].tolist()
-                first = max(on_time, key=ranks.__getitem__)
-            tags[first] = ACCEPTED
-        state.update((newest,))
-        state.setTimeoutTimestamp(max(newest, watermark) + 1)
-    yield pd.DataFrame({"_row": rows["_row"].array, DELIVERY: tags})
+    if frames:
+        yield frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
 
 
 def _rank(column: str, kind: T.DataType) -> Column:
@@ -86,11 +97,11 @@ def tag_deliveries(bronze: DataFrame, delay: str, key: str = "event_id", event_t
     timed = (bronze.withColumn("_at", F.col(event_time).cast("timestamp"))
              .withWatermark("_at", delay)
              .withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", "0 seconds"))
-    keyed = timed.select(F.col(key).alias("_key"), "_arrived", F.unix_millis("_at").alias("_ms"),
+    keyed = timed.select(F.pmod(F.xxhash64(key), F.lit(CELLS)).cast("int").alias("_cell"), F.col(key).alias("_key"), "_arrived", F.unix_millis("_at").alias("_ms"),
                          F.concat_ws("|", *[_rank(c, schema[c].dataType) for c in order]).alias("_rank"), F.to_json(F.struct(*schema.names), JSON).alias("_row"))
-    tagged = keyed.groupBy("_key").applyInPandasWithState(
+    tagged = keyed.groupBy("_cell").applyInPandasWithState(
         _tagged, T.StructType([T.StructField("_row", T.StringType()), T.StructField(DELIVERY, T.StringType())]),
-        T.StructType([T.StructField("newest", T.LongType())]), "append", "EventTimeTimeout")
+        T.StructType([T.StructField("ids", T.ArrayType(schema[key].dataType)), T.StructField("newest", T.ArrayType(T.LongType()))]), "append", "EventTimeTimeout")
     return tagged.select(F.from_json("_row", schema, JSON).alias("r"), DELIVERY).select("r.*", DELIVERY)
 
 
