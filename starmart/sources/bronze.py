@@ -69,12 +69,16 @@ def parse_values(values: DataFrame, value_col: str = "value") -> DataFrame:
     return values.select(parsed).select("e.*")
 
 
-def write_ndjson(events: DataFrame, path: str, files: int | None = None) -> None:
+# Drops are compressed; such a file is read by one task, so it is kept to so many lines.
+DROP = {"compression": "gzip", "maxRecordsPerFile": "500000"}
+
+
+def write_ndjson(events: DataFrame, path: str, files: int | None = None, **options: str) -> None:
     """Write events as newline-delimited JSON (the raw file drop format)."""
     out = events.select(event_json(events).alias("value"))
     if files:
         out = out.repartition(files)
-    out.write.mode("errorifexists").text(path)
+    out.write.mode("errorifexists").options(**options).text(path)
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ batch.  Deduplication of redelivered events stays in silver."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starmart.functions.schemas import EVENT_SCHEMA, ORDERS_TOPIC
@@ -23,12 +24,18 @@ RUN_SECONDS = 60
 # ---------------------------------------------------------------------------
 
 
-def file_source(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New NDJSON files dropped into ``raw_dir`` -> bronze rows."""
-    r = spark.readStream.schema(EVENT_SCHEMA)
+def file_source(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None,
+                parsers: int | None = None) -> DataFrame:
+    """New NDJSON files dropped into ``raw_dir`` -> bronze rows.  A compressed
+    file is read by one task; with ``parsers`` its lines are dealt to so many
+    tasks before they are parsed."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return typed_events(r.json(raw_dir))
+    if parsers is None:
+        return typed_events(r.schema(EVENT_SCHEMA).json(raw_dir))
+    lines = r.text(raw_dir).select("value").where(F.trim("value") != "")
+    return typed_events(parse_values(lines.repartition(parsers)))
 
 
 KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
