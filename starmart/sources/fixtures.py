@@ -50,12 +50,18 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("n_nationkey", "r_name", "r2_name"))
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+ORDER_KEY = "_order"
+
+
+def order_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False) -> DataFrame:
     """Bronze-shaped order events (``BRONZE_COLUMNS``) for one scale factor.
+    ``with_order_key`` adds ORDER_KEY, the key of the last join: events of one
+    order lie together, so a window per order and event needs no shuffle.
 
     Join order keeps the biggest input (lineitem) to two shuffles: orders are
     joined to customers first (orders-sized), lineitem to parts, then the two
-    results meet on the order key.  Only the 25-row geography is broadcast
+    results meet on the order key; what lines alone decide (status, sign) is
+    computed before they are shuffled.  Only the 25-row geography is broadcast
     (checked); every other join is left to Catalyst/AQE by measured size."""
     geo = bounded_broadcast(geography(spark, sf_dir), NATION_COUNT)
     customer = (_read(spark, sf_dir, "customer")
@@ -66,20 +72,23 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select("o_orderkey", "o_custkey", "o_orderdate")
               .join(customer, F.col("o_custkey") == F.col("c_custkey")))
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    lines = (_read(spark, sf_dir, "lineitem")
-             .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                     "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-             .join(part, F.col("l_partkey") == F.col("p_partkey")))
-    j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-
-    line_no = F.col("l_orderkey") + F.col("l_linenumber")
-    status = (F.when(F.col("o_orderkey") % TEST_ORDER_EVERY == 0, F.lit("TEST"))
+    status = (F.when(F.col("l_orderkey") % TEST_ORDER_EVERY == 0, F.lit("TEST"))
               .when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("REFUNDED"))
               .when(F.col("l_returnflag") == "R", F.lit("CANCELLED"))
               .when(F.col("l_returnflag") == "A", F.lit("SHIPPED"))
               .when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), F.lit("PAID"))
               .when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit("PLACED")))
+    total = (F.when((F.col("l_orderkey") * 7 + F.col("l_suppkey")) % NEGATIVE_TOTAL_EVERY == 0, -F.col("l_extendedprice"))
+             .otherwise(F.col("l_extendedprice")))
+    lines = (_read(spark, sf_dir, "lineitem")
+             .select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("int").alias("quantity"),
+                     total.alias("order_total"), status.alias("status"), "l_shipdate")
+             .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+    line_no = F.col("l_orderkey") + F.col("l_linenumber")
     return j.select(
+        F.col("l_orderkey").alias(ORDER_KEY),
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string")).alias("event_id"),
         F.when(line_no % NULL_ORDER_ID_EVERY == 0, F.lit(None).cast("string"))
@@ -96,11 +105,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("product_category"),
         F.col("p_retailprice").alias("unit_price"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.when((F.col("l_orderkey") * 7 + F.col("l_suppkey")) % NEGATIVE_TOTAL_EVERY == 0,
-               -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("order_total"),
-        status.alias("status"),
+        "quantity", "order_total", "status",
         F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"),
         F.lit(INGEST_SOURCE).alias("ingest_source"),
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
-    ).select(*BRONZE_COLUMNS)
+    ).select(*([ORDER_KEY] if with_order_key else []), *BRONZE_COLUMNS)
