@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions.exprs import date_key, event_date
+from starmart.functions.exprs import date_key, event_date, first_key
 from starmart.operators.intervals import as_of
 from starmart.operators.joins import bounded_broadcast, has_at_most
 from starmart.operators.skew import hot_keys, split_hot_join
@@ -33,6 +33,55 @@ def _join_dim(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return left.join(right, cond(), "inner")
 
 
+def _small(dim: DataFrame, max_rows: int) -> bool:
+    return max_rows > 0 and has_at_most(dim, max_rows)
+
+
+def _hot(df: DataFrame, key: str, hot_share: float | None) -> Callable[[], list] | None:
+    # hot relative to the whole input: no key brings more than
+    # ``hot_share`` of silver into one task
+    return (lambda: hot_keys(df, key, hot_share)) if hot_share else None
+
+
+def _events(silver: DataFrame) -> DataFrame:
+    return silver.select("order_id", "event_id", "customer_id", "product_id", "quantity",
+                         "unit_price", "order_total", "status", "event_ts",
+                         event_date().alias("_d"))
+
+
+def with_versions(silver: DataFrame, dim_customer: DataFrame, hot_share: float | None = None,
+                  max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS,
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """Silver events (``_d``: the event's date) with the key of the customer
+    version valid on that date, and the columns ``carry`` of that version: who
+    needs them joins the dimension once instead of a second time by key."""
+    s = _events(silver)
+    dc = dim_customer.select(F.col("customer_id").alias("_dc_id"), "customer_key",
+                             "start_date", "end_date", *carry)
+
+    def on_customer():
+        return ((F.col("customer_id") == F.col("_dc_id")) & (F.col("_d") >= F.col("start_date"))
+                & (F.col("end_date").isNull() | (F.col("_d") < F.col("end_date"))))
+
+    j = _join_dim(s, dc, "customer_id", "_dc_id", on_customer, _small(dc, max_broadcast_rows),
+                  _hot(s, "customer_id", hot_share))
+    return j.drop("_dc_id", "start_date", "end_date")
+
+
+def with_own_products(events: DataFrame) -> DataFrame:
+    """The product key where ``dim_product`` is made of these very events: it
+    then has a row, keyed by md5 of the id, for every product id but NULL, so
+    the join by id keeps the events that have an id and needs no shuffle."""
+    return events.where(F.col("product_id").isNotNull()).withColumn("product_key", first_key("product_id"))
+
+
+def fact_columns(events: DataFrame, *more: str) -> DataFrame:
+    """The columns of the fact from events with both keys, and ``more``."""
+    return events.select("order_id", "event_id", "customer_key", "product_key",
+                         date_key("event_ts").alias("date_key"), "quantity", "unit_price",
+                         "order_total", "status", "event_ts", *more)
+
+
 def fact_orders(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                 hot_share: float | None = None,
                 max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
@@ -50,33 +99,11 @@ def fact_orders(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFra
     coming out of an aggregate already partitioned by its key has no shuffle
     stage of its own); the rest is a sort-merge join that AQE may still
     adjust at run time."""
-    s = silver.select("order_id", "event_id", "customer_id", "product_id", "quantity",
-                      "unit_price", "order_total", "status", "event_ts",
-                      event_date().alias("_d"))
-    dc = dim_customer.select(F.col("customer_id").alias("_dc_id"), "customer_key",
-                             "start_date", "end_date")
+    j = with_versions(silver, dim_customer, hot_share, max_broadcast_rows)
     dp = dim_product.select(F.col("product_id").alias("_dp_id"), "product_key")
-
-    def on_customer():
-        return ((F.col("customer_id") == F.col("_dc_id")) & (F.col("_d") >= F.col("start_date"))
-                & (F.col("end_date").isNull() | (F.col("_d") < F.col("end_date"))))
-
-    def on_product():
-        return F.col("product_id") == F.col("_dp_id")
-
-    def small(dim):
-        return max_broadcast_rows > 0 and has_at_most(dim, max_broadcast_rows)
-
-    def hot(key):
-        # hot relative to the whole input: no key brings more than
-        # ``hot_share`` of silver into one task
-        return (lambda: hot_keys(s, key, hot_share)) if hot_share else None
-
-    j = _join_dim(s, dc, "customer_id", "_dc_id", on_customer, small(dc), hot("customer_id"))
-    j = _join_dim(j, dp, "product_id", "_dp_id", on_product, small(dp), hot("product_id"))
-    return j.select("order_id", "event_id", "customer_key", "product_key",
-                    date_key("event_ts").alias("date_key"), "quantity", "unit_price",
-                    "order_total", "status", "event_ts")
+    j = _join_dim(j, dp, "product_id", "_dp_id", lambda: F.col("product_id") == F.col("_dp_id"),
+                  _small(dp, max_broadcast_rows), _hot(_events(silver), "product_id", hot_share))
+    return fact_columns(j)
 
 
 def fact_orders_sweep(silver: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,

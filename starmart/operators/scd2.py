@@ -23,6 +23,29 @@ MAX_BROADCAST_CHANGES = 5_000_000
 TRACKED = ("customer_name", "customer_region")
 
 
+def customer_latest_of(rows: DataFrame, loads: Mapping[str, Column]) -> DataFrame:
+    """``customer_latest`` of several overlapping sets of rows by one grouped
+    aggregate: per customer id and entry of ``loads`` (a condition on the rows)
+    a struct column of its name, NULL where the set has no row of the customer."""
+    cols = []
+    for name, member in loads.items():
+        newest = F.max_by(F.struct(F.col("event_ts"), *[F.col(c) for c in TRACKED]),
+                          F.when(member, F.struct("event_ts", "event_id")))
+        first = F.min(F.when(member, event_date()))
+        cols.append(F.when(newest.isNotNull(), F.struct(newest.alias("n"), first.alias("first_seen_date"))).alias(name))
+    return rows.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(*cols)
+
+
+def latest_of(state: DataFrame, name: str) -> DataFrame:
+    """Of ``customer_latest_of`` the rows of one set, as ``customer_latest`` has them."""
+    return (state.where(F.col(name).isNotNull())
+            .select("customer_id",
+                    F.col(f"{name}.n.customer_name").alias("customer_name"),
+                    F.col(f"{name}.n.customer_region").alias("customer_region"),
+                    event_date(f"{name}.n.event_ts").alias("effective_date"),
+                    F.col(f"{name}.first_seen_date").alias("first_seen_date")))
+
+
 def customer_latest(silver: DataFrame) -> DataFrame:
     """Per customer id: newest name/region (by event time, then event id), the
     date of that newest event (``effective_date``) and the first event date.
@@ -31,16 +54,7 @@ def customer_latest(silver: DataFrame) -> DataFrame:
     customer_id) instead of a window plus a self-join: a hot customer costs
     one partial row per map task, never a whole group in one reducer.  Rows
     without a customer id are dropped, as the reference's inner join does."""
-    newest = F.max_by(F.struct(F.col("event_ts"), *[F.col(c) for c in TRACKED]),
-                      F.struct("event_ts", "event_id"))
-    return (silver.where(F.col("customer_id").isNotNull())
-            .groupBy("customer_id")
-            .agg(newest.alias("_n"), F.min(event_date()).alias("first_seen_date"))
-            .select("customer_id",
-                    F.col("_n.customer_name").alias("customer_name"),
-                    F.col("_n.customer_region").alias("customer_region"),
-                    event_date("_n.event_ts").alias("effective_date"),
-                    "first_seen_date"))
+    return latest_of(customer_latest_of(silver, {"_all": F.lit(True)}), "_all")
 
 
 def _dim_row(key: Column, start: Column) -> list[Column]:

@@ -16,6 +16,9 @@ MAX_BROADCAST_DIM_ROWS = 1_000_000
 MAX_DAYS = 100_000   # days of a calendar that is broadcast: 270 years
 
 GROUP = ("customer_region", "product_category")
+# Columns of the customer version that a fact may carry from its own lookup:
+# the marts then take no customer dimension (None) and do not join it again.
+VERSION = ("customer_region", "is_current")
 
 
 def _sold(fact: DataFrame) -> DataFrame:
@@ -24,7 +27,21 @@ def _sold(fact: DataFrame) -> DataFrame:
     return fact.where(is_revenue("status")).select("customer_key", "product_key", "order_total")
 
 
-def _by_region_category(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+def _sold_versions(fact: DataFrame, current_only: bool) -> DataFrame:
+    sold = fact.where(is_revenue("status"))
+    if current_only:
+        sold = sold.where(F.col("is_current"))
+    return sold.select("customer_region", "product_key", "order_total")
+
+
+def _per_category(per_region: DataFrame, dp: DataFrame, count_name: str) -> DataFrame:
+    return (per_region.join(dp, "product_key")
+            .groupBy(*GROUP)
+            .agg(F.round(F.sum("_s").cast("double"), 2).alias("revenue"),
+                 F.sum("_n").alias(count_name)))
+
+
+def _by_region_category(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame,
                         current_only: bool, count_name: str,
                         max_broadcast_rows: int | None = None) -> DataFrame:
     """Revenue and row count per (region, category).
@@ -41,14 +58,26 @@ def _by_region_category(fact: DataFrame, dim_customer: DataFrame, dim_product: D
        left, so a hot product is a handful of rows; final sum per
        (region, category).
 
+    A fact that carries VERSION (``dim_customer`` None) is summed per (region,
+    product_key) at once: steps 1 and 2 and their two fact-sized shuffles fall away.
+
     Sums are exact (DECIMAL) at every level, so the result equals the
     row-level join + group by."""
+    dp = dim_product.select("product_key", "product_category")
+    bound = MAX_BROADCAST_DIM_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    if dim_customer is None:
+        sold = _sold_versions(fact, current_only)
+        if bound > 0 and has_at_most(dp, bound):
+            return sold.join(F.broadcast(dp), "product_key").groupBy(*GROUP).agg(
+                F.round(F.sum(F.col("order_total").cast(MONEY)).cast("double"), 2).alias("revenue"),
+                F.count(F.lit(1)).alias(count_name))
+        per_region = (sold.groupBy("customer_region", "product_key")
+                      .agg(F.sum(F.col("order_total").cast(MONEY)).alias("_s"), F.count(F.lit(1)).alias("_n")))
+        return _per_category(per_region, dp, count_name)
     dc = dim_customer
     if current_only:
         dc = dc.where(F.col("is_current"))
     dc = dc.select("customer_key", "customer_region")
-    dp = dim_product.select("product_key", "product_category")
-    bound = MAX_BROADCAST_DIM_ROWS if max_broadcast_rows is None else max_broadcast_rows
     if bound > 0 and has_at_most(dc, bound) and has_at_most(dp, bound):
         # both dimensions proven small: broadcast them, no fact-sized shuffle
         # at all (hot keys cost nothing in a broadcast join); one partial +
@@ -63,13 +92,10 @@ def _by_region_category(fact: DataFrame, dim_customer: DataFrame, dim_product: D
     per_region = (pairs.join(dc, "customer_key")
                   .groupBy("customer_region", "product_key")
                   .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n")))
-    return (per_region.join(dp, "product_key")
-            .groupBy(*GROUP)
-            .agg(F.round(F.sum("_s").cast("double"), 2).alias("revenue"),
-                 F.sum("_n").alias(count_name)))
+    return _per_category(per_region, dp, count_name)
 
 
-def revenue_top10(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+def revenue_top10(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame,
                   k: int = 10) -> DataFrame:
     """Top-k (region, category) by revenue over current customer versions.
     Ties broken by region, category so the k rows are always the same."""
@@ -77,14 +103,14 @@ def revenue_top10(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFra
     return agg.orderBy(F.col("revenue").desc(), *GROUP).limit(k)
 
 
-def sales_summary(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+def sales_summary(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame) -> DataFrame:
     """All (region, category) groups; revenue summed as decimal, rounded to cents once
     (presented as double), order_count as bigint."""
     agg = _by_region_category(fact, dim_customer, dim_product, True, "order_count")
     return agg.orderBy(F.col("revenue").desc(), *GROUP)
 
 
-def revenue_as_was(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+def revenue_as_was(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame) -> DataFrame:
     """Revenue by the region a customer had when ordering: every version
     counts, not just the current one."""
     agg = _by_region_category(fact, dim_customer, dim_product, False, "order_count")
@@ -121,22 +147,48 @@ FROM region_totals JOIN {products} USING (product_key)
 GROUP BY customer_region, product_category
 ORDER BY revenue DESC, customer_region, product_category
 """
+# The same over a fact that carries VERSION: the customers are not joined again.
+SMALL_VERSION_REVENUE_SQL = """
+SELECT customer_region, product_category,
+       ROUND(CAST(SUM(CAST(order_total AS DECIMAL(28,8))) AS DOUBLE), 2) AS revenue, COUNT(*) AS order_count
+FROM {fact} JOIN {products} USING (product_key)
+WHERE status NOT IN ('CANCELLED', 'REFUNDED') AND is_current AND (:region IS NULL OR customer_region = :region)
+GROUP BY customer_region, product_category
+ORDER BY revenue DESC, customer_region, product_category
+"""
+VERSION_REVENUE_SQL = """
+WITH region_totals AS (
+  SELECT customer_region, product_key, SUM(CAST(order_total AS DECIMAL(28,8))) AS amount, COUNT(*) AS n
+  FROM {fact}
+  WHERE status NOT IN ('CANCELLED', 'REFUNDED') AND is_current AND (:region IS NULL OR customer_region = :region)
+  GROUP BY ALL
+)
+SELECT customer_region, product_category,
+       ROUND(CAST(SUM(amount) AS DOUBLE), 2) AS revenue, SUM(n) AS order_count
+FROM region_totals JOIN {products} USING (product_key)
+GROUP BY customer_region, product_category
+ORDER BY revenue DESC, customer_region, product_category
+"""
 
 
-def _star_revenue_sql(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, region: str | None,
+def _star_revenue_sql(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame, region: str | None,
                       max_broadcast_rows: int | None) -> DataFrame:
     """The SQL text for the dimensions' measured sizes, over the given frames
     (no temp view is made or replaced)."""
-    dc = dim_customer.where(F.col("is_current")).select("customer_key", "customer_region")
     dp = dim_product.select("product_key", "product_category")
     bound = MAX_BROADCAST_DIM_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    if dim_customer is None:
+        small = bound > 0 and has_at_most(dp, bound)
+        text, dp = (SMALL_VERSION_REVENUE_SQL, F.broadcast(dp)) if small else (VERSION_REVENUE_SQL, dp)
+        return fact.sparkSession.sql(text, args={"region": region}, fact=fact, products=dp)
+    dc = dim_customer.where(F.col("is_current")).select("customer_key", "customer_region")
     text = STAR_REVENUE_SQL
     if bound > 0 and has_at_most(dc, bound) and has_at_most(dp, bound):
         text, dc, dp = SMALL_STAR_REVENUE_SQL, F.broadcast(dc), F.broadcast(dp)
     return fact.sparkSession.sql(text, args={"region": region}, fact=fact, customers=dc, products=dp)
 
 
-def sales_summary_by_region(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+def sales_summary_by_region(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame,
                             region: str, max_broadcast_rows: int | None = None) -> DataFrame:
     """Sales summary of one region; the region is a bound SQL parameter,
     never pasted into the SQL text."""
@@ -190,7 +242,7 @@ def register_views(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFr
         dim_date.createOrReplaceTempView("dim_date")
 
 
-def revenue_top10_sql(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+def revenue_top10_sql(fact: DataFrame, dim_customer: DataFrame | None, dim_product: DataFrame,
                       max_broadcast_rows: int | None = None) -> DataFrame:
     """The flagship as SQL text over the gold frames."""
     return (_star_revenue_sql(fact, dim_customer, dim_product, None, max_broadcast_rows)
