@@ -24,7 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # rows of this much compressed shuffle data unpack to several times as much
+    # and still sort in a task's memory; 128 MB spilled
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     # Static (statistics-based) broadcast threshold: Catalyst broadcasts a join
     # side only when its estimated size is below this, otherwise it plans a

@@ -53,10 +53,16 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_KEY = "_order"
 
 
-def order_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False) -> DataFrame:
+PRODUCT_NAMES = ("product_name", "product_category")
+
+
+def order_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False, named_products: bool = True) -> DataFrame:
     """Bronze-shaped order events (``BRONZE_COLUMNS``) for one scale factor.
     ``with_order_key`` adds ORDER_KEY, the key of the last join: events of one
     order lie together, so a window per order and event needs no shuffle.
+    Without ``named_products`` lines carry only the price of their part, not
+    PRODUCT_NAMES; of parts that share a key only the one that the newest-first
+    order, which ends with name, category and price, would pick is joined.
 
     Join order keeps the biggest input (lineitem) to two shuffles: orders are
     joined to customers first (orders-sized), lineitem to parts, then the two
@@ -72,6 +78,9 @@ def order_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False)
               .select("o_orderkey", "o_custkey", "o_orderdate")
               .join(customer, F.col("o_custkey") == F.col("c_custkey")))
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    if not named_products:
+        part = (part.groupBy("p_partkey").agg(F.max(F.struct("p_name", "p_type", "p_retailprice")).alias("_p"))
+                .select("p_partkey", F.col("_p.p_retailprice").alias("p_retailprice")))
     status = (F.when(F.col("l_orderkey") % TEST_ORDER_EVERY == 0, F.lit("TEST"))
               .when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("REFUNDED"))
               .when(F.col("l_returnflag") == "R", F.lit("CANCELLED"))
@@ -86,6 +95,7 @@ def order_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False)
              .join(part, F.col("l_partkey") == F.col("p_partkey")))
     j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
+    names = [F.col("p_name").alias("product_name"), F.col("p_type").alias("product_category")] if named_products else []
     line_no = F.col("l_orderkey") + F.col("l_linenumber")
     return j.select(
         F.col("l_orderkey").alias(ORDER_KEY),
@@ -102,11 +112,10 @@ def order_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False)
                & (F.col("o_orderdate") >= F.lit(MOVE_FROM)),
                F.col("r2_name")).otherwise(F.col("r_name")).alias("customer_region"),
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("product_category"),
+        *names,
         F.col("p_retailprice").alias("unit_price"),
         "quantity", "order_total", "status",
         F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"),
         F.lit(INGEST_SOURCE).alias("ingest_source"),
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
-    ).select(*([ORDER_KEY] if with_order_key else []), *BRONZE_COLUMNS)
+    ).select(*([ORDER_KEY] if with_order_key else []), *[c for c in BRONZE_COLUMNS if named_products or c not in PRODUCT_NAMES])

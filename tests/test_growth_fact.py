@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from starmart import session
 from starmart.operators.facts import fact_orders
 from starmart.operators.scd2 import customer_latest, customer_latest_of, latest_of
 from starmart.plans import catalog, marts
@@ -73,3 +74,34 @@ def test_the_layout_by_day_deals_rows_without_product_keys(spark, monkeypatch):
     catalog.q_fact_by_day(StarBuild(spark, SF_SMALL))
     dealt = laid[0]._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
     assert "md5(" in dealt[0] and "md5(" not in dealt[1]
+
+
+def test_fact_and_customers_carry_no_product_names(spark, tmp_path):
+    # parts that share a key tie until name, category and price decide
+    for t in ("customer", "orders", "lineitem", "nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    price = F.col("p_retailprice")
+    twice = (part.unionByName(part.where("p_partkey % 3 = 0").withColumns({"p_name": F.lit(None).cast("string"), "p_retailprice": price + 1}))
+             .unionByName(part.where("p_partkey % 4 = 0").withColumns({"p_name": F.lit("zz"), "p_retailprice": price + 2}))
+             .unionByName(part.where("p_partkey % 5 = 0").withColumns({"p_type": F.lit(None).cast("string"), "p_retailprice": price + 3}))
+             .unionByName(part.where("p_partkey % 7 = 0").withColumn("p_retailprice", F.lit(None).cast("double"))))
+    twice.write.parquet(f"{tmp_path}/part.parquet")
+    named, lean = StarBuild(spark, str(tmp_path)), StarBuild(spark, str(tmp_path), named_products=False)
+    assert not {"product_name", "product_category"} & set(lean.winners.columns)
+    assert lean.fact.columns == named.fact.columns and rows(lean.fact) == rows(named.fact)
+    assert rows(lean.dim_customer) == rows(named.dim_customer) and rows(lean.latest_load1) == rows(named.latest_load1)
+
+
+@pytest.mark.parametrize("name", ["fact_orders", "fact_by_status", "fact_by_day", "customer_ltv_all"])
+def test_fact_queries_are_built_without_product_names(spark, monkeypatch, name):
+    asked = []
+    events = catalog.order_events
+    monkeypatch.setattr(catalog, "order_events", lambda *args, **kw: asked.append(kw["named_products"]) or events(*args, **kw))
+    catalog.registered()[name](spark, SF_SMALL)
+    assert asked == [False]
+
+
+def test_large_shuffles_are_read_in_parts_that_sort_in_memory():
+    # 128 MB compressed unpack to several times as much, more than a task of a 2-core executor of 1.8 GB heap sorts
+    assert session.DEFAULT_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "32MB"
