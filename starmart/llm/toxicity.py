@@ -33,6 +33,7 @@ WORD = re.compile(r"\w+").findall
 MAX_POSITIVE = 4000     # bound on the positives of the fit
 MAX_UNLABELLED = 8000   # bound on the unlabelled texts of the fit
 MAX_VOCABULARY = 20000  # bound on the words of the model
+TEXTS = 500             # texts of a batch held as Python strings, and sent back, at once
 
 
 def words_of(text: str | None) -> set[str]:
@@ -137,9 +138,11 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float]) -> DataFrame:
     def run(batches):
         weights, bias = shared.value
         vocab, get = weights.keys(), weights.__getitem__
-        for batch in batches:
-            z = np.array([bias + sum(map(get, sorted(vocab & words_of(t)))) for t in batch.column(at).to_pylist()], float)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=[*keep, "score"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(lo, TEXTS)
+                z = np.array([bias + sum(map(get, sorted(vocab & words_of(t)))) for t in batch.column(at).to_pylist()], float)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=[*keep, "score"])
 
     return source.mapInArrow(run, schema)
