@@ -44,7 +44,7 @@ BLOCK = 256            # documents of a block of the product
 CLASS_RATIO = 1.25     # largest to smallest size of a class
 SPARE = 0.4            # parts left out, as a share of d + 1
 MEMBERS_BROADCAST = 1_000_000  # up to so many clustered documents are broadcast to the texts
-_WORDS = 1 << 18       # words whose hashes are kept; a full table is emptied
+_WORDS = 1 << 16       # words whose hashes are kept; a full table is emptied
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _known: dict[bytes, int] = {}
 
