@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_dir
+from starmart.session import discard, scratch_dir, shuffles_freed
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,11 +28,13 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = f"{REPO}:{have}" if have else REPO
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage
-    ends there, and a lost executor costs only its running tasks."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    ends there, and a lost executor costs only its running tasks.  Its shuffle
+    files go at once; with a ``folder`` it is written there, to be discarded."""
+    path = f"{folder}/{name}" if folder else scratch_dir(df.sparkSession, name)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -90,16 +92,19 @@ def components(edges: DataFrame) -> DataFrame:
     folder; nothing is gathered but the emptiness of the edge table.  Minima
     are pre-aggregated map-side, so a vertex of very many edges stays cheap.
     """
-    edges = cut(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    spark = edges.sparkSession
+    folder = scratch_dir(spark, "components")   # a folder a round: the last one's tables are its whole state
+    edges = cut(edges.where("a <> b").select("a", "b").distinct(), "edges", folder)
     labels = None
     while not edges.isEmpty():
+        last, folder = folder, scratch_dir(spark, "components")
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "parent")
+        parent = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "parent", last)
         for _ in range(2):
             up = parent.select(F.col("a").alias("q"), F.col("p").alias("pp"))
             parent = (parent.join(up, parent["p"] == up["q"], "left")
                       .select("a", F.coalesce("pp", "p").alias("p")))
-        parent = cut(parent, "parent")
+        parent = cut(parent, "parents", last)
         pa_, pb = (parent.select(F.col("a").alias(x), F.col("p").alias(f"p_{x}")) for x in ("a", "b"))
         moved = (edges.join(pa_, "a").join(pb, "b")
                  .select(F.least("p_a", "p_b").alias("a"), F.greatest("p_a", "p_b").alias("b"))
@@ -110,7 +115,8 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             labels = (labels.withColumnRenamed("component", "root").join(step, "root", "left")
                       .select("id", F.coalesce("component", "root").alias("component")))
-        labels, edges = cut(labels, "labels"), cut(moved, "edges")
+        labels, edges = cut(labels, "labels", folder), cut(moved, "edges", folder)
+        discard(spark, last)
     if labels is None:
         kind = edges.schema["a"].dataType
         labels = edges.select(F.col("a").alias("id"), F.col("b").cast(kind).alias("component"))

@@ -18,6 +18,11 @@ factor num/den.  From these size-derived bounds:
 3. A cluster of many blocks first multiplies each block with itself and with
    block 0.  What is then not one component multiplies its other pairs of
    blocks, save those whose documents all belong to one component already.
+   Blocks hold documents by chance, so these pairs grow with the square of a
+   cluster: PAIRS_AT_ONCE at a time, each document goes to its pairs as a bitmap
+   of about one bit an n-gram (documents differ in an n-gram at least for each
+   bit that differs), and whole only to those in which some document of another
+   component may link with it.
 
 Equal sets are merged first and stand for one vertex, however many copies.
 N-grams are known by 64-bit hashes, whole sets by 128 bits; ties between parts
@@ -31,6 +36,7 @@ of null doc_id never link.  Other columns are not read.
 from __future__ import annotations
 
 import struct
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +45,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import arrow_rows, components, cut, runs, unused
+from starmart.session import discard, scratch_dir
 
 BLOCK = 256            # documents of a block of the product
 CLASS_RATIO = 1.25     # largest to smallest size of a class
 SPARE = 0.4            # parts left out, as a share of d + 1
+PAIRS_AT_ONCE = 20_000  # pairs of blocks that are multiplied in one job
 MEMBERS_BROADCAST = 1_000_000  # up to so many clustered documents are broadcast to the texts
 _WORDS = 1 << 16       # words whose hashes are kept; a full table is emptied
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -181,6 +189,45 @@ def _forest(ids_a: list[int], ids_b: list[int], pairs: np.ndarray) -> list[tuple
     return out
 
 
+def _bits(grams: np.ndarray) -> np.ndarray:
+    """The n-grams as a bitmap, in 64-bit words: a power of two of bits, at
+    least as many as n-grams."""
+    width = max(64, 1 << (len(grams) - 1).bit_length())
+    bits = np.zeros(width, np.uint8)
+    bits[mix(grams * _M[1]) & np.uint64(width - 1)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def _folded(maps: list[np.ndarray], words: int) -> np.ndarray:
+    """Bitmaps of so many words or more, as rows of so many words."""
+    return np.stack([np.bitwise_or.reduce(m.reshape(-1, words), axis=0) for m in maps])
+
+
+def _maybe(a: list[tuple], b: list[tuple], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows (component, size, bitmap) of a, and which of b, may link with
+    a row of the other side that is of another component."""
+    (ca, na, ma), (cb, nb, mb) = (zip(*x, strict=True) for x in (a, b))
+    ca, na, cb, nb = (np.array(x, np.int64) for x in (ca, na, cb, nb))
+    wa, wb = (np.array([len(m) for m in x]) for x in (ma, mb))
+    hit_a, hit_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    for words in np.unique(np.append(wa, wb)).tolist():  # the narrower side's
+        of_a, of_b = np.flatnonzero(wa >= words), np.flatnonzero(wb >= words)
+        if not len(of_a) or not len(of_b):
+            continue
+        right = _folded([mb[k] for k in of_b], words)
+        for i, row in zip(of_a, _folded([ma[k] for k in of_a], words), strict=True):
+            k = of_b if wa[i] == words else of_b[wb[of_b] == words]
+            near = (den * np.minimum(na[i], nb[k]) >= num * np.maximum(na[i], nb[k])) & (ca[i] != cb[k])
+            if not near.any():
+                continue
+            k = k[near]
+            apart = np.bitwise_count(right[np.searchsorted(of_b, k)] ^ row).sum(axis=1, dtype=np.int64)
+            k = k[(den + num) * apart <= (den - num) * (na[i] + nb[k])]
+            hit_a[i] |= len(k) > 0
+            hit_b[k] = True
+    return hit_a, hit_b
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -203,6 +250,27 @@ def _products(pairs: DataFrame, num: int, den: int) -> DataFrame:
             .select("cluster", "i", "j", "block", "id", "grams").mapInArrow(run, "a long, b long"))
 
 
+def _candidates(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """cluster, i, j, block, id of the documents of a pair of blocks that may link
+    across components, out of rows cluster, i, j, block, id, component, size, bits."""
+    def run(batches):
+        for (cluster, i, j), rows in runs(batches, ["cluster", "i", "j"]):
+            sides = [[(r["component"], r["size"], np.frombuffer(r["bits"], np.uint64), r["id"]) for r in rows if r["block"] == k] for k in (i, j)]
+            if not sides[0] or not sides[1]:
+                continue
+            hits = _maybe(*([r[:3] for r in s] for s in sides), num, den)
+            ids = [np.unique([r[3] for r, hit in zip(s, h, strict=True) if hit]).astype(np.int64) for s, h in zip(sides, hits, strict=True)]
+            n, m = map(len, ids)
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (
+                    *([v] * (n + m) for v in (cluster, i, j)), [i] * n + [j] * m, np.concatenate(ids))], names=["cluster", "i", "j", "block", "id"])
+
+    return (pairs.repartition(_partitions(pairs), "cluster", "i", "j")
+            .sortWithinPartitions("cluster", "i", "j", "block", "id", "bits")
+            .select("cluster", "i", "j", "block", "id", "component", "size", "bits")
+            .mapInArrow(run, "cluster long, i long, j long, block long, id long"))
+
+
 def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Ties (a, b) of sets with an equal part, by sid."""
     def combine(batches):
@@ -268,8 +336,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
 
     few = members.count() <= MEMBERS_BROADCAST
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(members) if few else members, "doc_id")
+    work = scratch_dir(spark, "products")
     with arrow_rows(spark, 1000):
-        sets = cut(texts.mapInArrow(whole_sets, "id long, cluster long, blocks long, block long, grams binary"), "sets")
+        sets = cut(texts.mapInArrow(whole_sets, "id long, cluster long, blocks long, block long, grams binary"), "sets", work)
 
     # each block with itself and with block 0
     near = sets.withColumn("other", F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -279,25 +348,49 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
         edges = cut(_products(near, num, den), "links")
     large = members.where("blocks > 2").select(F.col("doc_id").alias("id"), "cluster", "block")
     if not large.isEmpty():
-        found = components(edges)
-        placed = large.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        state = cut(placed.groupBy("cluster", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "blocks")
-        whole = state.groupBy("cluster").agg(F.min("lo").alias("all_lo"), F.max("hi").alias("all_hi")).where("all_lo < all_hi")
-        open_ = state.join(whole, "cluster").where("block > 0")
-        a = open_.select("cluster", F.col("block").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i"))
-        b = open_.select("cluster", F.col("block").alias("j"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j"))
-        todo = (a.join(b, "cluster").where("i < j and not (lo_i = hi_i and lo_j = hi_j and lo_i = lo_j)")
-                .select("cluster", "i", "j"))
-        todo = todo.withColumn("block", F.explode(F.array("i", "j")))
-        rest = todo.join(sets.select("cluster", "block", "id", "grams"), ["cluster", "block"])
-        with arrow_rows(spark, 500):
-            edges = edges.unionByName(cut(_products(rest, num, den), "links"))
+        edges = edges.unionByName(_other_pairs(sets, large, components(edges), num, den, work))
+    discard(spark, work)
     found = components(edges).select(F.col("id").alias("rep"), F.col("component").alias("found"))
     classes_ = reps.join(found, "rep", "left").select("sid", "sid2", F.coalesce("found", "rep").alias("component"))
     return (sigs.join(classes_, ["sid", "sid2"], "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
 
+def _other_pairs(sets: DataFrame, large: DataFrame, found: DataFrame, num: int, den: int, work: str) -> DataFrame:
+    """Edges (a, b) out of the pairs of blocks of the clusters ``large`` (id,
+    cluster, block) but those with block 0; ``found`` are the components so far."""
+    spark = sets.sparkSession
+    placed = cut(large.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).distinct(), "placed", work)
+    state = cut(placed.groupBy("cluster", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "blocks", work)
+    whole = state.groupBy("cluster").agg(F.min("lo").alias("all_lo"), F.max("hi").alias("all_hi")).where("all_lo < all_hi")
+    open_ = state.join(whole, "cluster").where("block > 0")
+    a = open_.select("cluster", F.col("block").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i"))
+    b = open_.select("cluster", F.col("block").alias("j"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j"))
+    todo = cut(a.join(b, "cluster").where("i < j and not (lo_i = hi_i and lo_j = hi_j and lo_i = lo_j)")
+               .select("cluster", "i", "j"), "todo", work)
+
+    def sketch(batches):
+        for batch in batches:
+            own = [np.frombuffer(g, np.uint64) for g in batch.column("grams").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cluster", "block", "id", "component")), pa.array([len(g) for g in own], pa.int64()),
+                                              pa.array([_bits(g).tobytes() for g in own], pa.binary())],
+                                             names=["cluster", "block", "id", "component", "size", "bits"])
+
+    marked = sets.select("cluster", "block", "id", "grams").join(placed, ["cluster", "block", "id"])
+    with arrow_rows(spark, 500):
+        maps = cut(marked.mapInArrow(sketch, "cluster long, block long, id long, component long, size long, bits binary"), "bitmaps", work)
+    jobs = -(-todo.count() // PAIRS_AT_ONCE)
+    out = []
+    for job in range(jobs):
+        now = (todo.where(F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(jobs)) == job)
+               .withColumn("block", F.explode(F.array("i", "j"))))
+        with arrow_rows(spark, 500):
+            maybe = cut(_candidates(now.join(maps, ["cluster", "block"]), num, den), f"candidates-{job}", work)
+            rest = maybe.join(sets.select("cluster", "block", "id", "grams"), ["cluster", "block", "id"])
+            out.append(cut(_products(rest, num, den), "links"))
+    return reduce(DataFrame.unionByName, out) if out else found.select(F.col("id").alias("a"), F.col("component").alias("b")).limit(0)
+
+
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row of each group of linked texts, that of smallest
     doc_id; rows of null doc_id all stay.  Rows are told apart by id and text:
