@@ -6,9 +6,10 @@ import random
 import numpy as np
 import pytest
 
+from starmart import session
 from starmart.llm import ngram_join
 from starmart.llm.common import components, cut
-from starmart.session import local_path, shared_root, shuffles_freed
+from starmart.session import shuffles_freed
 
 
 def one_cluster(spark, monkeypatch):
@@ -58,12 +59,11 @@ def test_bitmaps_leave_out_no_link(num, den):
     assert not any(x.any() for x in ngram_join._maybe([same[k] for k in a], [same[k] for k in b], num, den))
 
 
-def test_rounds_of_components_leave_only_the_last_on_disk(spark):
-    before = set(glob.glob(f"{local_path(shared_root(spark))}/*"))
+def test_rounds_of_components_leave_only_the_last_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path))
     edges = spark.range(200).selectExpr("id a", "id + 1 b")   # a chain: several rounds
     found = components(edges)
-    new = set(glob.glob(f"{local_path(shared_root(spark))}/*")) - before
-    assert len(new) == 1 and found.count() == 201 and {r.component for r in found.collect()} == {0}
+    assert len(glob.glob(f"{tmp_path}/*")) == 1 and found.count() == 201 and {r.component for r in found.collect()} == {0}
 
 
 def test_a_cut_leaves_no_shuffle_files(spark):
